@@ -1,0 +1,24 @@
+"""The full run, as functions that return tables instead of printing."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.merge import merge_sources
+from ..sources.fixtures import fixtures
+from . import features as ft
+
+
+def feature_table(train: DataFrame, descriptions: DataFrame, attributes: DataFrame,
+                  stemmer: str = "porter2", with_cosine: bool = True,
+                  separator_aware: bool = True) -> DataFrame:
+    """Merge (A1, J1, J2) -> preprocess (P1, T2) -> features."""
+    merged = merge_sources(train, descriptions, attributes)
+    pre = ft.preprocess(merged, stemmer=stemmer)
+    return ft.relevance_features(pre, separator_aware=separator_aware, with_cosine=with_cosine)
+
+
+def flagship(spark: SparkSession, sf_dir: str, stemmer: str = "porter2") -> DataFrame:
+    """Features of every query-product pair of the derived test tables."""
+    feats = feature_table(*fixtures(spark, sf_dir), stemmer=stemmer, with_cosine=True)
+    return feats.select("id", "product_uid", "relevance", "title_term_similarity", "num_of_attr",
+                        *ft.MODEL_FEATURES)
