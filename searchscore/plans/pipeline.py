@@ -3,20 +3,57 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.merge import merge_sources
+from pyspark.sql import functions as F
+
+from ..operators.merge import flatten_attributes, merge_sources
 from ..sources.fixtures import fixtures
 from . import features as ft
 
 
+def _prepare(df: DataFrame, columns: dict, stemmer: str) -> DataFrame:
+    """lower-case each source column, then stem it into its stemmed_* column."""
+    low = df.withColumns({src: F.lower(F.col(src)) for src in columns})
+    if stemmer == "none":
+        return low.withColumns({dst: F.col(src) for src, dst in columns.items()})
+    from ..operators.stemming import stem_columns
+    return stem_columns(low, columns)
+
+
+def preprocess_sources(train: DataFrame, descriptions: DataFrame, attributes: DataFrame,
+                       stemmer: str = "porter2") -> DataFrame:
+    """X1 at source level, then merge: the same rows as merge -> preprocess.
+
+    Lower-casing and stemming are row-wise, so they commute with the joins.
+    Running them before the joins stems each product's description and
+    attribute text once, not once per query-product pair.
+    """
+    s = ft.STEM_SOURCES
+    tr = _prepare(train, {"product_title": s["product_title"],
+                          "search_term": s["search_term"]}, stemmer)
+    de = _prepare(descriptions, {"product_description": s["product_description"]}, stemmer)
+    at = _prepare(flatten_attributes(attributes, drop_null_keys=True),
+                  {"attributes": s["attributes"]}, stemmer)
+    merged = (tr.join(de, "product_uid", "left").join(at, "product_uid", "left"))
+    return merged.select("product_uid", "id", "product_title", "search_term", "relevance",
+                         "product_description", "attributes", *s.values())
+
+
 def feature_table(train: DataFrame, descriptions: DataFrame, attributes: DataFrame,
                   stemmer: str = "porter2", with_cosine: bool = True,
                   separator_aware: bool = True) -> DataFrame:
-    """Merge (A1, J1, J2) -> preprocess (P1, T2) -> features."""
-    merged = merge_sources(train, descriptions, attributes)
-    pre = ft.preprocess(merged, stemmer=stemmer)
+    """Merge (A1, J1, J2) + preprocess (P1, T2) -> features."""
+    pre = preprocess_sources(train, descriptions, attributes, stemmer=stemmer)
     return ft.relevance_features(pre, separator_aware=separator_aware, with_cosine=with_cosine)
 
 
+def feature_table_reference_order(train: DataFrame, descriptions: DataFrame,
+                                  attributes: DataFrame, stemmer: str = "porter2",
+                                  with_cosine: bool = True) -> DataFrame:
+    """The same features, computed in the order merge -> lower -> stem."""
+    pre = ft.preprocess(merge_sources(train, descriptions, attributes), stemmer=stemmer)
+    return ft.relevance_features(pre, with_cosine=with_cosine)
+
+
 def flagship(spark: SparkSession, sf_dir: str, stemmer: str = "porter2") -> DataFrame:
     """Features of every query-product pair of the derived test tables."""
     feats = feature_table(*fixtures(spark, sf_dir), stemmer=stemmer, with_cosine=True)

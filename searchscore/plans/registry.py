@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import merge as mg
+from ..operators import similarity as sim
 from ..operators import tfidf as tfm
 from ..sources.fixtures import cte, fixture, fixtures
 from . import features as ft
@@ -159,6 +160,62 @@ def q_cosine_title_term(spark, sf_dir):
     return cos.select("id", F.round("title_term_similarity", R).alias("title_term_similarity"))
 
 
+def q_jaccard_exact_pairs(spark, sf_dir):
+    pairs = sim.jaccard_pairs(_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.8)
+    return pairs.select("set_a", "set_b", "n_rows_a", "n_rows_b", "intersection",
+                        F.round("jaccard_distance", R).alias("jaccard_distance"),
+                        F.round("jaccard_similarity", R).alias("jaccard_similarity"))
+
+
+def q_jaccard_raw_pairs(spark, sf_dir):
+    pairs = sim.jaccard_pairs(_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.5,
+                              include_self_and_mirror=True)
+    return pairs.select("set_a", "set_b", F.round("jaccard_distance", R).alias("jaccard_distance"))
+
+
+def q_minhash_pairs(spark, sf_dir):
+    return sim.minhash_pairs(_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.8,
+                             num_hash_tables=3, seed=1)
+
+
+def _title_term_entries(spark, sf_dir):
+    pre = _pre(spark, sf_dir)
+    tf = tfm.term_frequency(tfm.token_table(pre, {"title": "stemmed_product_title",
+                                                  "term": "stemmed_search_term"}))
+    return sim.concat_fields(tf, value="tf")
+
+
+def q_term_similarity_exact(spark, sf_dir):
+    out = sim.term_similarity(_title_term_entries(spark, sf_dir))
+    return out.select("term_a", "term_b", F.round("similarity", R).alias("similarity"))
+
+
+def q_term_similarity_dimsum(spark, sf_dir):
+    from pyspark.ml.feature import Normalizer
+    pre = _pre(spark, sf_dir)
+    v = tfm.hashed_tfidf(pre, "stemmed_product_title", "product_title")
+    v = tfm.hashed_tfidf(v, "stemmed_search_term", "search_term")
+    v = Normalizer(inputCol="product_title_idf", outputCol="nt", p=2.0).transform(v)
+    v = Normalizer(inputCol="search_term_idf", outputCol="nq", p=2.0).transform(v)
+    return sim.term_similarity_dimsum(v, ["nt", "nq"], threshold=0.1)
+
+
+def q_tf_hashed(spark, sf_dir):
+    v = tfm.hashed_tfidf(_pre(spark, sf_dir), "stemmed_search_term", "search_term")
+    return v.select("id", "search_term_tf", "search_term_idf")
+
+
+def q_stem_terms(spark, sf_dir):
+    from ..operators.stemming import stem_vocabulary
+    return stem_vocabulary(_merged(spark, sf_dir),
+                           ["product_title", "search_term", "product_description", "attributes"])
+
+
+def q_features_stemmed(spark, sf_dir):
+    from .pipeline import flagship
+    return flagship(spark, sf_dir, stemmer="porter2")
+
+
 SPARK_QUERIES = {
     "merge_left": q_merge_left,
     "attr_group_concat": q_attr_group_concat,
@@ -182,6 +239,14 @@ SPARK_QUERIES = {
     "tfidf_term": q_tfidf_term,
     "tfidf_description": q_tfidf_description,
     "cosine_title_term": q_cosine_title_term,
+    "jaccard_exact_pairs": q_jaccard_exact_pairs,
+    "jaccard_raw_pairs": q_jaccard_raw_pairs,
+    "minhash_pairs": q_minhash_pairs,
+    "term_similarity_exact": q_term_similarity_exact,
+    "term_similarity_dimsum": q_term_similarity_dimsum,
+    "tf_hashed": q_tf_hashed,
+    "stem_terms": q_stem_terms,
+    "features_stemmed": q_features_stemmed,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -347,3 +412,35 @@ select p.id, round(coalesce(case when sqrt(s.nl) * sqrt(s.nr) > 0 then s.dot / (
                                  else 0.0 end, 0.0), {R}) as title_term_similarity
 from pre p left join s on p.id = s.id""",
 }
+
+
+SETS_CTE = MERGED_CTE + f""",
+qs as (select list_sort(list_distinct(list_filter({_sql_tokens(_Q)}, lambda t: t <> ''))) as toks from pre),
+sets as (select array_to_string(toks, ' ') as set_key, toks, count(*) as n_rows
+         from qs where len(toks) > 0 group by toks),
+sp as (
+  select a.set_key as set_a, b.set_key as set_b, a.n_rows as n_rows_a, b.n_rows as n_rows_b,
+         cast(len(list_intersect(a.toks, b.toks)) as integer) as intersection,
+         1.0 - len(list_intersect(a.toks, b.toks)) / (len(a.toks) + len(b.toks) - len(list_intersect(a.toks, b.toks))) as d,
+         len(a.toks) as ka
+  from sets a join sets b on a.set_key < b.set_key)
+"""
+
+ORACLE_SQL["jaccard_exact_pairs"] = SETS_CTE + f"""
+select set_a, set_b, n_rows_a, n_rows_b, intersection, round(d, {R}) as jaccard_distance,
+       round(1.0 - d, {R}) as jaccard_similarity
+from sp where d <= 0.8 + 1e-9"""
+
+ORACLE_SQL["jaccard_raw_pairs"] = SETS_CTE + f"""
+select set_a, set_b, round(d, {R}) as jaccard_distance from sp where d <= 0.5 + 1e-9
+union all select set_b, set_a, round(d, {R}) from sp where d <= 0.5 + 1e-9
+union all select set_key, set_key, 0.0 from sets"""
+
+ORACLE_SQL["term_similarity_exact"] = TOKENS_CTE + f""",
+e as (select id, field || ':' || token as term, cast(tf as double) as value from tf
+      where field in ('title', 'term')),
+dots as (select a.term as term_a, b.term as term_b, sum(a.value * b.value) as dot
+         from e a join e b on a.id = b.id and a.term < b.term group by a.term, b.term),
+norms as (select term, sqrt(sum(value * value)) as norm from e group by term)
+select term_a, term_b, round(dot / (na.norm * nb.norm), {R}) as similarity
+from dots join norms na on na.term = dots.term_a join norms nb on nb.term = dots.term_b"""
