@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import merge as mg
+from ..operators import metrics as mt
+from ..operators import models as md
+from ..operators import sampling as sp
 from ..operators import similarity as sim
 from ..operators import tfidf as tfm
+from ..session import cut_lineage
 from ..sources.fixtures import cte, fixture, fixtures
 from . import features as ft
 
@@ -216,6 +220,113 @@ def q_features_stemmed(spark, sf_dir):
     return flagship(spark, sf_dir, stemmer="porter2")
 
 
+def q_hash_sample(spark, sf_dir):
+    return sp.sample(fixture(spark, sf_dir, "train"), 0.1, key="id").select("id", "product_uid")
+
+
+def q_hash_split(spark, sf_dir):
+    return sp.with_split(fixture(spark, sf_dir, "train"), (0.9, 0.1), ("train", "test"),
+                         key="id").select("id", "split")
+
+
+def _fixed_predictions(spark, sf_dir):
+    tr = fixture(spark, sf_dir, "train")
+    return tr.select("id", F.col("relevance").cast("double").alias("label"),
+                     (F.lit(1.0) + (F.col("product_uid") % 21) / 10.0).alias("prediction"))
+
+
+def q_mse_fixed(spark, sf_dir):
+    return mt.mean_squared_error(_fixed_predictions(spark, sf_dir)).select(F.round("mse", R).alias("mse"))
+
+
+def _order_scores(spark, sf_dir, bucketed=True):
+    from ..sources.fixtures import base_table
+    o = base_table(spark, sf_dir, "orders")
+    score = F.floor(F.col("o_totalprice") / 20000).cast("double") if bucketed else F.col("o_totalprice")
+    return o.select(score.alias("score"), (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+
+
+def _round_curve(c, *cols):
+    return c.select("threshold", *[F.round(x, R).alias(x) for x in cols])
+
+
+def q_pr_curve_fixed(spark, sf_dir):
+    c = mt.curves_by_threshold(_order_scores(spark, sf_dir))
+    return _round_curve(c, "precision", "recall")
+
+
+def q_f1_curve_fixed(spark, sf_dir):
+    return _round_curve(mt.f_measure_by_threshold(_order_scores(spark, sf_dir)), "f_measure")
+
+
+def q_pr_curve_all_scores(spark, sf_dir):
+    c = mt.curves_by_threshold(_order_scores(spark, sf_dir, bucketed=False))
+    return _round_curve(c, "precision", "recall", "f_measure")
+
+
+def q_snap_levels(spark, sf_dir):
+    p = _fixed_predictions(spark, sf_dir).withColumn(
+        "prediction", F.col("prediction") + (F.col("id") % 13) / 100.0)
+    return md.snap_predictions(p.select("id", "prediction").withColumn("raw", F.col("prediction"))) \
+        .select("id", F.round("raw", R).alias("raw"), F.col("prediction").alias("snapped"))
+
+
+def q_mean_threshold_label(spark, sf_dir):
+    tr = fixture(spark, sf_dir, "train").select("id", F.col("relevance").cast("double").alias("label"))
+    return md.binarize_labels(tr, "mean")
+
+
+def _model_input(spark, sf_dir):
+    # Iterative fits scan their input many times: materialise it once.
+    return cut_lineage(ft.assemble(ft.model_table(_feat(spark, sf_dir))))
+
+
+def _train_test(spark, sf_dir):
+    feats = sp.with_split(_feat(spark, sf_dir), (0.9, 0.1), ("train", "test"), key="id")
+    table = (feats.select(F.col("relevance").cast("double").alias("label"), "split", *ft.MODEL_FEATURES)
+             .dropna(subset=list(ft.MODEL_FEATURES)))
+    from pyspark.ml.feature import VectorAssembler
+    v = VectorAssembler(inputCols=list(ft.MODEL_FEATURES), outputCol="features",
+                        handleInvalid="skip").transform(table).select("label", "features", "split")
+    v = cut_lineage(v)
+    return v.where(F.col("split") == "train"), v.where(F.col("split") == "test")
+
+
+def q_assembled_features(spark, sf_dir):
+    return _model_input(spark, sf_dir)
+
+
+def q_lr_tuned(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    model = md.linear_regression_tuned(train, seed=42, parallelism=4)
+    return model.transform(test).select("label", "prediction")
+
+
+def q_rf_tuned(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    model = md.random_forest_tuned(train, seed=42, parallelism=4)
+    return model.transform(test).select("label", "prediction")
+
+
+def q_gbt(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    return md.gradient_boosted_trees(train, seed=42).transform(test).select("label", "prediction")
+
+
+def q_kmeans_clusters(spark, sf_dir):
+    return md.kmeans_clusters(md.binarize_labels(_model_input(spark, sf_dir))).select("label", "prediction")
+
+
+def q_bisecting_clusters(spark, sf_dir):
+    return md.bisecting_kmeans_clusters(md.binarize_labels(_model_input(spark, sf_dir))) \
+        .select("label", "prediction")
+
+
+def q_kmeans_curves(spark, sf_dir):
+    clusters = md.kmeans_clusters(md.binarize_labels(_model_input(spark, sf_dir)))
+    return md.score_clusters(clusters)
+
+
 SPARK_QUERIES = {
     "merge_left": q_merge_left,
     "attr_group_concat": q_attr_group_concat,
@@ -247,6 +358,21 @@ SPARK_QUERIES = {
     "tf_hashed": q_tf_hashed,
     "stem_terms": q_stem_terms,
     "features_stemmed": q_features_stemmed,
+    "hash_sample": q_hash_sample,
+    "hash_split": q_hash_split,
+    "mse_fixed": q_mse_fixed,
+    "pr_curve_fixed": q_pr_curve_fixed,
+    "f1_curve_fixed": q_f1_curve_fixed,
+    "pr_curve_all_scores": q_pr_curve_all_scores,
+    "snap_levels": q_snap_levels,
+    "mean_threshold_label": q_mean_threshold_label,
+    "assembled_features": q_assembled_features,
+    "lr_tuned": q_lr_tuned,
+    "rf_tuned": q_rf_tuned,
+    "gbt": q_gbt,
+    "kmeans_clusters": q_kmeans_clusters,
+    "bisecting_clusters": q_bisecting_clusters,
+    "kmeans_curves": q_kmeans_curves,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -444,3 +570,58 @@ dots as (select a.term as term_a, b.term as term_b, sum(a.value * b.value) as do
 norms as (select term, sqrt(sum(value * value)) as norm from e group by term)
 select term_a, term_b, round(dot / (na.norm * nb.norm), {R}) as similarity
 from dots join norms na on na.term = dots.term_a join norms nb on nb.term = dots.term_b"""
+
+
+def _sql_bucket(key: str, salt: str = "") -> str:
+    return f"(cast(concat('0x', substr(md5(concat('{salt}', cast({key} as varchar))), 1, 6)) as bigint) % 1000)"
+
+
+
+_FIXED_PRED = "(1.0 + cast(product_uid % 21 as double) / 10.0)"
+
+ORACLE_SQL["hash_sample"] = cte("train") + f"""
+select id, product_uid from train where {_sql_bucket('id')} < 100"""
+
+ORACLE_SQL["hash_split"] = cte("train") + f"""
+select id, case when {_sql_bucket('id', 'split-')} < 900 then 'train' else 'test' end as split from train"""
+
+ORACLE_SQL["mse_fixed"] = cte("train") + f"""
+select round(avg(power(cast(relevance as double) - {_FIXED_PRED}, 2)), {R}) as mse
+from train"""
+
+CURVE_CTE = """
+with sc as (select {score} as score, case when o_orderstatus = 'F' then 1.0 else 0.0 end as label from orders),
+c as (select score, sum(case when label > 0.5 then 1 else 0 end) as pos,
+             sum(case when label > 0.5 then 0 else 1 end) as neg from sc group by score),
+r as (select score as threshold,
+             sum(pos) over (order by score desc rows between unbounded preceding and current row) as tp,
+             sum(neg) over (order by score desc rows between unbounded preceding and current row) as fp,
+             (select sum(pos) from c) as positives from c),
+m as (select threshold,
+             case when tp + fp = 0 then 1.0 else tp / (tp + fp) end as precision,
+             case when positives = 0 then 0.0 else tp / positives end as recall from r)
+"""
+_F1 = "case when precision + recall = 0 then 0.0 else 2 * precision * recall / (precision + recall) end"
+_BUCKET = "cast(floor(o_totalprice / 20000) as double)"
+
+ORACLE_SQL["pr_curve_fixed"] = CURVE_CTE.format(score=_BUCKET) + f"""
+select threshold, round(precision, {R}) as precision, round(recall, {R}) as recall from m"""
+
+ORACLE_SQL["f1_curve_fixed"] = CURVE_CTE.format(score=_BUCKET) + f"""
+select threshold, round({_F1}, {R}) as f_measure from m"""
+
+ORACLE_SQL["pr_curve_all_scores"] = CURVE_CTE.format(score="o_totalprice") + f"""
+select threshold, round(precision, {R}) as precision, round(recall, {R}) as recall,
+       round({_F1}, {R}) as f_measure from m"""
+
+_SNAP_CANDS = ", ".join(
+    ["struct_pack(d := abs(2.0 - p), r := -1, v := cast(2.0 as double))"]
+    + [f"struct_pack(d := abs({v} - p), r := {i}, v := cast({v} as double))"
+       for i, v in enumerate(tx.SNAP_LEVELS)])
+ORACLE_SQL["snap_levels"] = cte("train") + f"""
+, pr as (select id, {_FIXED_PRED} + cast(id % 13 as double) / 100.0 as p from train)
+select id, round(p, {R}) as raw, list_sort([{_SNAP_CANDS}])[1].v as snapped from pr"""
+
+ORACLE_SQL["mean_threshold_label"] = cte("train") + """
+select id, case when cast(relevance as double) > (select avg(cast(relevance as double)) from train)
+                then 1.0 else 0.0 end as label from train"""
