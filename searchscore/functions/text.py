@@ -74,15 +74,21 @@ def words(c, separator_aware: bool = True) -> Column:
     return java_split(c, SPACE_OR_NUL if separator_aware else SPACE)
 
 
-def common_words(a, b, separator_aware: bool = True) -> Column:
+def common_words(a, b, separator_aware: bool = True, words_a=None, words_b=None) -> Column:
     """Number of words two texts share, counted as a multiset.
 
     0 when either side is NULL or empty. Words are the parts between single
     spaces (and NULs when ``separator_aware``); inner empty parts count.
+    ``words_a``/``words_b`` may pass word arrays computed once in an earlier
+    projection (see ``plans.features``), so long texts are split only once.
     """
     a, b = _col(a), _col(b)
-    overlap = multiset_overlap(words(a, separator_aware), words(b, separator_aware))
+    wa = _col(words_a) if words_a is not None else words(a, separator_aware)
+    wb = _col(words_b) if words_b is not None else words(b, separator_aware)
+    overlap = multiset_overlap(wa, wb)
+    # size(wb) outside the lambda keeps wb a column of its own projection.
     return (F.when(a.isNull() | b.isNull() | (a == "") | (b == ""), F.lit(0))
+            .when(F.size(wb) == 0, F.lit(0))
             .otherwise(overlap)).cast("int")
 
 

@@ -54,19 +54,22 @@ def relevance_features(pre: DataFrame, separator_aware: bool = True,
     q = F.col("stemmed_search_term")
     title, desc, attr = (F.col("stemmed_product_title"), F.col("stemmed_product_description"),
                          F.col("stemmed_attributes"))
+    # Word arrays first, each split once (the overlap walks them per query word).
+    wcols = {"_w_q": q, "_w_t": title, "_w_d": desc, "_w_a": attr}
+    staged = pre.withColumns({k: tx.words(c, separator_aware) for k, c in wcols.items()})
     first = {
         "levenshtein_dist_description": tx.levenshtein_distance(desc, q),
         "levenshtein_dist_title": tx.levenshtein_distance(title, q),
         "levenshtein_dist_attr": tx.levenshtein_distance(attr, q),
         "len_of_query": tx.len_of_query(q),
         "len_of_attr": tx.len_of_attributes(attr),
-        "commonWords_term_title": tx.common_words(q, title, separator_aware),
-        "commonWords_term_description": tx.common_words(q, desc, separator_aware),
-        "commonWords_term_attr": tx.common_words(q, attr, separator_aware),
+        "commonWords_term_title": tx.common_words(q, title, words_a="_w_q", words_b="_w_t"),
+        "commonWords_term_description": tx.common_words(q, desc, words_a="_w_q", words_b="_w_d"),
+        "commonWords_term_attr": tx.common_words(q, attr, words_a="_w_q", words_b="_w_a"),
     }
     if num_of_attr:
         first["num_of_attr"] = tx.num_of_attributes(attr)
-    out = pre.withColumns(first)
+    out = staged.withColumns(first).drop(*wcols)
     out = out.withColumns({
         "ratio_title": tx.ratio_of_common_words("commonWords_term_title", "len_of_query"),
         "ratio_description": tx.ratio_of_common_words("commonWords_term_description", "len_of_query"),
@@ -78,22 +81,71 @@ def relevance_features(pre: DataFrame, separator_aware: bool = True,
     return out
 
 
+def _input_validity() -> dict:
+    """When each model feature is neither NULL nor NaN, stated on its inputs.
+
+    Levenshtein is NULL when either text is NULL; the query length is NULL
+    for a NULL query; the ratios are NULL for a NULL query and NaN (0/0) for an
+    empty one; lengths of attributes and common-word counts are never NULL.
+    """
+    q, t, d, a = (F.col("stemmed_search_term"), F.col("stemmed_product_title"),
+                  F.col("stemmed_product_description"), F.col("stemmed_attributes"))
+    ratio_ok = q.isNotNull() & (F.length(q) > 0)
+    return {
+        "len_of_query": q.isNotNull(),
+        "levenshtein_dist_description": q.isNotNull() & d.isNotNull(),
+        "levenshtein_dist_title": q.isNotNull() & t.isNotNull(),
+        "levenshtein_dist_attr": q.isNotNull() & a.isNotNull(),
+        "len_of_attr": F.lit(True),
+        "commonWords_term_title": F.lit(True),
+        "commonWords_term_description": F.lit(True),
+        "commonWords_term_attr": F.lit(True),
+        "ratio_title": ratio_ok,
+        "ratio_description": ratio_ok,
+        "ratio_attr": ratio_ok,
+    }
+
+
+def valid_rows(features: DataFrame, feature_cols=MODEL_FEATURES) -> DataFrame:
+    """Drop rows with a NULL or NaN feature (the assembler's ``skip``).
+
+    For the known features the rule is applied to their input columns: a
+    filter on the computed columns would be pushed below the projection with
+    every feature expression inlined, computing each feature twice. Unknown
+    columns fall back to ``dropna``.
+    """
+    rules = _input_validity()
+    known = [c for c in feature_cols if c in rules]
+    other = [c for c in feature_cols if c not in rules]
+    cond = F.lit(True)
+    for c in known:
+        cond = cond & rules[c]
+    out = features.where(cond)
+    return out.dropna(subset=other) if other else out
+
+
 def model_table(features: DataFrame, label: str = "relevance", lenient: bool = False,
-                feature_cols=MODEL_FEATURES) -> DataFrame:
+                feature_cols=MODEL_FEATURES, keep=()) -> DataFrame:
     """P4 + P5 + P7: label (double) and the eleven features, rows with a NULL
     or NaN feature dropped (what the assembler's ``skip`` mode does)."""
     lab = F.col(label)
     lab = lab.try_cast("double") if lenient else lab.cast("double")
-    cols = [lab.alias("label")] + [F.col(c) for c in feature_cols]
-    return features.select(*cols).dropna(subset=list(feature_cols))
+    cols = [lab.alias("label")] + [F.col(c) for c in feature_cols] + [F.col(c) for c in keep]
+    return valid_rows(features, feature_cols).select(*cols)
 
 
-def assemble(table: DataFrame, feature_cols=MODEL_FEATURES, out: str = "features") -> DataFrame:
-    """M1: the feature columns as one ML vector (rows with NULL/NaN skipped)."""
+def assemble(table: DataFrame, feature_cols=MODEL_FEATURES, out: str = "features",
+             keep=(), already_valid: bool = True) -> DataFrame:
+    """M1: the feature columns as one ML vector.
+
+    Rows of ``model_table`` are already valid, so the assembler keeps them as
+    they are; with ``already_valid=False`` it skips rows with NULL/NaN itself.
+    """
     from pyspark.ml.feature import VectorAssembler
 
-    va = VectorAssembler(inputCols=list(feature_cols), outputCol=out, handleInvalid="skip")
-    return va.transform(table).select("label", out)
+    va = VectorAssembler(inputCols=list(feature_cols), outputCol=out,
+                         handleInvalid="keep" if already_valid else "skip")
+    return va.transform(table).select("label", out, *keep)
 
 
 def query_frequency(df: DataFrame, query: str = "search_term", out: str = "query_frequency") -> DataFrame:

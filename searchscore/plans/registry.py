@@ -283,12 +283,7 @@ def _model_input(spark, sf_dir):
 
 def _train_test(spark, sf_dir):
     feats = sp.with_split(_feat(spark, sf_dir), (0.9, 0.1), ("train", "test"), key="id")
-    table = (feats.select(F.col("relevance").cast("double").alias("label"), "split", *ft.MODEL_FEATURES)
-             .dropna(subset=list(ft.MODEL_FEATURES)))
-    from pyspark.ml.feature import VectorAssembler
-    v = VectorAssembler(inputCols=list(ft.MODEL_FEATURES), outputCol="features",
-                        handleInvalid="skip").transform(table).select("label", "features", "split")
-    v = cut_lineage(v)
+    v = cut_lineage(ft.assemble(ft.model_table(feats, keep=("split",)), keep=("split",)))
     return v.where(F.col("split") == "train"), v.where(F.col("split") == "test")
 
 
