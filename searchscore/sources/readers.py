@@ -36,19 +36,33 @@ SCHEMAS = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             all_strings: bool = False) -> DataFrame:
+             all_strings: bool = False, null_value: str | None = None) -> DataFrame:
     """CSV with a header row.
 
     ``schema`` fixes the column types (no inference pass over the data).
     ``all_strings=True`` reads every column as string, the raw form.
-    Multi-line quoted fields are allowed, as product descriptions contain them.
+    Quotes inside fields are doubled (RFC 4180) and quoted fields may span
+    lines, as product descriptions do. By default Spark reads an empty field
+    as NULL; ``null_value`` (e.g. ``\\N``) names an explicit NULL marker so
+    empty strings stay empty.
     """
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
     if schema is not None and not all_strings:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists",
+              null_value: str | None = "\\N") -> None:
+    """CSV sink matching ``read_csv``: header, doubled quotes, NULL marker."""
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    if null_value is not None:
+        writer = writer.option("nullValue", null_value)
+    writer.csv(path)
+
+
 def read_sources(spark: SparkSession, train_path: str, descriptions_path: str,
                  attributes_path: str, fmt: str = "csv") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read the three inputs with their declared schemas (CSV or Parquet)."""
