@@ -4,13 +4,24 @@ Vectors are kept in long form, one row per (field, id, token), instead of
 sparse vectors with hashed slots: exact (no hash collisions), prunable, and
 every step is a built-in aggregate or join that Spark partitions by key.
 
-Plan shape for ``tfidf_long``:
-  explode tokens -> groupBy(field, id, token) count        (partial agg, shuffle 1)
-  -> groupBy(field, token) count = document frequency      (partial agg, shuffle 2)
-  -> join back on (field, token)                           (broadcast when the
-     vocabulary is small by Spark's size check, else sort-merge with AQE skew split)
-Hot tokens are harmless: counts are combined map-side before any shuffle.
-
+Identical texts are processed once. A pair table repeats each product's
+title and description for every query that retrieved it (and one product may
+hold a third of all pairs), so the texts are first collapsed to distinct
+texts with their row counts, keyed by the 128-bit MD5 of the text:
+
+  rows -> groupBy(field, key) first(text), count      (partial agg: duplicates
+                                                        collapse map-side)
+  distinct texts -> tokens -> groupBy(field, key, token) count = tf
+                                                       (no new shuffle: the
+                                                        input is already
+                                                        hash-partitioned by key)
+  -> groupBy(field, token) sum(row count) = document frequency, in rows
+  -> join idf on (field, token)                        (vocabulary: broadcast by
+                                                        Spark's size check, else
+                                                        sort-merge + AQE skew split)
+
+Per-row results join the per-text table back on (field, key). Aggregates per
+row (norms, sums) are computed per text first and joined back as one row.
 The number of documents is a scalar subquery (``DataFrame.scalar()``), so the
 plan stays lazy and nothing is collected to the driver.
 
@@ -79,11 +90,70 @@ def transform_idf(tf: DataFrame, idf: DataFrame) -> DataFrame:
             .select("field", "id", "token", "tf", "idf", "weight"))
 
 
+def text_rows(df: DataFrame, fields: dict, id_col: str = "id") -> DataFrame:
+    """(field, id, key, text): one row per field of each row with a non-NULL text.
+
+    ``key`` is the MD5 of the text (16 bytes): equal texts share a key; for
+    distinct texts a clash has odds of about n^2 / 2^129.
+    """
+    structs = [F.struct(F.lit(name).alias("field"),
+                        (F.col(c) if isinstance(c, str) else c).alias("text"))
+               for name, c in fields.items()]
+    rows = (df.select(F.col(id_col).alias("id"), F.explode(F.array(*structs)).alias("_s"))
+            .select(F.col("_s.field").alias("field"), "id", F.col("_s.text").alias("text"))
+            .where(F.col("text").isNotNull()))
+    return rows.withColumn("key", F.unhex(F.md5(F.col("text"))))
+
+
+def text_tfidf(df: DataFrame, fields: dict, id_col: str = "id", min_doc_freq: int = 0,
+               keep_empty: bool = False, tokenizer=tokenize_ws):
+    """TF-IDF per distinct text.
+
+    Returns (rows, weights): rows = (field, id, key); weights = (field, key,
+    token, tf, idf, weight). Document frequency counts rows, as if every row
+    had been tokenised, and ``m`` is the number of rows of ``df``.
+    """
+    rows = text_rows(df, fields, id_col)
+    texts = rows.groupBy("field", "key").agg(F.first("text").alias("text"),
+                                             F.count("*").cast("long").alias("n_rows"))
+    toks = texts.select("field", "key", "n_rows", F.explode(tokenizer(F.col("text"))).alias("token"))
+    if not keep_empty:
+        toks = toks.where(F.col("token") != "")
+    tf = toks.groupBy("field", "key", "token").agg(F.count("*").cast("long").alias("tf"),
+                                                  F.first("n_rows").alias("n_rows"))
+    m = document_count(df)
+    dfreq = tf.groupBy("field", "token").agg(F.sum("n_rows").cast("long").alias("df"))
+    idf_v = F.log((m.cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))
+    idf = dfreq.select("field", "token", "df",
+                       F.when(F.col("df") >= F.lit(min_doc_freq), idf_v).otherwise(F.lit(0.0)).alias("idf"))
+    weights = (tf.join(idf, ["field", "token"])
+               .select("field", "key", "token", "tf", "idf", (F.col("tf") * F.col("idf")).alias("weight")))
+    return rows.select("field", "id", "key"), weights
+
+
 def tfidf_long(df: DataFrame, fields: dict, id_col: str = "id", min_doc_freq: int = 0,
                keep_empty: bool = False, tokenizer=tokenize_ws) -> DataFrame:
-    """TF-IDF of several text columns, each with its own IDF fitted on ``df``."""
-    tf = term_frequency(token_table(df, fields, id_col, tokenizer, keep_empty))
-    return transform_idf(tf, fit_idf(tf, document_count(df), min_doc_freq))
+    """TF-IDF of several text columns, each with its own IDF fitted on ``df``.
+
+    One row per (field, id, token): (field, id, token, tf, idf, weight).
+    """
+    rows, weights = text_tfidf(df, fields, id_col, min_doc_freq, keep_empty, tokenizer)
+    return (rows.join(weights, ["field", "key"])
+            .select("field", "id", "token", "tf", "idf", "weight"))
+
+
+def tfidf_summary(df: DataFrame, fields: dict, id_col: str = "id", min_doc_freq: int = 0,
+                  keep_empty: bool = False, tokenizer=tokenize_ws) -> DataFrame:
+    """Per (field, id): n_terms, n_tokens, sum of weights and L2 norm.
+
+    Computed once per distinct text, then joined to the rows; ids whose text
+    has no token are absent.
+    """
+    rows, weights = text_tfidf(df, fields, id_col, min_doc_freq, keep_empty, tokenizer)
+    per_text = weights.groupBy("field", "key").agg(
+        F.count("*").cast("long").alias("n_terms"), F.sum("tf").cast("long").alias("n_tokens"),
+        F.sum("weight").alias("sum_tfidf"), F.sqrt(F.sum(F.col("weight") ** 2)).alias("l2_norm"))
+    return rows.join(per_text, ["field", "key"]).drop("key")
 
 
 def l2_normalize(weights: DataFrame, value: str = "weight") -> DataFrame:

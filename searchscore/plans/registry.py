@@ -138,11 +138,9 @@ def q_tfidf_term(spark, sf_dir):
 
 
 def q_tfidf_description(spark, sf_dir):
-    w = _tfidf_fields(spark, sf_dir).where(F.col("field") == "description")
-    return (w.groupBy("id")
-            .agg(F.count("*").cast("long").alias("n_terms"), F.sum("tf").cast("long").alias("n_tokens"),
-                 F.round(F.sum("weight"), R).alias("sum_tfidf"),
-                 F.round(F.sqrt(F.sum(F.col("weight") ** 2)), R).alias("l2_norm")))
+    summ = tfm.tfidf_summary(_pre(spark, sf_dir), {"description": "stemmed_product_description"})
+    return summ.select("id", "n_terms", "n_tokens", F.round("sum_tfidf", R).alias("sum_tfidf"),
+                       F.round("l2_norm", R).alias("l2_norm"))
 
 
 def q_idf(spark, sf_dir):
