@@ -183,6 +183,15 @@ def cosine_by_id(weights: DataFrame, left: str, right: str, out: str = "cosine")
     return sums.select("id", F.when(denom > 0, F.col("dot") / denom).otherwise(F.lit(0.0)).alias(out))
 
 
+def field_cosine(df: DataFrame, left: str, right: str, id_col: str = "id",
+                 out: str = "cosine") -> DataFrame:
+    """(id, cosine of TF-IDF(left text), TF-IDF(right text)) for every row."""
+    weights = tfidf_long(df.select(id_col, left, right), {"l": left, "r": right}, id_col)
+    cos = cosine_by_id(weights, "l", "r", out)
+    return (df.select(F.col(id_col).alias("id")).join(cos, "id", "left")
+            .select("id", F.coalesce(F.col(out), F.lit(0.0)).alias(out)))
+
+
 def title_term_cosine(df: DataFrame, title: str = "stemmed_product_title",
                       term: str = "stemmed_search_term", id_col: str = "id",
                       out: str = "title_term_similarity") -> DataFrame:

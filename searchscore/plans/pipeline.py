@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.merge import flatten_attributes, merge_sources
+from ..session import cut_lineage
 from ..sources.fixtures import fixtures
 from . import features as ft
 
@@ -20,7 +21,7 @@ def _prepare(df: DataFrame, columns: dict, stemmer: str) -> DataFrame:
 
 
 def preprocess_sources(train: DataFrame, descriptions: DataFrame, attributes: DataFrame,
-                       stemmer: str = "porter2") -> DataFrame:
+                       stemmer: str = "porter2", materialize_pairs: bool = False) -> DataFrame:
     """X1 at source level, then merge: the same rows as merge -> preprocess.
 
     Lower-casing and stemming are row-wise, so they commute with the joins.
@@ -30,6 +31,11 @@ def preprocess_sources(train: DataFrame, descriptions: DataFrame, attributes: Da
     s = ft.STEM_SOURCES
     tr = _prepare(train, {"product_title": s["product_title"],
                           "search_term": s["search_term"]}, stemmer)
+    if materialize_pairs and stemmer != "none":
+        # Two consumers (row features and the title-term cosine) read the
+        # stemmed pairs: stem once and keep the result in the shared
+        # checkpoint folder instead of running the Python step per consumer.
+        tr = cut_lineage(tr)
     de = _prepare(descriptions, {"product_description": s["product_description"]}, stemmer)
     at = _prepare(flatten_attributes(attributes, drop_null_keys=True),
                   {"attributes": s["attributes"]}, stemmer)
@@ -42,7 +48,8 @@ def feature_table(train: DataFrame, descriptions: DataFrame, attributes: DataFra
                   stemmer: str = "porter2", with_cosine: bool = True,
                   separator_aware: bool = True) -> DataFrame:
     """Merge (A1, J1, J2) + preprocess (P1, T2) -> features."""
-    pre = preprocess_sources(train, descriptions, attributes, stemmer=stemmer)
+    pre = preprocess_sources(train, descriptions, attributes, stemmer=stemmer,
+                             materialize_pairs=with_cosine)
     return ft.relevance_features(pre, separator_aware=separator_aware, with_cosine=with_cosine)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import cleaning as cl
 from ..functions import text as tx
 from ..operators import merge as mg
 from ..operators import metrics as mt
@@ -320,6 +321,51 @@ def q_kmeans_curves(spark, sf_dir):
     return md.score_clusters(clusters)
 
 
+def q_regex_tokenize(spark, sf_dir):
+    toks = tx.regex_tokenize("product_title")
+    return _merged(spark, sf_dir).select("id", F.size(toks).alias("n_tokens"),
+                                         F.array_join(toks, "|").alias("tokens"))
+
+
+def q_stop_words_removed(spark, sf_dir):
+    toks = cl.remove_stop_words(tx.regex_tokenize("product_description"))
+    return fixture(spark, sf_dir, "product_descriptions").select(
+        "product_uid", F.size(toks).alias("n_tokens"), F.array_join(toks, "|").alias("tokens"))
+
+
+def q_clean_text(spark, sf_dir):
+    return fixture(spark, sf_dir, "product_descriptions").select(
+        "product_uid", cl.clean_text("product_description").alias("cleaned"))
+
+
+def q_query_frequency(spark, sf_dir):
+    return ft.query_frequency(fixture(spark, sf_dir, "train")).select("id", "search_term",
+                                                                    "query_frequency")
+
+
+def q_letter_histogram(spark, sf_dir):
+    return ft.letter_histogram(fixture(spark, sf_dir, "train"), "search_term")
+
+
+def q_title_length(spark, sf_dir):
+    return ft.with_title_length(_pre(spark, sf_dir)).select("id", "len_of_title")
+
+
+def q_cosine_term_description(spark, sf_dir):
+    cos = tfm.field_cosine(_pre(spark, sf_dir), "stemmed_search_term", "stemmed_product_description",
+                           out="term_description_similarity")
+    return cos.select("id", F.round("term_description_similarity", R).alias("term_description_similarity"))
+
+
+def q_jaccard_term_title(spark, sf_dir):
+    a = F.array_distinct(F.filter(tx.tokenize_ws("stemmed_search_term"), lambda t: t != ""))
+    b = F.array_distinct(F.filter(tx.tokenize_ws("stemmed_product_title"), lambda t: t != ""))
+    inter = F.size(F.array_intersect(a, b))
+    union = F.size(a) + F.size(b) - inter
+    sim_ = F.when(union > 0, inter.cast("double") / union.cast("double")).otherwise(F.lit(0.0))
+    return _pre(spark, sf_dir).select("id", F.round(sim_, R).alias("jaccard_term_title"))
+
+
 SPARK_QUERIES = {
     "merge_left": q_merge_left,
     "attr_group_concat": q_attr_group_concat,
@@ -366,6 +412,14 @@ SPARK_QUERIES = {
     "kmeans_clusters": q_kmeans_clusters,
     "bisecting_clusters": q_bisecting_clusters,
     "kmeans_curves": q_kmeans_curves,
+    "regex_tokenize": q_regex_tokenize,
+    "stop_words_removed": q_stop_words_removed,
+    "clean_text": q_clean_text,
+    "query_frequency": q_query_frequency,
+    "letter_histogram": q_letter_histogram,
+    "title_length": q_title_length,
+    "cosine_term_description": q_cosine_term_description,
+    "jaccard_term_title": q_jaccard_term_title,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -618,3 +672,61 @@ select id, round(p, {R}) as raw, list_sort([{_SNAP_CANDS}])[1].v as snapped from
 ORACLE_SQL["mean_threshold_label"] = cte("train") + """
 select id, case when cast(relevance as double) > (select avg(cast(relevance as double)) from train)
                 then 1.0 else 0.0 end as label from train"""
+
+
+def _sql_regex_tokens(x: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[\W_]+'), lambda t: length(t) >= 1)"
+
+
+_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in cl.STOP_WORDS)
+
+
+def _sql_clean(x: str) -> str:
+    out = f"lower({x})"
+    for pattern, repl in cl.CLEANING_RULES:
+        pat = pattern.replace("'", "''")
+        rep = repl.replace("$1", "\\1").replace("$2", "\\2")
+        out = f"regexp_replace({out}, '{pat}', '{rep}', 'g')"
+    return f"trim({out})"
+
+
+ORACLE_SQL["regex_tokenize"] = MERGED_CTE + f"""
+select id, cast(len({_sql_regex_tokens('product_title')}) as integer) as n_tokens,
+       array_to_string({_sql_regex_tokens('product_title')}, '|') as tokens
+from merged"""
+
+ORACLE_SQL["stop_words_removed"] = cte("product_descriptions") + f"""
+, t as (select product_uid, list_filter({_sql_regex_tokens('product_description')},
+                                       lambda w: not list_contains([{_STOP}], w)) as toks
+        from product_descriptions)
+select product_uid, cast(len(toks) as integer) as n_tokens, array_to_string(toks, '|') as tokens from t"""
+
+ORACLE_SQL["clean_text"] = cte("product_descriptions") + f"""
+select product_uid, {_sql_clean('product_description')} as cleaned from product_descriptions"""
+
+ORACLE_SQL["query_frequency"] = cte("train") + """
+select id, search_term, count(*) over (partition by search_term) as query_frequency from train"""
+
+ORACLE_SQL["letter_histogram"] = cte("train") + """
+, l as (select id, unnest(string_split(search_term, '')) as letter from train)
+select id, letter, count(*) as n from l where letter <> '' group by id, letter"""
+
+ORACLE_SQL["title_length"] = MERGED_CTE + """
+select id, cast(length(stemmed_product_title) as integer) as len_of_title from pre"""
+
+ORACLE_SQL["cosine_term_description"] = TOKENS_CTE + f""",
+pt as (
+  select id, token, sum(case when field = 'term' then weight else 0 end) as wl,
+         sum(case when field = 'description' then weight else 0 end) as wr
+  from w where field in ('term', 'description') group by id, token),
+s as (select id, sum(wl * wr) as dot, sum(wl * wl) as nl, sum(wr * wr) as nr from pt group by id)
+select p.id, round(coalesce(case when sqrt(s.nl) * sqrt(s.nr) > 0 then s.dot / (sqrt(s.nl) * sqrt(s.nr))
+                                 else 0.0 end, 0.0), {R}) as term_description_similarity
+from pre p left join s on p.id = s.id"""
+
+ORACLE_SQL["jaccard_term_title"] = MERGED_CTE + f"""
+, s as (select id, list_distinct(list_filter({_sql_tokens(_Q)}, lambda t: t <> '')) as a,
+               list_distinct(list_filter({_sql_tokens(_T)}, lambda t: t <> '')) as b from pre)
+select id, round(case when len(a) + len(b) - len(list_intersect(a, b)) > 0
+                      then len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b)))
+                      else 0.0 end, {R}) as jaccard_term_title from s"""

@@ -89,3 +89,26 @@ def test_snap_to_levels(spark, pred, expected):
 
 def test_regex_tokenizer(spark):
     assert one(spark, tx.regex_tokenize("a"), "Hello, World_x  2") == ["hello", "world", "x", "2"]
+
+
+def test_stop_words_equal_spark_default(spark):
+    from pyspark.ml.feature import StopWordsRemover
+    from searchscore.functions.cleaning import STOP_WORDS
+    assert list(STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_remove_stop_words_keeps_order_and_repeats(spark):
+    from searchscore.functions.cleaning import remove_stop_words
+    expr = remove_stop_words(F.split(F.col("a"), " "))
+    assert one(spark, expr, "the bolt and the bolt of steel") == ["bolt", "bolt", "steel"]
+
+
+@pytest.mark.parametrize("text,expected", [
+    ("2 x 4 Board, 8 feet", "2 xbi 4 board 8 ft."),
+    ("Three 5 gallon buckets", "3 5 gal. buckets"),
+    ("12 sq ft tile 90°", "12 sq.ft. tile 90 degrees"),
+    ("someone alone", "someone alone"),   # number words only as whole words
+])
+def test_clean_text(spark, text, expected):
+    from searchscore.functions.cleaning import clean_text
+    assert one(spark, clean_text("a"), text) == expected
