@@ -557,7 +557,8 @@ select id, commonWords_term_title, commonWords_term_description, commonWords_ter
 select cast(relevance as double) as label, {FEATURE_LIST} from feat where {VALID}""",
     "binary_label": cte("train") + """
 select id, cast(relevance as double) as label,
-       case when cast(relevance as double) > 2.0 then 1.0 else 0.0 end as binary_label from train""",
+       cast(case when cast(relevance as double) > 2.0 then 1.0 else 0.0 end as double) as binary_label
+from train""",
     "source_counts": MERGED_CTE + """
 select 'train' as source, count(*) as n_rows from train
 union all select 'product_descriptions', count(*) from product_descriptions
@@ -670,8 +671,8 @@ ORACLE_SQL["snap_levels"] = cte("train") + f"""
 select id, round(p, {R}) as raw, list_sort([{_SNAP_CANDS}])[1].v as snapped from pr"""
 
 ORACLE_SQL["mean_threshold_label"] = cte("train") + """
-select id, case when cast(relevance as double) > (select avg(cast(relevance as double)) from train)
-                then 1.0 else 0.0 end as label from train"""
+select id, cast(case when cast(relevance as double) > (select avg(cast(relevance as double)) from train)
+                     then 1.0 else 0.0 end as double) as label from train"""
 
 
 def _sql_regex_tokens(x: str) -> str:

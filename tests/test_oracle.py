@@ -13,6 +13,8 @@ import __spark_entry__ as E  # noqa: E402
 from check_oracle import duck, rows_of  # noqa: E402
 
 SLOW_ROWS_ONLY = {"lr_tuned", "rf_tuned", "gbt", "term_similarity_dimsum"}
+DUCK_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+              "string": "VARCHAR", "boolean": "BOOLEAN", "binary": "BLOB"}
 
 
 @pytest.fixture(scope="module")
@@ -30,6 +32,11 @@ def test_matches_duckdb(spark, con, key):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert rows_of(sdf.columns, srows) == rows_of(dcols, drows)
+    rel = con.sql(E.oracle_sql()[key])
+    dtypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in sdf.schema.fields:
+        st = f.dataType.simpleString()
+        assert DUCK_TYPES.get(st, st) == dtypes[f.name], (f.name, st, dtypes[f.name])
 
 
 @pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW_ROWS_ONLY))
