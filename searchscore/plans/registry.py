@@ -676,7 +676,7 @@ select id, cast(case when cast(relevance as double) > (select avg(cast(relevance
 
 
 def _sql_regex_tokens(x: str) -> str:
-    return f"list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[\W_]+'), lambda t: length(t) >= 1)"
+    return f"list_filter(regexp_split_to_array(lower(coalesce({x}, '')), '[\\W_]+'), lambda t: length(t) >= 1)"
 
 
 _STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in cl.STOP_WORDS)
