@@ -37,6 +37,9 @@ def running_sums(df: DataFrame, order: str, cols, descending: bool = True,
     spark = df.sparkSession
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     o = F.col(order).desc() if descending else F.col(order).asc()
+    # Both branches below read this one range shuffle (Spark plans it once and
+    # reuses it: ReusedExchange), so ranges and totals agree; a lost range
+    # shuffle is indeterminate to Spark and is recomputed with its consumers.
     ranged = df.repartitionByRange(n, o).withColumn("_range", F.spark_partition_id())
     local_w = (Window.partitionBy("_range").orderBy(o)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
