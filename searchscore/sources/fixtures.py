@@ -9,9 +9,10 @@ Spark SQL and DuckDB. The texts below are shared by ``queries()`` and
 Table names appear as ``{name}`` placeholders: Spark receives DataFrames for
 them (``spark.sql(text, orders=df, ...)``), DuckDB the plain view names.
 
-The conditions on keys only shape the data (an empty query every 97th order,
-a doubled query every 89th, no attributes for every 7th product); they never
-subset rows to make a check cheaper. Descriptions keep the whole document text.
+The CASE branches on order keys only shape values (an empty query every 97th
+order, a doubled query every 89th); promotional products carry no attribute
+sheet. No row is left out to make a check cheaper, and descriptions keep the
+whole document text.
 """
 from __future__ import annotations
 
@@ -49,10 +50,10 @@ where lang = 'en' and bit_length(text) = 8 * length(text)
 """
 
 ATTRIBUTES_SQL = """
-select p_partkey as product_uid, 'Brand' as name, p_brand as value from {part} where p_partkey % 7 <> 0
-union all select p_partkey, 'Type', p_type from {part} where p_partkey % 7 <> 0
-union all select p_partkey, 'Color Family', split_part(p_name, ' ', 1) from {part} where p_partkey % 7 <> 0 and p_size > 25
-union all select p_partkey, 'Size', case when p_size > 5 then cast(p_size as string) end from {part} where p_partkey % 7 <> 0
+select p_partkey as product_uid, 'Brand' as name, p_brand as value from {part} where p_type <> 'PROMO'
+union all select p_partkey, 'Type', p_type from {part} where p_type <> 'PROMO'
+union all select p_partkey, 'Color Family', split_part(p_name, ' ', 1) from {part} where p_type <> 'PROMO' and p_size > 25
+union all select p_partkey, 'Size', case when p_size > 5 then cast(p_size as string) end from {part} where p_type <> 'PROMO'
 union all select cast(null as bigint), cast(null as string), cast(null as string) from {region}
 """
 
