@@ -125,15 +125,38 @@ def valid_rows(features: DataFrame, feature_cols=MODEL_FEATURES) -> DataFrame:
 
 
 def model_table(features: DataFrame, label: str = "relevance", lenient: bool = False,
-                feature_cols=MODEL_FEATURES, keep=()) -> DataFrame:
+                feature_cols=MODEL_FEATURES, keep=(), fill_missing: dict | None = None) -> DataFrame:
     """P4 + P5 + P7: label (double) and the eleven features, rows with a NULL
-    or NaN feature dropped (what the assembler's ``skip`` mode does)."""
+    or NaN feature dropped (what the assembler's ``skip`` mode does).
+
+    Pairs without description or attributes have NULL distances and are
+    dropped, as in the reference (D8). ``fill_missing`` ({feature: value})
+    fills NULL/NaN of those features instead, keeping the rows.
+    """
     lab = F.col(label)
     lab = lab.try_cast("double") if lenient else lab.cast("double")
     cols = [lab.alias("label")] + [F.col(c) for c in feature_cols] + [F.col(c) for c in keep]
+    if fill_missing:
+        filled = {c: F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.lit(v))
+                  .otherwise(F.col(c)).cast(features.schema[c].dataType)
+                  for c, v in fill_missing.items()}
+        rest = [c for c in feature_cols if c not in fill_missing]
+        return valid_rows(features.withColumns(filled), rest).select(*cols)
     return valid_rows(features, feature_cols).select(*cols)
 
 
+def validity_report(features: DataFrame, feature_cols=MODEL_FEATURES) -> DataFrame:
+    """One row with the number of pairs, of valid pairs and of dropped pairs."""
+    rules = _input_validity()
+    cond = F.lit(True)
+    for c in feature_cols:
+        cond = cond & (rules[c] if c in rules else
+                       (F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))))
+    return (features.agg(F.count("*").cast("long").alias("n_pairs"),
+                         F.sum(cond.cast("long")).alias("n_valid"))
+            .withColumn("n_dropped", F.col("n_pairs") - F.col("n_valid")))
+
+
 def assemble(table: DataFrame, feature_cols=MODEL_FEATURES, out: str = "features",
              keep=(), already_valid: bool = True) -> DataFrame:
     """M1: the feature columns as one ML vector.

@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from ..operators.merge import flatten_attributes, merge_sources
@@ -66,3 +65,52 @@ def flagship(spark: SparkSession, sf_dir: str, stemmer: str = "porter2") -> Data
     feats = feature_table(*fixtures(spark, sf_dir), stemmer=stemmer, with_cosine=True)
     return feats.select("id", "product_uid", "relevance", "title_term_similarity", "num_of_attr",
                         *ft.MODEL_FEATURES)
+
+
+def run_relevance(spark: SparkSession, train_path: str, descriptions_path: str,
+                  attributes_path: str, fmt: str = "csv", stemmer: str = "porter2",
+                  seed: int = 42, sample_fraction: float | None = None,
+                  parallelism: int = 4, fit_forest: bool = True,
+                  csv_null_value: str | None = None) -> dict:
+    """The full run, returning tables instead of printing them.
+
+    Reads the three sources, optionally samples pairs (hash rule on ``id``),
+    builds features, splits 90/10, tunes linear regression and random forest,
+    fits gradient-boosted trees, clusters the binarised table with k-means and
+    bisecting k-means, and scores the clusters. Returns a dict of DataFrames:
+    ``features``, ``validity``, ``model_metrics`` (model, split, mse) and
+    ``cluster_curves`` (model, threshold, precision, recall, f_measure).
+    """
+    from ..operators import metrics as mt
+    from ..operators import models as md
+    from ..operators import sampling as sp
+    from ..sources.readers import read_sources
+
+    train, descriptions, attributes = read_sources(spark, train_path, descriptions_path,
+                                                   attributes_path, fmt, csv_null_value)
+    if sample_fraction is not None:
+        train = sp.sample(train, sample_fraction, key="id")
+    feats = feature_table(train, descriptions, attributes, stemmer=stemmer, with_cosine=True)
+    split = sp.with_split(feats, (0.9, 0.1), ("train", "test"), key="id")
+    table = cut_lineage(ft.assemble(ft.model_table(split, keep=("split",)), keep=("split",)))
+    tr, te = table.where(F.col("split") == "train"), table.where(F.col("split") == "test")
+
+    rows = []
+    fitted = {"linear_regression": md.linear_regression_tuned(tr, seed, parallelism),
+              "gbt": md.gradient_boosted_trees(tr, seed)}
+    if fit_forest:
+        fitted["random_forest"] = md.random_forest_tuned(tr, seed, parallelism)
+    for name, model in fitted.items():
+        mse = mt.mean_squared_error(model.transform(te)).first()["mse"]
+        rows.append((name, "test", float(mse)))
+        if hasattr(model, "validationMetrics"):
+            rows.append((name, "validation (best)", float(min(model.validationMetrics))))
+    model_metrics = spark.createDataFrame(rows, "model string, split string, mse double")
+
+    binary = md.binarize_labels(table.select("label", "features"))
+    curves = None
+    for name, fn in (("kmeans", md.kmeans_clusters), ("bisecting_kmeans", md.bisecting_kmeans_clusters)):
+        c = md.score_clusters(fn(binary)).withColumn("model", F.lit(name))
+        curves = c if curves is None else curves.unionByName(c)
+    return {"features": feats, "validity": ft.validity_report(feats), "model_metrics": model_metrics,
+            "cluster_curves": curves}

@@ -64,12 +64,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists",
 
 
 def read_sources(spark: SparkSession, train_path: str, descriptions_path: str,
-                 attributes_path: str, fmt: str = "csv") -> tuple[DataFrame, DataFrame, DataFrame]:
+                 attributes_path: str, fmt: str = "csv",
+                 null_value: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read the three inputs with their declared schemas (CSV or Parquet)."""
     if fmt == "csv":
-        return (read_csv(spark, train_path, TRAIN_SCHEMA),
-                read_csv(spark, descriptions_path, DESCRIPTIONS_SCHEMA),
-                read_csv(spark, attributes_path, ATTRIBUTES_SCHEMA))
+        return (read_csv(spark, train_path, TRAIN_SCHEMA, null_value=null_value),
+                read_csv(spark, descriptions_path, DESCRIPTIONS_SCHEMA, null_value=null_value),
+                read_csv(spark, attributes_path, ATTRIBUTES_SCHEMA, null_value=null_value))
     return (read_parquet(spark, train_path), read_parquet(spark, descriptions_path),
             read_parquet(spark, attributes_path))
 

@@ -84,3 +84,31 @@ def test_streaming_features_equal_batch(spark, tmpdir_path):
     batch = pl.feature_table(train, desc, attrs, with_cosine=False).select(*got.columns)
     assert got.count() == batch.count()
     assert got.exceptAll(batch).count() == 0
+
+
+def test_full_run_from_csv(spark, tmpdir_path):
+    train, desc, attrs = fixtures(spark, SF_SMALL)
+    paths = []
+    for name, df in (("train", train), ("desc", desc), ("attrs", attrs)):
+        p = os.path.join(tmpdir_path, name)
+        write_csv(df, p)
+        paths.append(p)
+    # the \N marker keeps empty strings apart from NULL in CSV
+    out = pl.run_relevance(spark, *paths, fmt="csv", fit_forest=False, parallelism=2,
+                           csv_null_value="\\N")
+    mm = {(r.model, r.split): r.mse for r in out["model_metrics"].collect()}
+    assert ("linear_regression", "test") in mm and ("gbt", "test") in mm
+    v = out["validity"].first()
+    assert v.n_pairs == train.count() and v.n_valid + v.n_dropped == v.n_pairs
+    assert {r.model for r in out["cluster_curves"].select("model").distinct().collect()} == {
+        "kmeans", "bisecting_kmeans"}
+
+
+def test_fill_missing_keeps_pairs(spark):
+    from searchscore.plans import features as ft
+    feats = rg._feat(spark, SF_SMALL)
+    dropped = ft.model_table(feats).count()
+    filled = ft.model_table(feats, fill_missing={"levenshtein_dist_description": -1,
+                                                 "levenshtein_dist_attr": -1}).count()
+    rep = ft.validity_report(feats).first()
+    assert rep.n_valid == dropped and filled >= dropped
