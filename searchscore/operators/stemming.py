@@ -49,7 +49,7 @@ def stem_word_udf(words: pd.Series) -> pd.Series:
     return words.map(stem, na_action="ignore")
 
 
-def stem_columns(df: DataFrame, columns: dict, id_col: str | None = None) -> DataFrame:
+def stem_columns(df: DataFrame, columns: dict) -> DataFrame:
     """Add ``dst`` = stemmed ``src`` for each item of ``columns`` {src: dst}."""
     return df.withColumns({dst: stem_text_udf(F.col(src)) for src, dst in columns.items()})
 

@@ -172,7 +172,9 @@ def cosine_by_id(weights: DataFrame, left: str, right: str, out: str = "cosine")
     dot product and both squared norms. Ids where either vector is zero get 0.
     Ids without any token on either side are absent; callers left-join.
     """
-    w = weights.where(F.col("field").isin(left, right))
+    # Hash on id once: the (id, token) and the id aggregates then need no
+    # further exchange (hash on id clusters (id, token) as well).
+    w = weights.where(F.col("field").isin(left, right)).repartition("id")
     per_token = (w.groupBy("id", "token")
                  .agg(F.sum(F.when(F.col("field") == left, F.col("weight")).otherwise(0.0)).alias("wl"),
                       F.sum(F.when(F.col("field") == right, F.col("weight")).otherwise(0.0)).alias("wr")))
@@ -185,21 +187,38 @@ def cosine_by_id(weights: DataFrame, left: str, right: str, out: str = "cosine")
 
 def field_cosine(df: DataFrame, left: str, right: str, id_col: str = "id",
                  out: str = "cosine") -> DataFrame:
-    """(id, cosine of TF-IDF(left text), TF-IDF(right text)) for every row."""
-    weights = tfidf_long(df.select(id_col, left, right), {"l": left, "r": right}, id_col)
-    cos = cosine_by_id(weights, "l", "r", out)
-    return (df.select(F.col(id_col).alias("id")).join(cos, "id", "left")
-            .select("id", F.coalesce(F.col(out), F.lit(0.0)).alias(out)))
+    """(id, cosine of TF-IDF(left text), TF-IDF(right text)) for every row.
+
+    Only the ``left`` vector is expanded per row (pass the shorter text, e.g.
+    the query): the dot product needs the ``right`` weights of the left
+    tokens only, which are looked up by (text key, token). Both norms are
+    computed once per distinct text. Work grows with rows x left tokens, not
+    with rows x right tokens (a long description is never copied per pair).
+    Rows where either vector is zero get 0.
+    """
+    key = lambda c: F.unhex(F.md5(F.col(c)))  # same key as text_rows
+    _, weights = text_tfidf(df.select(id_col, left, right), {"l": left, "r": right}, id_col)
+    wl = weights.where(F.col("field") == "l").select(F.col("key").alias("key_l"), "token",
+                                                     F.col("weight").alias("wl"))
+    wr = weights.where(F.col("field") == "r").select(F.col("key").alias("key_r"), "token",
+                                                     F.col("weight").alias("wr"))
+    norms = weights.groupBy("field", "key").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
+    nl = norms.where(F.col("field") == "l").select(F.col("key").alias("key_l"), F.col("norm").alias("nl"))
+    nr = norms.where(F.col("field") == "r").select(F.col("key").alias("key_r"), F.col("norm").alias("nr"))
+    rows = df.select(F.col(id_col).alias("id"), key(left).alias("key_l"), key(right).alias("key_r"))
+    dots = (rows.join(wl, "key_l").join(wr, ["key_r", "token"])
+            .groupBy("id").agg(F.sum(F.col("wl") * F.col("wr")).alias("dot")))
+    denom = F.col("nl") * F.col("nr")
+    return (rows.join(nl, "key_l", "left").join(nr, "key_r", "left").join(dots, "id", "left")
+            .select("id", F.when(denom > 0, F.coalesce(F.col("dot"), F.lit(0.0)) / denom)
+                    .otherwise(F.lit(0.0)).alias(out)))
 
 
 def title_term_cosine(df: DataFrame, title: str = "stemmed_product_title",
                       term: str = "stemmed_search_term", id_col: str = "id",
                       out: str = "title_term_similarity") -> DataFrame:
     """M4 end to end: (id, cosine of TF-IDF(title), TF-IDF(term)) for every row of df."""
-    weights = tfidf_long(df.select(id_col, title, term), {"title": title, "term": term}, id_col)
-    cos = cosine_by_id(weights, "title", "term", out)
-    return (df.select(F.col(id_col).alias("id")).join(cos, "id", "left")
-            .select("id", F.coalesce(F.col(out), F.lit(0.0)).alias(out)))
+    return field_cosine(df, term, title, id_col, out)
 
 
 def hashed_tfidf(df: DataFrame, text_col: str, out_prefix: str,

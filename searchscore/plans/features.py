@@ -39,7 +39,7 @@ def preprocess(merged: DataFrame, stemmer: str = "porter2") -> DataFrame:
     if stemmer == "none":
         return low.withColumns({dst: F.col(src) for src, dst in STEM_SOURCES.items()})
     from ..operators.stemming import stem_columns
-    return stem_columns(low, STEM_SOURCES, id_col="id")
+    return stem_columns(low, STEM_SOURCES)
 
 
 def relevance_features(pre: DataFrame, separator_aware: bool = True,
