@@ -40,20 +40,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster it must already point at shared storage, and it is only read.
-    When it is unset (local tests) a private scratch folder is created once.
+    When it is unset (local tests) a private scratch folder is registered with
+    the SparkContext (the config itself cannot change at runtime).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="searchscore-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
-    return current
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
