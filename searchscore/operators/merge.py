@@ -5,11 +5,15 @@ J1/J2 ``merge_sources``: pairs left-joined with descriptions and attributes.
 P1 ``lower_text``, P2 ``drop_raw_text``, P3 ``rename_stemmed``,
 P4 ``relevance_to_double``.
 
-Plan shape: the attribute aggregate is hash-partitioned on ``product_uid`` and
-both joins use that key, so Spark shuffles pairs and descriptions once each
-and chains the two joins without another exchange. Small product tables are
-broadcast by Spark's own size check (``autoBroadcastJoinThreshold``); a hot
-product on the pair side is split by AQE's skew-join handling.
+Plan shape: the two product-level inputs (descriptions, flattened attributes)
+are joined with each other first (full outer on the product key), and the
+pairs meet that product table in a single left join. The result equals the
+two chained left joins (each pair gets every description row of its product
+times its attribute row, NULL where missing), but the big pair-side join now
+reads shuffle stages directly, so AQE can split a product that holds a large
+share of the pairs (skew join); with two chained joins on one key AQE cannot
+split without adding a shuffle and leaves the hot partition whole. A small
+product table is broadcast by Spark's own size check instead.
 """
 from __future__ import annotations
 
@@ -47,6 +51,15 @@ def flatten_attributes(attributes: DataFrame, key: str = "product_uid", name: st
             .agg(F.array_join(F.sort_array(F.collect_list("_nv")), ATTRIBUTE_SEPARATOR).alias(out)))
 
 
+def product_table(descriptions: DataFrame, flat_attributes: DataFrame,
+                  key: str = "product_uid") -> DataFrame:
+    """Descriptions ⟗ flattened attributes on the product key (NULL keys dropped:
+    they cannot match a pair)."""
+    d = descriptions.where(F.col(key).isNotNull())
+    a = flat_attributes.where(F.col(key).isNotNull())
+    return d.join(a, key, "full")
+
+
 def merge_sources(train: DataFrame, descriptions: DataFrame, attributes: DataFrame,
                   key: str = "product_uid") -> DataFrame:
     """J1 + J2: pairs ⟕ descriptions ⟕ flattened attributes, on the product key.
@@ -56,8 +69,7 @@ def merge_sources(train: DataFrame, descriptions: DataFrame, attributes: DataFra
     relevance, product_description, attributes.
     """
     flat = flatten_attributes(attributes, key=key, drop_null_keys=True)
-    merged = (train.join(descriptions, key, "left")
-              .join(flat, key, "left"))
+    merged = train.join(product_table(descriptions, flat, key), key, "left")
     return merged.select(key, "id", "product_title", "search_term", "relevance",
                          "product_description", "attributes")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import flatten_attributes, merge_sources
+from ..operators.merge import flatten_attributes, merge_sources, product_table
 from ..session import cut_lineage
 from ..sources.fixtures import fixtures
 from . import features as ft
@@ -38,7 +38,7 @@ def preprocess_sources(train: DataFrame, descriptions: DataFrame, attributes: Da
     de = _prepare(descriptions, {"product_description": s["product_description"]}, stemmer)
     at = _prepare(flatten_attributes(attributes, drop_null_keys=True),
                   {"attributes": s["attributes"]}, stemmer)
-    merged = (tr.join(de, "product_uid", "left").join(at, "product_uid", "left"))
+    merged = tr.join(product_table(de, at), "product_uid", "left")
     return merged.select("product_uid", "id", "product_title", "search_term", "relevance",
                          "product_description", "attributes", *s.values())
 

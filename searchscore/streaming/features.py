@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import features as ft
 from ..plans.pipeline import _prepare
-from ..operators.merge import flatten_attributes
+from ..operators.merge import flatten_attributes, product_table
 
 
 def feature_stream(pairs: DataFrame, descriptions: DataFrame, attributes: DataFrame,
@@ -22,7 +22,7 @@ def feature_stream(pairs: DataFrame, descriptions: DataFrame, attributes: DataFr
     de = _prepare(descriptions, {"product_description": s["product_description"]}, stemmer)
     at = _prepare(flatten_attributes(attributes, drop_null_keys=True),
                   {"attributes": s["attributes"]}, stemmer)
-    merged = tr.join(de, "product_uid", "left").join(at, "product_uid", "left")
+    merged = tr.join(product_table(de, at), "product_uid", "left")
     pre = merged.select("product_uid", "id", "product_title", "search_term", "relevance",
                         "product_description", "attributes", *s.values())
     return ft.relevance_features(pre, separator_aware=separator_aware, with_cosine=False)
