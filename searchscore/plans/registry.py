@@ -215,7 +215,7 @@ def q_stem_terms(spark, sf_dir):
 
 
 def q_features_stemmed(spark, sf_dir):
-    from .pipeline import flagship
+    from .full_run import flagship
     return flagship(spark, sf_dir, stemmer="porter2")
 
 

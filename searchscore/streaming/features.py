@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import features as ft
-from ..plans.pipeline import _prepare
+from ..plans.full_run import _prepare
 from ..operators.merge import flatten_attributes, product_table
 
 

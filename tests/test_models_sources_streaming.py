@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from searchscore.operators import models as md
 from searchscore.operators import sampling as sp
-from searchscore.plans import pipeline as pl
+from searchscore.plans import full_run as pl
 from searchscore.plans import registry as rg
 from searchscore.sources import fixtures, read_csv, read_parquet, write_csv, write_parquet
 from searchscore.sources.readers import TRAIN_SCHEMA
