@@ -185,10 +185,14 @@ def term_similarity_dimsum(vectors: DataFrame, vector_cols, threshold: float = 0
     def concat(row):
         idx, val, off = [], [], 0
         for v in row:
-            sv = v.toSparse() if hasattr(v, "toSparse") else v
-            idx.extend(int(i) + off for i in sv.indices)
-            val.extend(float(x) for x in sv.values)
-            off += sv.size
+            if hasattr(v, "indices"):
+                pairs = zip(v.indices, v.values)
+            else:  # dense
+                pairs = ((i, x) for i, x in enumerate(v.toArray()) if x != 0.0)
+            for i, x in pairs:
+                idx.append(int(i) + off)
+                val.append(float(x))
+            off += v.size
         return SparseVector(off, idx, val)
 
     rows = vectors.select(*cols).rdd.map(concat)
