@@ -7,7 +7,6 @@ come out of sums of products are rounded to 6 digits on both sides.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as cl
