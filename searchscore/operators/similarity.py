@@ -5,11 +5,13 @@ Exact Jaccard pairs (``jaccard_pairs``) work on distinct token sets: rows with
 the same set collapse into one set with a row count, so a query repeated by a
 third of all rows is one set, and identical rows never pair up with each other
 row by row. Candidates come from prefix filtering (Bayardo et al. 2007;
-Vernica et al. 2010): tokens are ordered rarest first, and two sets with
-Jaccard similarity >= t must share a token among the first
-|s| - ceil(t |s|) + 1 tokens of each. Frequent tokens sort last and rarely
-enter a prefix, so they add few candidate pairs; the method stays exact (no
-cap, no sampling). Each candidate is then verified on the full sets.
+Vernica et al. 2010; Xiao et al. 2008): tokens are ordered rarest first, and
+two sets with Jaccard similarity >= t must share a token among short prefixes
+of both (the smaller set indexes |x| - ceil(2t/(1+t)|x|) + 1 tokens, the larger
+probes with |y| - ceil(t|y|) + 1), sizes must be within a factor t. Frequent
+tokens sort last and rarely enter a prefix, so they add few candidate pairs;
+the method stays exact (no cap, no sampling). Each candidate is then verified
+on the full sets.
 
 Term-term cosine (``term_similarity``) is the column similarity of the
 row x term matrix: for every pair of terms co-occurring in a row, the sum over
@@ -45,19 +47,29 @@ def token_sets(df: DataFrame, text_col: str, tokenizer=tokenize_ws) -> DataFrame
             .agg(F.first("tokens").alias("tokens"), F.count("*").cast("long").alias("n_rows")))
 
 
-def _prefix_index(sets: DataFrame, min_similarity: float) -> DataFrame:
-    """(token, set_key) for the prefix tokens of each set under the global
-    rarest-first order."""
-    entries = sets.select("set_key", F.size("tokens").alias("k"),
-                          F.explode("tokens").alias("token"))
+def _ranked_prefixes(sets: DataFrame, min_similarity: float) -> DataFrame:
+    """(token, set_key, k, pos, index_len, probe_len) for the prefix tokens of
+    each set under the global rarest-first order.
+
+    With sets ordered by (size, key) and x before y, J(x, y) >= t implies an
+    overlap of at least ceil(2t/(1+t) |x|) and at least ceil(t |y|) tokens, so
+    x's first |x| - ceil(2t/(1+t) |x|) + 1 tokens (index prefix) and y's first
+    |y| - ceil(t |y|) + 1 tokens (probe prefix) share a token (PPJoin, Xiao et
+    al. 2008). Rounding is taken downwards, which only lengthens prefixes.
+    """
+    t = min_similarity
+    entries = sets.select("set_key", F.size("tokens").alias("k"), F.explode("tokens").alias("token"))
     freq = entries.groupBy("token").agg(F.count("*").alias("freq"))
     ranked = entries.join(freq, "token")
-    # overlap needed: ceil(t * k); a smaller value only lengthens the prefix.
-    need = F.greatest(F.lit(1), F.ceil(F.lit(min_similarity) * F.col("k") - F.lit(EPS)))
+    k = F.col("k")
+    need_probe = F.greatest(F.lit(1), F.ceil(F.lit(t) * k - F.lit(EPS)))
+    need_index = F.greatest(F.lit(1), F.ceil(F.lit(2 * t / (1 + t)) * k - F.lit(EPS)))
     w = Window.partitionBy("set_key").orderBy("freq", "token")
     return (ranked.withColumn("pos", F.row_number().over(w))
-            .where(F.col("pos") <= F.col("k") - need + 1)
-            .select("token", "set_key"))
+            .withColumn("index_len", k - need_index + 1)
+            .withColumn("probe_len", k - need_probe + 1)
+            .where(F.col("pos") <= F.col("probe_len"))
+            .select("token", "set_key", "k", "pos", "index_len"))
 
 
 def jaccard_pairs(df: DataFrame, text_col: str, max_distance: float = 0.8,
@@ -73,13 +85,17 @@ def jaccard_pairs(df: DataFrame, text_col: str, max_distance: float = 0.8,
     """
     if not 0.0 <= max_distance < 1.0:
         raise ValueError("max_distance must be in [0, 1); at 1 every pair matches")
-    min_sim = 1.0 - max_distance
+    t = 1.0 - max_distance
     sets = token_sets(df, text_col, tokenizer)
-    idx = _prefix_index(sets, min_sim)
-    a, b = idx.alias("a"), idx.alias("b")
-    cands = (a.join(b, (F.col("a.token") == F.col("b.token"))
-                    & (F.col("a.set_key") < F.col("b.set_key")))
-             .select(F.col("a.set_key").alias("set_a"), F.col("b.set_key").alias("set_b"))
+    pref = _ranked_prefixes(sets, t)
+    x = pref.where(F.col("pos") <= F.col("index_len")).alias("x")   # smaller set: index prefix
+    y = pref.alias("y")                                              # larger set: probe prefix
+    smaller = ((F.col("x.k") < F.col("y.k"))
+               | ((F.col("x.k") == F.col("y.k")) & (F.col("x.set_key") < F.col("y.set_key"))))
+    size_ok = F.col("x.k") >= F.lit(t) * F.col("y.k") - F.lit(EPS)
+    cands = (x.join(y, (F.col("x.token") == F.col("y.token")) & smaller & size_ok)
+             .select(F.least("x.set_key", "y.set_key").alias("set_a"),
+                     F.greatest("x.set_key", "y.set_key").alias("set_b"))
              .distinct())
     sa = sets.select(F.col("set_key").alias("set_a"), F.col("tokens").alias("tok_a"),
                      F.col("n_rows").alias("n_rows_a"))

@@ -100,3 +100,17 @@ def test_cosine_bounds(spark):
     cos = rg.q_cosine_title_term(spark, SF_SMALL)
     lo, hi = cos.agg(F.min("title_term_similarity"), F.max("title_term_similarity")).first()
     assert 0.0 <= lo and hi <= 1.0 + 1e-9
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_jaccard_exact_random_sets(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    vocab = [f"w{i}" for i in range(14)]
+    weights = [1.0 / (i + 1) for i in range(14)]          # skewed word frequencies
+    texts = [" ".join(rnd.choices(vocab, weights, k=rnd.randint(1, 7))) for _ in range(150)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string")
+    for max_distance in (0.1, 0.34, 0.5, 0.67, 0.8, 0.9):
+        got = {(r.set_a, r.set_b): round(r.jaccard_distance, 9)
+               for r in sim.jaccard_pairs(df, "t", max_distance).collect()}
+        assert got == brute_force(texts, max_distance), max_distance
