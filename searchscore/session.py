@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     # Stemming batches carry whole descriptions: fewer rows per Arrow batch
     # keep a batch's Python memory bounded when texts are long.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # Remove reliable checkpoint files once their DataFrame is unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
