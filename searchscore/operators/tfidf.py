@@ -90,18 +90,20 @@ def transform_idf(tf: DataFrame, idf: DataFrame) -> DataFrame:
             .select("field", "id", "token", "tf", "idf", "weight"))
 
 
-def text_rows(df: DataFrame, fields: dict, id_col: str = "id") -> DataFrame:
-    """(field, id, key, text): one row per field of each row with a non-NULL text.
+def text_rows(df: DataFrame, fields: dict, id_col: str = "id", keep_null: bool = False) -> DataFrame:
+    """(field, id, key, text): one row per field of each row.
 
     ``key`` is the MD5 of the text (16 bytes): equal texts share a key; for
-    distinct texts a clash has odds of about n^2 / 2^129.
+    distinct texts a clash has odds of about n^2 / 2^129. Rows whose text is
+    NULL are left out unless ``keep_null`` (then key and text are NULL).
     """
     structs = [F.struct(F.lit(name).alias("field"),
                         (F.col(c) if isinstance(c, str) else c).alias("text"))
                for name, c in fields.items()]
     rows = (df.select(F.col(id_col).alias("id"), F.explode(F.array(*structs)).alias("_s"))
-            .select(F.col("_s.field").alias("field"), "id", F.col("_s.text").alias("text"))
-            .where(F.col("text").isNotNull()))
+            .select(F.col("_s.field").alias("field"), "id", F.col("_s.text").alias("text")))
+    if not keep_null:
+        rows = rows.where(F.col("text").isNotNull())
     return rows.withColumn("key", F.unhex(F.md5(F.col("text"))))
 
 
@@ -111,23 +113,29 @@ def text_tfidf(df: DataFrame, fields: dict, id_col: str = "id", min_doc_freq: in
 
     Returns (rows, weights): rows = (field, id, key); weights = (field, key,
     token, tf, idf, weight). Document frequency counts rows, as if every row
-    had been tokenised, and ``m`` is the number of rows of ``df``.
+    had been tokenised, and ``m`` is the number of rows of ``df``: the sum of
+    the row counts of all distinct texts of a field, NULL texts included, so
+    no separate pass over ``df`` is needed to count it.
     """
-    rows = text_rows(df, fields, id_col)
-    texts = rows.groupBy("field", "key").agg(F.first("text").alias("text"),
-                                             F.count("*").cast("long").alias("n_rows"))
+    all_rows = text_rows(df, fields, id_col, keep_null=True)
+    groups = all_rows.groupBy("field", "key").agg(F.first("text").alias("text"),
+                                                  F.count("*").cast("long").alias("n_rows"))
+    # one row per field: bounded by the number of fields, safe to broadcast
+    n_docs = groups.groupBy("field").agg(F.sum("n_rows").alias("m"))
+    texts = groups.where(F.col("key").isNotNull())
     toks = texts.select("field", "key", "n_rows", F.explode(tokenizer(F.col("text"))).alias("token"))
     if not keep_empty:
         toks = toks.where(F.col("token") != "")
     tf = toks.groupBy("field", "key", "token").agg(F.count("*").cast("long").alias("tf"),
                                                   F.first("n_rows").alias("n_rows"))
-    m = document_count(df)
-    dfreq = tf.groupBy("field", "token").agg(F.sum("n_rows").cast("long").alias("df"))
-    idf_v = F.log((m.cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))
+    dfreq = (tf.groupBy("field", "token").agg(F.sum("n_rows").cast("long").alias("df"))
+             .join(F.broadcast(n_docs), "field"))
+    idf_v = F.log((F.col("m").cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))
     idf = dfreq.select("field", "token", "df",
                        F.when(F.col("df") >= F.lit(min_doc_freq), idf_v).otherwise(F.lit(0.0)).alias("idf"))
     weights = (tf.join(idf, ["field", "token"])
                .select("field", "key", "token", "tf", "idf", (F.col("tf") * F.col("idf")).alias("weight")))
+    rows = text_rows(df, fields, id_col)
     return rows.select("field", "id", "key"), weights
 
 
