@@ -30,7 +30,7 @@ is kept for parity with vector-based callers: ``hashed_tfidf``.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize_ws
@@ -165,12 +165,13 @@ def tfidf_summary(df: DataFrame, fields: dict, id_col: str = "id", min_doc_freq:
 
 
 def l2_normalize(weights: DataFrame, value: str = "weight") -> DataFrame:
-    """M2: weight / ||weights of the same (field, id)||; a zero vector stays zero."""
-    norms = weights.groupBy("field", "id").agg(F.sqrt(F.sum(F.col(value) ** 2)).alias("_norm"))
-    return (weights.join(norms, ["field", "id"])
-            .withColumn(value, F.when(F.col("_norm") > 0, F.col(value) / F.col("_norm"))
-                        .otherwise(F.lit(0.0)))
-            .drop("_norm"))
+    """M2: weight / ||weights of the same (field, id)||; a zero vector stays zero.
+
+    A window over (field, id): one pass, and a window group is the tokens of
+    one text of one row.
+    """
+    norm = F.sqrt(F.sum(F.col(value) * F.col(value)).over(Window.partitionBy("field", "id")))
+    return weights.withColumn(value, F.when(norm > 0, F.col(value) / norm).otherwise(F.lit(0.0)))
 
 
 def cosine_by_id(weights: DataFrame, left: str, right: str, out: str = "cosine") -> DataFrame:

@@ -365,6 +365,12 @@ def q_jaccard_term_title(spark, sf_dir):
     return _pre(spark, sf_dir).select("id", F.round(sim_, R).alias("jaccard_term_title"))
 
 
+def q_l2_normalized_title(spark, sf_dir):
+    w = _tfidf_fields(spark, sf_dir).where(F.col("field") == "title")
+    n = tfm.l2_normalize(w)
+    return n.select("id", "token", F.round("weight", R).alias("normalized_tfidf"))
+
+
 SPARK_QUERIES = {
     "merge_left": q_merge_left,
     "attr_group_concat": q_attr_group_concat,
@@ -419,6 +425,7 @@ SPARK_QUERIES = {
     "title_length": q_title_length,
     "cosine_term_description": q_cosine_term_description,
     "jaccard_term_title": q_jaccard_term_title,
+    "l2_normalized_title": q_l2_normalized_title,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -730,3 +737,8 @@ ORACLE_SQL["jaccard_term_title"] = MERGED_CTE + f"""
 select id, round(case when len(a) + len(b) - len(list_intersect(a, b)) > 0
                       then len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b)))
                       else 0.0 end, {R}) as jaccard_term_title from s"""
+
+ORACLE_SQL["l2_normalized_title"] = TOKENS_CTE + f"""
+, t as (select id, token, weight, sqrt(sum(weight * weight) over (partition by id)) as norm
+        from w where field = 'title')
+select id, token, round(case when norm > 0 then weight / norm else 0.0 end, {R}) as normalized_tfidf from t"""
