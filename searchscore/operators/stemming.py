@@ -55,10 +55,17 @@ def stem_columns(df: DataFrame, columns: dict) -> DataFrame:
 
 
 def stem_vocabulary(df: DataFrame, columns) -> DataFrame:
-    """(word, stem) for every distinct word of the given text columns."""
-    words = F.concat(*[F.split(F.coalesce(F.lower(F.col(c)), F.lit("")), NON_WORD_SQL)
-                       for c in columns])
-    vocab = (df.select(F.explode(words).alias("word"))
+    """(word, stem) for every distinct word of the given text columns.
+
+    Texts are collapsed to distinct texts first (a product's description
+    repeats for every pair), then split into words, deduplicated, and only the
+    vocabulary goes through the Python helper.
+    """
+    texts = (df.select(F.explode(F.array(*[F.lower(F.col(c)) for c in columns])).alias("text"))
+             .where(F.col("text").isNotNull())
+             .groupBy(F.unhex(F.md5("text")).alias("_key"))
+             .agg(F.first("text").alias("text")))
+    vocab = (texts.select(F.explode(F.split("text", NON_WORD_SQL)).alias("word"))
              .where(F.col("word") != "")
              .distinct())
     return vocab.withColumn("stem", stem_word_udf(F.col("word")))
