@@ -112,3 +112,15 @@ def test_fill_missing_keeps_pairs(spark):
                                                  "levenshtein_dist_attr": -1}).count()
     rep = ft.validity_report(feats).first()
     assert rep.n_valid == dropped and filled >= dropped
+
+
+def test_bernoulli_modes(spark):
+    train = fixtures(spark, SF_SMALL)[0]
+    n = train.count()
+    s = sp.sample(train, 0.1, mode="bernoulli", seed=323)
+    assert 0 < s.count() < n
+    parts = sp.split(train, (0.9, 0.1), mode="bernoulli", seed=12345)
+    assert sum(p.count() for p in parts) == n
+    assert sp.preview(train, 5).count() == 5
+    ordered = [r.product_uid for r in sp.sort_by(train, "product_uid").select("product_uid").collect()]
+    assert ordered == sorted(ordered)
