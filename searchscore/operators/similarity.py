@@ -211,8 +211,15 @@ def term_similarity_dimsum(vectors: DataFrame, vector_cols, threshold: float = 0
             off += v.size
         return SparseVector(off, idx, val)
 
-    rows = vectors.select(*cols).rdd.map(concat)
-    sims = RowMatrix(rows).columnSimilarities(threshold)
+    # The similarity pass reads the rows twice (column norms, then pairs):
+    # materialise the vectors once in the shared checkpoint folder, and give
+    # the matrix its size so it does not probe the first row for it.
+    from ..session import cut_lineage
+    vec = cut_lineage(vectors.select(*cols))
+    head = vec.first()
+    n_cols = sum(v.size for v in head) if head is not None else 0
+    rows = vec.rdd.map(concat)
+    sims = RowMatrix(rows, numRows=0, numCols=n_cols).columnSimilarities(threshold)
     return sims.entries.toDF(["i", "j", "similarity"])
 
 
