@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize_ws
+from ..session import cut_lineage
 
 EPS = 1e-9
 
@@ -86,7 +87,10 @@ def jaccard_pairs(df: DataFrame, text_col: str, max_distance: float = 0.8,
     if not 0.0 <= max_distance < 1.0:
         raise ValueError("max_distance must be in [0, 1); at 1 every pair matches")
     t = 1.0 - max_distance
-    sets = token_sets(df, text_col, tokenizer)
+    # The set table is read four times below (prefix index, two verification
+    # lookups, self pairs); each read would otherwise recompute it from every
+    # row of ``df``. It holds one row per distinct set: keep it once.
+    sets = cut_lineage(token_sets(df, text_col, tokenizer))
     pref = _ranked_prefixes(sets, t)
     x = pref.where(F.col("pos") <= F.col("index_len")).alias("x")   # smaller set: index prefix
     y = pref.alias("y")                                              # larger set: probe prefix
