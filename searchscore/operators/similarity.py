@@ -178,7 +178,10 @@ def term_similarity(entries: DataFrame, min_similarity: float = 0.0) -> DataFram
     dots = (per_row.select(F.explode(pairs_expr).alias("q"))
             .groupBy(F.col("q.term_a").alias("term_a"), F.col("q.term_b").alias("term_b"))
             .agg(F.sum("q.p").alias("dot")))
-    norms = cells.groupBy("term").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
+    # Norms from the same per-row arrays as the pair products.
+    norms = (per_row.select(F.explode("e").alias("x"))
+             .groupBy(F.col("x.term").alias("term"))
+             .agg(F.sqrt(F.sum(F.col("x.value") * F.col("x.value"))).alias("norm")))
     na = norms.select(F.col("term").alias("term_a"), F.col("norm").alias("norm_a"))
     nb = norms.select(F.col("term").alias("term_b"), F.col("norm").alias("norm_b"))
     sim = F.col("dot") / (F.col("norm_a") * F.col("norm_b"))
