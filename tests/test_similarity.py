@@ -114,3 +114,38 @@ def test_jaccard_exact_random_sets(spark, seed):
         got = {(r.set_a, r.set_b): round(r.jaccard_distance, 9)
                for r in sim.jaccard_pairs(df, "t", max_distance).collect()}
         assert got == brute_force(texts, max_distance), max_distance
+
+
+def test_lookup_cosine_equals_expanded_cosine(spark):
+    from searchscore.plans import registry as rg
+    from conftest import SF_SMALL
+    pre = rg._pre(spark, SF_SMALL)
+    look = {r.id: r.c for r in tfm.field_cosine(pre, "stemmed_search_term",
+                                                "stemmed_product_description", out="c").collect()}
+    w = tfm.tfidf_long(pre, {"q": "stemmed_search_term", "d": "stemmed_product_description"})
+    exp = {r.id: r.c for r in tfm.cosine_by_id(w, "q", "d", out="c").collect()}
+    assert set(exp) <= set(look)
+    for i, v in look.items():
+        assert v == pytest.approx(exp.get(i, 0.0), abs=1e-9)
+
+
+def test_summary_equals_long_form(spark):
+    from searchscore.plans import registry as rg
+    from conftest import SF_SMALL
+    pre = rg._pre(spark, SF_SMALL)
+    fields = {"t": "stemmed_product_title"}
+    summ = {r.id: (r.n_terms, r.n_tokens, r.sum_tfidf) for r in tfm.tfidf_summary(pre, fields).collect()}
+    agg = (tfm.tfidf_long(pre, fields).groupBy("id")
+           .agg(F.count("*").alias("n"), F.sum("tf").alias("k"), F.sum("weight").alias("s")).collect())
+    assert len(agg) == len(summ)
+    for r in agg:
+        n, k, s = summ[r.id]
+        assert (n, k) == (r.n, r.k) and s == pytest.approx(r.s, abs=1e-9)
+
+
+def test_l2_normalize_unit_norm_and_zero(spark):
+    w = spark.createDataFrame([("f", 1, "a", 3.0), ("f", 1, "b", 4.0), ("f", 2, "a", 0.0)],
+                              "field string, id long, token string, weight double")
+    out = {(r.id, r.token): r.weight for r in tfm.l2_normalize(w).collect()}
+    assert out[(1, "a")] == pytest.approx(0.6) and out[(1, "b")] == pytest.approx(0.8)
+    assert out[(2, "a")] == 0.0
