@@ -1,8 +1,12 @@
 """X1 preprocess, X2 relevance features, P5 + P7 model table, E7-E10 extras.
 
 All row-wise features are Column expressions added in one projection over the
-merged table: no shuffle, one whole-stage-codegen stage. Only the title-term
-cosine (TF-IDF) and the query frequency aggregate across rows.
+merged table, in the same stage as the join: no shuffle and no Python. The
+word splits, lengths and edit distances are codegen'd; the multiset overlap
+is a higher-order function (a short lambda over the query's distinct words),
+which Spark evaluates interpreted, with the scan of the long side inside the
+built-in ``array_remove``. Only the title-term cosine (TF-IDF) and the query
+frequency aggregate across rows.
 """
 from __future__ import annotations
 
