@@ -112,7 +112,11 @@ def ratio_of_common_words(common, length) -> Column:
 
 
 def len_of_query(c) -> Column:
-    """Character length of the query."""
+    """Character length of the query.
+
+    Counts code points; a JVM ``String.length()`` counts UTF-16 units, which
+    differs only for characters outside the Basic Multilingual Plane.
+    """
     return F.length(_col(c)).cast("int")
 
 
