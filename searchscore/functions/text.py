@@ -134,6 +134,16 @@ def num_of_attributes(c, separator: str = "\x00") -> Column:
     return F.when(trimmed == "", F.lit(0)).otherwise(seps + 1).cast("int")
 
 
+def row_jaccard(a, b) -> Column:
+    """Jaccard similarity of the token sets of two texts in the same row
+    (whitespace tokens, empty tokens ignored); 0 when both sets are empty."""
+    sa = F.array_distinct(F.filter(tokenize_ws(a), lambda t: t != ""))
+    sb = F.array_distinct(F.filter(tokenize_ws(b), lambda t: t != ""))
+    inter = F.size(F.array_intersect(sa, sb))
+    union = F.size(sa) + F.size(sb) - inter
+    return F.when(union > 0, inter.cast("double") / union.cast("double")).otherwise(F.lit(0.0))
+
+
 def levenshtein_distance(left, right, threshold: int | None = None) -> Column:
     """T5: edit distance in characters, NULL when either side is NULL.
 

@@ -357,14 +357,21 @@ def q_cosine_term_description(spark, sf_dir):
 
 
 def q_jaccard_term_title(spark, sf_dir):
-    a = F.array_distinct(F.filter(tx.tokenize_ws("stemmed_search_term"), lambda t: t != ""))
-    b = F.array_distinct(F.filter(tx.tokenize_ws("stemmed_product_title"), lambda t: t != ""))
-    inter = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - inter
-    sim_ = F.when(union > 0, inter.cast("double") / union.cast("double")).otherwise(F.lit(0.0))
+    sim_ = tx.row_jaccard("stemmed_search_term", "stemmed_product_title")
     return _pre(spark, sf_dir).select("id", F.round(sim_, R).alias("jaccard_term_title"))
 
 
+def q_jaccard_term_description(spark, sf_dir):
+    sim_ = tx.row_jaccard("stemmed_search_term", "stemmed_product_description")
+    return _pre(spark, sf_dir).select("id", F.round(sim_, R).alias("jaccard_term_description"))
+
+
+def q_cosine_term_attributes(spark, sf_dir):
+    cos = tfm.field_cosine(_pre(spark, sf_dir), "stemmed_search_term", "stemmed_attributes",
+                           out="term_attributes_similarity")
+    return cos.select("id", F.round("term_attributes_similarity", R).alias("term_attributes_similarity"))
+
+
 def q_l2_normalized_title(spark, sf_dir):
     w = _tfidf_fields(spark, sf_dir).where(F.col("field") == "title")
     n = tfm.l2_normalize(w)
@@ -426,6 +433,8 @@ SPARK_QUERIES = {
     "cosine_term_description": q_cosine_term_description,
     "jaccard_term_title": q_jaccard_term_title,
     "l2_normalized_title": q_l2_normalized_title,
+    "jaccard_term_description": q_jaccard_term_description,
+    "cosine_term_attributes": q_cosine_term_attributes,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -731,14 +740,38 @@ select p.id, round(coalesce(case when sqrt(s.nl) * sqrt(s.nr) > 0 then s.dot / (
                                  else 0.0 end, 0.0), {R}) as term_description_similarity
 from pre p left join s on p.id = s.id"""
 
-ORACLE_SQL["jaccard_term_title"] = MERGED_CTE + f"""
-, s as (select id, list_distinct(list_filter({_sql_tokens(_Q)}, lambda t: t <> '')) as a,
-               list_distinct(list_filter({_sql_tokens(_T)}, lambda t: t <> '')) as b from pre)
+def _sql_row_jaccard(a: str, b: str, out: str) -> str:
+    return MERGED_CTE + f"""
+, s as (select id, list_distinct(list_filter({_sql_tokens(a)}, lambda t: t <> '')) as a,
+               list_distinct(list_filter({_sql_tokens(b)}, lambda t: t <> '')) as b from pre)
 select id, round(case when len(a) + len(b) - len(list_intersect(a, b)) > 0
                       then len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b)))
-                      else 0.0 end, {R}) as jaccard_term_title from s"""
+                      else 0.0 end, {R}) as {out} from s"""
+
+
+ORACLE_SQL["jaccard_term_title"] = _sql_row_jaccard(_Q, _T, "jaccard_term_title")
+ORACLE_SQL["jaccard_term_description"] = _sql_row_jaccard(_Q, _D, "jaccard_term_description")
 
 ORACLE_SQL["l2_normalized_title"] = TOKENS_CTE + f"""
 , t as (select id, token, weight, sqrt(sum(weight * weight) over (partition by id)) as norm
         from w where field = 'title')
 select id, token, round(case when norm > 0 then weight / norm else 0.0 end, {R}) as normalized_tfidf from t"""
+
+ORACLE_SQL["cosine_term_attributes"] = MERGED_CTE + f""",
+ndocs as (select count(*) as m from pre),
+tok as (
+  select 'term' as field, id, unnest({_sql_tokens(_Q)}) as token from pre
+  union all select 'attr', id, unnest({_sql_tokens(_A)}) from pre),
+tf as (select field, id, token, count(*) as tf from tok where token <> '' group by field, id, token),
+dfreq as (select field, token, count(*) as df from tf group by field, token),
+w as (select tf.field, tf.id, tf.token,
+             tf.tf * ln((cast((select m from ndocs) as double) + 1) / (dfreq.df + 1)) as weight
+      from tf join dfreq on tf.field = dfreq.field and tf.token = dfreq.token),
+pt as (
+  select id, token, sum(case when field = 'term' then weight else 0 end) as wl,
+         sum(case when field = 'attr' then weight else 0 end) as wr
+  from w group by id, token),
+s as (select id, sum(wl * wr) as dot, sum(wl * wl) as nl, sum(wr * wr) as nr from pt group by id)
+select p.id, round(coalesce(case when sqrt(s.nl) * sqrt(s.nr) > 0 then s.dot / (sqrt(s.nl) * sqrt(s.nr))
+                                 else 0.0 end, 0.0), {R}) as term_attributes_similarity
+from pre p left join s on p.id = s.id"""
