@@ -378,6 +378,10 @@ def q_l2_normalized_title(spark, sf_dir):
     return n.select("id", "token", F.round("weight", R).alias("normalized_tfidf"))
 
 
+def q_validity_report(spark, sf_dir):
+    return ft.validity_report(_feat(spark, sf_dir))
+
+
 SPARK_QUERIES = {
     "merge_left": q_merge_left,
     "attr_group_concat": q_attr_group_concat,
@@ -435,6 +439,7 @@ SPARK_QUERIES = {
     "l2_normalized_title": q_l2_normalized_title,
     "jaccard_term_description": q_jaccard_term_description,
     "cosine_term_attributes": q_cosine_term_attributes,
+    "validity_report": q_validity_report,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -775,3 +780,7 @@ s as (select id, sum(wl * wr) as dot, sum(wl * wl) as nl, sum(wr * wr) as nr fro
 select p.id, round(coalesce(case when sqrt(s.nl) * sqrt(s.nr) > 0 then s.dot / (sqrt(s.nl) * sqrt(s.nr))
                                  else 0.0 end, 0.0), {R}) as term_attributes_similarity
 from pre p left join s on p.id = s.id"""
+
+ORACLE_SQL["validity_report"] = _features_cte() + f"""
+select count(*) as n_pairs, cast(sum(case when {VALID} then 1 else 0 end) as bigint) as n_valid,
+       cast(count(*) - sum(case when {VALID} then 1 else 0 end) as bigint) as n_dropped from feat"""
