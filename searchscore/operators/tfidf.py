@@ -22,8 +22,10 @@ texts with their row counts, keyed by the 128-bit MD5 of the text:
 
 Per-row results join the per-text table back on (field, key). Aggregates per
 row (norms, sums) are computed per text first and joined back as one row.
-The number of documents is a scalar subquery (``DataFrame.scalar()``), so the
-plan stays lazy and nothing is collected to the driver.
+The number of documents is the sum of the row counts of one field's distinct
+texts (NULL texts kept as their own group), one row per field, so no extra
+pass over the rows is needed; ``fit_idf`` takes it as a scalar-subquery
+Column (``document_count``) instead. Nothing is collected to the driver.
 
 A hashed variant with the built-in ``HashingTF`` (20 000 slots) and ``IDF``
 is kept for parity with vector-based callers: ``hashed_tfidf``.
