@@ -12,4 +12,12 @@ codegens it. Sub-packages:
 * ``streaming`` - the stateless row-wise features applied to streaming input
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of the package travel to the Python workers by value, so that
+# executors need no copy of the package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"
