@@ -167,7 +167,8 @@ def _forest(x: np.ndarray, y: np.ndarray, max_bits: int, step: int = 1024) -> li
 
     xi, yi = at[:len(x)], at[len(x):]
     for lo in range(0, len(x), step):
-        near = np.bitwise_count(x[lo:lo + step, None] ^ y[None, :]) <= max_bits
+        # unsigned: for negative numbers numpy counts the bits of the absolute value
+        near = np.bitwise_count((x[lo:lo + step, None] ^ y[None, :]).view(np.uint64)) <= max_bits
         for a, b in zip(*near.nonzero()):
             i, j = int(xi[lo + a]), int(yi[b])
             p, q = find(i), find(j)
