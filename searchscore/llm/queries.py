@@ -4,7 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, mixing, quality_rules, simhash_dedup
+from . import (chat_rotation, decontamination, html_extraction, line_dedup, mixing, pii, quality_rules, simhash_dedup, toxicity,
+               url_filter)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,5 +39,32 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-SPARK_QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op5_line_dedup, op6_quality_rules, op7_simhash_dedup)}
+def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation rendered from the perspective of each participant."""
+    return chat_rotation.rotate(_table(spark, sf_dir, "conversations"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.find_pii(_table(spark, sf_dir, "documents")).drop("base")
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
+
+
+SPARK_QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_decontaminate, op3_chat_rotation, op4_html_extraction, op5_line_dedup, op6_quality_rules,
+    op7_simhash_dedup, op8_toxicity, op9_pii, op10_url_filter)}
 ORACLE_SQL: dict[str, str] = {}
