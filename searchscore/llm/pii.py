@@ -209,7 +209,8 @@ def disguised_spans(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[
     found = plain_spans(tape.text)
     for m in re.finditer(r"(?<![0-9+])[0-9]{10,15}(?![0-9])", tape.text):  # a number spelled out digit by digit
         in_phone = any(k == "phone" and a < m.end() and m.start() < b for k, a, b in found)
-        if not in_phone and all(h == "d" for h in tape.how[m.start():m.end()]):
+        spelled_out = all(h == "d" for h in tape.how[m.start():m.end()]) and len(set(m[0])) > 2  # no litany of one word
+        if spelled_out and not in_phone:
             found.append(("phone", m.start(), m.end()))
     out = []
     for kind, a, b in found:
