@@ -94,7 +94,17 @@ def _table() -> dict[str, str]:
 
 
 CHARACTERS = _table()
-ODD = re.compile("[" + re.escape("".join(CHARACTERS)) + "]")
+
+
+def _has_odd(text: str) -> bool:
+    """Does the text hold a character of the table? Quick for ASCII and Latin-1."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not CHARACTERS.keys().isdisjoint(text)
+    return "\u00a0" in text or "\u00ad" in text
 
 # Words for the marks, and for the digits 0 to 9, in English, German, French and Spanish.
 AT_WORDS, DOT_WORDS = ["at", "arroba", "arobase", "klammeraffe"], ["dot", "punkt", "point", "punto"]
@@ -114,10 +124,26 @@ MARK = re.compile(
     r"|(?P<satt>(?<=[A-Za-z0-9])[ ]{1,2}@[ ]{1,2}(?=[A-Za-z0-9]))", re.IGNORECASE)
 _DIGIT = rf"(?:(?:{'|'.join(TIMES)})[ -])?(?:{'|'.join(sorted(DIGIT_OF, key=len, reverse=True))}|[0-9]+)"
 _WORD = rf"(?:(?:{'|'.join(TIMES)})[ -])?(?:{'|'.join(sorted(DIGIT_OF, key=len, reverse=True))})"
-SPELLED = re.compile(rf"(?<!\w)(?:(?P<plus>plus|\+)[ -]?)?(?P<run>{_WORD}(?:[ ,-]{{1,2}}{_DIGIT}){{2,}})(?!\w)", re.IGNORECASE)
+SPELLED = re.compile(rf"(?<!\w)(?:(?P<plus>plus|\+)[ -]?)?(?P<run>{_WORD}(?:[ ,-]{{1,2}}{_WORD}){{2,}}(?:[ ,-]{{1,2}}{_DIGIT})*)(?!\w)", re.IGNORECASE)
 TOKEN = re.compile(rf"(?P<times>{'|'.join(TIMES)})|(?P<digits>[0-9]+)|(?P<word>\w+)|(?P<sep>\W)", re.IGNORECASE)
 
 
+_SPELLED_WORDS = frozenset(DIGIT_OF) | frozenset(TIMES)
+_AROUND = ",-()[].:;!?\"'"
+
+
+def _may_spell(low: str) -> bool:
+    """Three words of digits in a row? Words stand between white space or common punctuation."""
+    for c in _AROUND:
+        low = low.replace(c, " ")
+    return b"\1\1\1" in bytes(map(_SPELLED_WORDS.__contains__, low.split()))
+
+
+def _may_mark(text: str, low: str) -> bool:
+    """Brackets, a word for the dot or a lone @: without any of them no mark makes an identifier."""
+    return any(c in text for c in "([{<") or any(w in low for w in DOT_WORDS) or " @ " in text or "@  " in text
+
+
 class Tape:
     """Rewritten characters, each with the source span it stands for and how it came about:
     '' unchanged, c look-alike, b bracketed mark, w mark in plain words, d spelled digit."""
@@ -147,7 +173,7 @@ class Tape:
 
 
 def _characters(tape: Tape) -> None:
-    tape.rewrite([(m.start(), m.end(), [(c, m.start(), m.end(), "c") for c in CHARACTERS[m[0]]]) for m in ODD.finditer(tape.text)])
+    tape.rewrite([(i, i + 1, [(c, i, i + 1, "c") for c in CHARACTERS[odd]]) for i, odd in enumerate(tape.text) if odd in CHARACTERS])
 
 
 def _marks(tape: Tape) -> None:
@@ -167,6 +193,7 @@ def _digits(tape: Tape) -> None:
         for t in TOKEN.finditer(tape.text, m.start("run"), m.end("run")):
             if t["times"]:
                 times = TIMES[t["times"].lower()]
+            if t["times"] or t["sep"]:
                 continue
             if t["digits"]:
                 out += [(c, t.start() + i, t.start() + i + 1, tape.how[t.start() + i]) for i, c in enumerate(t["digits"])]
@@ -194,9 +221,9 @@ def _credible(kind: str, text: str, how: list[str]) -> bool:
 def disguised_spans(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans of identifiers that show only on the rewritten text, none overlapping a plain span of its kind."""
     low = text.lower()
-    odd = not text.isascii() and ODD.search(text)
-    marked = ("@" in text or any(w in low for w in AT_WORDS) or "(a)" in low or "[a]" in low or any(w in low for w in DOT_WORDS) or "." in low) and MARK.search(text)
-    spelled = SPELLED.search(text)
+    odd = _has_odd(text)
+    marked = _may_mark(text, low) and MARK.search(text)
+    spelled = _may_spell(low) and SPELLED.search(text)
     if not (odd or marked or spelled):
         return []
     tape = Tape(text)
