@@ -9,8 +9,9 @@ of what comes out; the text's mass is the sum over its clauses, and a logistic
 curve turns it into a probability.
 
 Weights of words and the curve come from labelled rows. Words of the insult and
-threat classes are those whose occurrences, counted once per neighbourhood so
-that copies of a text do not add up, are significantly more often in toxic texts.
+threat classes are those that are significantly more often in toxic texts, both by
+documents and by neighbourhoods (the words before and after, counted once, so that
+copies of a text do not add up).
 """
 from __future__ import annotations
 
@@ -29,6 +30,8 @@ from searchscore.session import cut_lineage
 FIT_ROWS = 20_000
 #: Learned words at most, the heaviest; a size of the model.
 LEXICON = 2_000
+#: Words that are looked at by neighbourhoods, the most significant by documents; a size of the model.
+CANDIDATES = 10_000
 #: Chance of a word to come out as significant by accident.
 SIGNIFICANCE = 1e-4
 #: Least and greatest weight of a word.
@@ -120,21 +123,24 @@ def learn_lexicon(rows: DataFrame) -> dict[str, tuple[int, float]]:
     lexicon = {**dict.fromkeys(THREATS, (THREAT, GENERAL_WEIGHT)), **dict.fromkeys(INSULTS, (INSULT, GENERAL_WEIGHT))}
     if not n or not toxic or toxic == n:
         return lexicon
-    words = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)
-    at = rows.select("label", words.alias("w")).select("label", F.explode(F.arrays_zip(
-        F.col("w").alias("word"),
-        F.concat(F.array(F.lit("")), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))).alias("before"),
-        F.concat(F.slice("w", 2, F.size("w")), F.array(F.lit(""))).alias("after"))).alias("o"))
-    at = at.select("label", "o.word", F.xxhash64("o.before", "o.after").alias("ctx")).distinct()
-    counts = at.groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("t"))
-    # the shares are of neighbourhoods, as texts differ in length
-    base = rows.select("label", F.size(words).alias("k")).agg(F.sum(F.col("label") * F.col("k")) / F.sum("k")).first()[0]
+    words = rows.select("label", F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1).alias("w"))
+    base = words.agg(F.sum(F.col("label") * F.size("w")) / F.sum(F.size("w"))).first()[0]  # by words, as texts differ in length
     base = min(max(base or 0.0, 1e-6), 1 - 1e-6)
     share = F.col("t") / F.col("n")
     # Chernoff bound: chance of t or more of n at the base share
     surprise = F.col("n") * (share * F.log(share / base) + F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0))
+    significant = (share > 0.5) & (surprise > -math.log(SIGNIFICANCE))
+    # by documents first, which leaves few words; then by neighbourhoods
+    each = words.select("label", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("t"))
+    some = each.where(significant).orderBy(surprise.desc(), "word").limit(CANDIDATES).select("word")
+    near = words.select("label", F.explode(F.arrays_zip(
+        F.col("w").alias("word"),
+        F.concat(F.array(F.lit("")), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))).alias("before"),
+        F.concat(F.slice("w", 2, F.size("w")), F.array(F.lit(""))).alias("after"))).alias("o"))
+    near = near.select("label", "o.*").join(F.broadcast(some), "word").select("label", "word", "before", "after").distinct()
+    counts = near.groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("t"))
     weight = F.log((F.col("t") + base) / (F.col("n") + 1) / base)
-    strong = counts.where((share > 0.5) & (surprise > -math.log(SIGNIFICANCE))).select("word", weight.alias("weight"), surprise.alias("surprise"))
+    strong = counts.where(significant).select("word", weight.alias("weight"), surprise.alias("surprise"))
     for r in strong.orderBy(F.desc("surprise"), "word").limit(LEXICON).collect():
         symbol = THREAT if r["word"] in THREATS else INSULT
         # rare words shrink towards nothing: their evidence against that of the heaviest
