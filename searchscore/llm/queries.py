@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from . import (chat_rotation, decontamination, html_extraction, line_dedup, mixing, pii, quality_rules, simhash_dedup, toxicity,
                url_filter)
+from .oracle import ORACLE_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +42,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation rendered from the perspective of each participant."""
-    return chat_rotation.rotate(_table(spark, sf_dir, "conversations"))
+    turns = chat_rotation.rotate(_table(spark, sf_dir, "conversations"))
+    spans = F.transform("train_spans", lambda x: F.concat(x["start"].cast("string"), F.lit(":"), x["end"].cast("string")))
+    mask = F.transform("train_mask", lambda x: x.cast("string"))
+    return turns.withColumns({"train_spans": F.array_join(spans, ","), "train_mask": F.array_join(mask, "")})
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +71,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPARK_QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_decontaminate, op3_chat_rotation, op4_html_extraction, op5_line_dedup, op6_quality_rules,
     op7_simhash_dedup, op8_toxicity, op9_pii, op10_url_filter)}
-ORACLE_SQL: dict[str, str] = {}
+
+__all__ = ["ORACLE_SQL", "SPARK_QUERIES"]
