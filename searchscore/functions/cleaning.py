@@ -29,15 +29,15 @@ STOP_WORDS = (
 
 # Cleaning rules, applied in order to lower-case text.
 # (pattern, replacement); replacements use $1 for the first group. Units keep
-# their number; square and cubic feet come before feet.
+# their number.
 CLEANING_RULES = (
     ("°", " degrees "),
     ("([0-9]) *(?:x|\\*|by) *([0-9])", "$1 xbi $2"),
-    ("([0-9]+) *(?:square|sq) *(?:feet|foot|ft)\\b", "$1 sq.ft. "),
-    ("([0-9]+) *(?:cubic|cu) *(?:feet|foot|ft)\\b", "$1 cu.ft. "),
     ("([0-9]+) *(?:inches|inch|in)\\b", "$1 in. "),
     ("([0-9]+) *(?:foot|feet|ft)\\b", "$1 ft. "),
     ("([0-9]+) *(?:pounds|pound|lbs|lb)\\b", "$1 lb. "),
+    ("([0-9]+) *(?:square|sq) *(?:feet|foot|ft)\\b", "$1 sq.ft. "),
+    ("([0-9]+) *(?:cubic|cu) *(?:feet|foot|ft)\\b", "$1 cu.ft. "),
     ("([0-9]+) *(?:gallons|gallon|gal)\\b", "$1 gal. "),
     ("([0-9]+) *(?:ounces|ounce|oz)\\b", "$1 oz. "),
     ("([0-9]+) *(?:centimeters|cm)\\b", "$1 cm. "),
@@ -53,8 +53,7 @@ CLEANING_RULES = (
 def remove_stop_words(tokens, words=STOP_WORDS) -> Column:
     """Drop stop words from a token array, keeping order and repeats."""
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
-    stop = F.array(*[F.lit(w) for w in words])
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, t))
+    return F.filter(tokens, lambda t: ~t.isin(*words))  # a hash set from ten words on
 
 
 def clean_text(c, rules=CLEANING_RULES) -> Column:

@@ -96,11 +96,17 @@ def common_words(a, b, separator_aware: bool = True, words_a=None, words_b=None)
             .otherwise(overlap)).cast("int")
 
 
+def word_count(c, separator_aware: bool = True) -> Column:
+    """Number of words of a text as ``words`` splits it; 0 for an empty text, NULL for NULL."""
+    c = _col(c)
+    return F.when(c.isNull(), F.lit(None)).when(c == "", F.lit(0)).otherwise(F.size(words(c, separator_aware))).cast("int")
+
+
 def ratio_of_common_words(common, length) -> Column:
     """Common words divided by the query length, as float.
 
     ``length`` is the character length of the query (as defined by the
-    feature); an empty query gives 0/0 = NaN (that row is later dropped by the
+    feature), or its ``word_count`` for the share of common words; an empty query gives 0/0 = NaN (that row is later dropped by the
     validity filter), a NULL side gives NULL.
     """
     common, length = _col(common), _col(length)

@@ -11,17 +11,21 @@ its label is above 0.5, and at threshold t
 
 Plan: the scored rows are first aggregated to one row per distinct score
 (partial aggregation, one shuffle). The running sums over scores (W1) are a
-distributed prefix sum: the score table is range-partitioned by score, each
-range is summed locally in its own window, and the totals of the earlier
-ranges (one row per range, a handful of rows) are added as an offset. No
-window ever spans the whole table, so even billions of distinct scores stay
-spread over many tasks.
+distributed prefix sum: scores are cut into ranges at quantiles, each range is
+summed locally in its own window, and the totals of the earlier ranges (one row
+per range, a handful of rows) are added as an offset. No window ever spans the
+whole table, so even billions of distinct scores stay spread over many tasks.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+# Ranges of a running sum at most; each is one sorted task.
+MAX_RANGES = 256
+
 
 def score_counts(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(score, pos, neg) per distinct score."""
@@ -31,36 +35,47 @@ def score_counts(df: DataFrame, score: str = "score", label: str = "label") -> D
 
 
 def running_sums(df: DataFrame, order: str, cols, descending: bool = True,
-                 num_ranges: int | None = None) -> DataFrame:
+                 num_ranges: int | None = None, totals: bool = False) -> DataFrame:
     """cum_<c> = sum of c over rows whose ``order`` value comes first
-    (ties of ``order`` must be pre-aggregated; each value appears once)."""
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (ties of ``order`` must be pre-aggregated; each value appears once).
+
+    ``order`` is numeric. Range bounds are approximate quantiles of ``order``,
+    taken first; a row's range follows from its value and these bounds alone, so
+    ranges and their totals agree under any plan and on any retry. NULL comes
+    last when descending and first when ascending, NaN counts as the largest.
+    ``totals`` adds total_<c>, the sum over all rows, from the range totals.
+    """
+    n = num_ranges or min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    v = F.col(order).cast("double")
+    cuts = df.where(~F.isnan(v)).agg(F.percentile_approx(v, [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0]
+    bounds = sorted(set(cuts or []))
+    up = F.when(v.isNull(), F.lit(-1)).when(F.isnan(v), F.lit(len(bounds) + 1)) \
+        .otherwise(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < v)) if bounds else F.lit(0))
     o = F.col(order).desc() if descending else F.col(order).asc()
-    # Both branches below read this one range shuffle (Spark plans it once and
-    # reuses it: ReusedExchange), so ranges and totals agree; a lost range
-    # shuffle is indeterminate to Spark and is recomputed with its consumers.
-    ranged = df.repartitionByRange(n, o).withColumn("_range", F.spark_partition_id())
+    ranged = df.withColumn("_range", -up if descending else up)
     local_w = (Window.partitionBy("_range").orderBy(o)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumns({f"_loc_{c}": F.sum(c).over(local_w) for c in cols})
-    totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
-    # One row per range: the offset is the sum of all earlier ranges.
+    sums = ranged.groupBy("_range").agg(*[F.sum(c).alias(f"_tot_{c}") for c in cols])
+    # At most MAX_RANGES + 2 rows: the offset is the sum of all earlier ranges.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_range", *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0))
-                                        .alias(f"_off_{c}") for c in cols])
+    whole = Window.partitionBy()
+    offsets = sums.select("_range", *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in cols],
+                          *[F.sum(f"_tot_{c}").over(whole).alias(f"total_{c}") for c in cols if totals])
     out = local.join(F.broadcast(offsets), "_range")
-    return out.select(*df.columns, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}")
-                                     for c in cols])
+    return out.select(*df.columns, *[(F.col(f"_loc_{c}") + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in cols],
+                      *[f"total_{c}" for c in cols if totals])
 
 
 def confusion_by_threshold(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """(threshold, tp, fp, positives) for each distinct score."""
-    counts = score_counts(df, score, label)
-    run = running_sums(counts, "score", ["pos", "neg"], descending=True)
-    total_pos = counts.select(F.sum("pos")).scalar()
+    """(threshold, tp, fp, positives) for each distinct score.
+
+    The counts per score are read several times (bounds, sums, offsets), so they
+    are kept in the shared checkpoint folder: the rows are scanned once."""
+    counts = cut_lineage(score_counts(df, score, label))
+    run = running_sums(counts, "score", ["pos", "neg"], descending=True, totals=True)
     return run.select(F.col("score").alias("threshold"), F.col("cum_pos").alias("tp"),
-                      F.col("cum_neg").alias("fp"), F.coalesce(total_pos, F.lit(0)).alias("positives"))
+                      F.col("cum_neg").alias("fp"), F.coalesce("total_pos", F.lit(0)).alias("positives"))
 
 
 def _precision():

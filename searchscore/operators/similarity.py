@@ -160,24 +160,22 @@ def concat_fields(weights: DataFrame, fields=None, value: str = "weight") -> Dat
                     F.col(value).cast("double").alias("value"))
 
 
-def term_similarity(entries: DataFrame, min_similarity: float = 0.0) -> DataFrame:
+def term_similarity(entries: DataFrame, min_similarity: float = 0.1) -> DataFrame:
     """A4 exact: cosine similarity of term columns of a (id, term, value) matrix.
 
-    Output: term_a < term_b, similarity (pairs never co-occurring are 0 and
-    left out, as in a sparse result).
+    Output: term_a < term_b, similarity of at least ``min_similarity`` (pairs that
+    never co-occur are 0 and left out, as in a sparse result).
     """
     # One shuffle on id serves both aggregates (hash on id clusters (id, term) too).
     cells = (entries.repartition("id").groupBy("id", "term").agg(F.sum("value").alias("value")))
     per_row = cells.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("term", "value"))).alias("e"))
-    n = F.size("e")
-    pairs_expr = F.flatten(F.transform(
-        F.col("e"),
-        lambda x, i: F.transform(F.slice(F.col("e"), i + 2, F.greatest(n - i - 1, F.lit(0))),
-                                 lambda y: F.struct(x["term"].alias("term_a"), y["term"].alias("term_b"),
-                                                    (x["value"] * y["value"]).alias("p")))))
-    dots = (per_row.select(F.explode(pairs_expr).alias("q"))
-            .groupBy(F.col("q.term_a").alias("term_a"), F.col("q.term_b").alias("term_b"))
-            .agg(F.sum("q.p").alias("dot")))
+    # The left term first, then the terms after it: a row of L terms is never an
+    # array of L * L / 2 pairs, only a slice of itself at a time.
+    left = per_row.select("e", F.posexplode("e").alias("i", "x"))
+    rest = F.slice("e", F.col("i") + 2, F.greatest(F.size("e") - F.col("i") - 1, F.lit(0)))
+    dots = (left.select("x", F.explode(rest).alias("y"))
+            .groupBy(F.col("x.term").alias("term_a"), F.col("y.term").alias("term_b"))
+            .agg(F.sum(F.col("x.value") * F.col("y.value")).alias("dot")))
     # Norms from the same per-row arrays as the pair products.
     norms = (per_row.select(F.explode("e").alias("x"))
              .groupBy(F.col("x.term").alias("term"))
@@ -188,7 +186,7 @@ def term_similarity(entries: DataFrame, min_similarity: float = 0.0) -> DataFram
     out = (dots.join(na, "term_a").join(nb, "term_b")
            .select("term_a", "term_b", sim.alias("similarity")))
     if min_similarity > 0:
-        out = out.where(F.col("similarity") >= F.lit(min_similarity))
+        out = out.where(F.col("similarity") >= F.lit(min_similarity - EPS))
     return out
 
 
@@ -198,35 +196,20 @@ def term_similarity_dimsum(vectors: DataFrame, vector_cols, threshold: float = 0
     Several columns are concatenated side by side (M3, e.g. title then
     query). Uses ``RowMatrix.columnSimilarities(threshold)``: pairs above the
     threshold are estimated without bias, smaller ones may be dropped.
-    Output: (i, j, similarity) column indices, i < j.
+    Output: (i, j, similarity) column indices, i < j. Vectors are put together
+    and read by the JVM; no row passes through Python.
     """
-    from pyspark.mllib.linalg import SparseVector
+    from pyspark.ml.feature import VectorAssembler
     from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
 
     cols = [vector_cols] if isinstance(vector_cols, str) else list(vector_cols)
-
-    def concat(row):
-        idx, val, off = [], [], 0
-        for v in row:
-            if hasattr(v, "indices"):
-                pairs = zip(v.indices, v.values)
-            else:  # dense
-                pairs = ((i, x) for i, x in enumerate(v.toArray()) if x != 0.0)
-            for i, x in pairs:
-                idx.append(int(i) + off)
-                val.append(float(x))
-            off += v.size
-        return SparseVector(off, idx, val)
-
-    # The similarity pass reads the rows twice (column norms, then pairs):
-    # materialise the vectors once in the shared checkpoint folder, and give
-    # the matrix its size so it does not probe the first row for it.
-    from ..session import cut_lineage
-    vec = cut_lineage(vectors.select(*cols))
-    head = vec.first()
-    n_cols = sum(v.size for v in head) if head is not None else 0
-    rows = vec.rdd.map(concat)
-    sims = RowMatrix(rows, numRows=0, numCols=n_cols).columnSimilarities(threshold)
+    joined = VectorAssembler(inputCols=cols, outputCol="_vec").transform(vectors.select(*cols)).select("_vec")
+    # The similarity pass reads the rows twice (column norms, then pairs).
+    rows = cut_lineage(MLUtils.convertVectorColumnsFromML(joined, "_vec"))
+    if rows.isEmpty():
+        return vectors.sparkSession.createDataFrame([], "i long, j long, similarity double")
+    sims = RowMatrix(rows).columnSimilarities(threshold)
     return sims.entries.toDF(["i", "j", "similarity"])
 
 

@@ -11,7 +11,8 @@ high, so the Python cost is close to one dictionary lookup per word.
 Several columns stemmed in one ``withColumns`` share one Arrow round trip.
 No shuffle is involved; Spark partitions the work like any projection.
 
-``stem_vocabulary`` is the vocabulary form: the distinct words of the given
+``stem_distinct`` stems each distinct text once, for pair tables whose titles and
+queries repeat. ``stem_vocabulary`` is the vocabulary form: the distinct words of the given
 columns with their stems (a distinct aggregate, then the same helper over the
 words only).
 """
@@ -54,6 +55,24 @@ def stem_columns(df: DataFrame, columns: dict) -> DataFrame:
     return df.withColumns({dst: stem_text_udf(F.col(src)) for src, dst in columns.items()})
 
 
+def stem_distinct(df: DataFrame, columns: dict) -> DataFrame:
+    """``stem_columns`` for texts that repeat: every distinct text is stemmed once.
+
+    The distinct texts of all ``columns`` (keyed by MD5) go through the Python
+    helper, and the stems are joined back by key; NULL stays NULL. The Python rows
+    are the distinct texts, whatever the number of rows that hold them.
+    """
+    key = lambda c: F.unhex(F.md5(F.col(c)))
+    texts = (df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("text")).where(F.col("text").isNotNull())
+             .groupBy(F.unhex(F.md5("text")).alias("_key")).agg(F.first("text").alias("text")))
+    stems = texts.select("_key", stem_text_udf(F.col("text")).alias("_stem"))
+    out = df
+    for src, dst in columns.items():
+        one = stems.select(F.col("_key").alias("_k"), F.col("_stem").alias(dst))
+        out = out.withColumn("_src", key(src)).join(one, F.col("_src") == F.col("_k"), "left").drop("_src", "_k")
+    return out
+
+
 def stem_vocabulary(df: DataFrame, columns) -> DataFrame:
     """(word, stem) for every distinct word of the given text columns.
 

@@ -166,6 +166,39 @@ def tfidf_summary(df: DataFrame, fields: dict, id_col: str = "id", min_doc_freq:
     return rows.join(per_text, ["field", "key"]).drop("key")
 
 
+def tfidf_summary_by_product(pairs: DataFrame, products: DataFrame, text: str, key: str = "product_uid",
+                             id_col: str = "id", min_doc_freq: int = 0, tokenizer=tokenize_ws) -> DataFrame:
+    """``tfidf_summary`` of a product text over the pairs, without taking the text to the pairs.
+
+    Same rows as joining ``pairs`` with ``products`` (left, on ``key``) and
+    summarising ``text`` per row: a product's text counts once for each of its
+    pairs. Pairs are counted per product, products' texts are weighted by that
+    count, and only the four numbers of a text go back to the pairs. A text is
+    shuffled once, by its product.
+    """
+    n_pairs = pairs.groupBy(key).agg(F.count("*").alias("n_pairs"))
+    rows = products.where(F.col(key).isNotNull()).select(key, F.col(text).alias("text"), F.unhex(F.md5(F.col(text))).alias("tkey"))
+    # several rows of a product multiply its pairs; equal ones are one text with copies
+    copies = rows.groupBy(key, "tkey").agg(F.count("*").alias("copies"))
+    per_product = copies.groupBy(key).agg(F.sum("copies").alias("n_rows"))
+    m = (n_pairs.join(per_product, key, "left")
+         .select(F.sum(F.col("n_pairs") * F.coalesce("n_rows", F.lit(1)))).scalar())
+    # on the product alone, so that the joins and the count of a product's tokens share one shuffle
+    tokens = (rows.join(n_pairs, key).select(key, "tkey", "n_pairs", F.explode(tokenizer(F.col("text"))).alias("token"))
+              .where("token <> ''"))
+    tf = tokens.groupBy(key, "tkey", "token").agg(F.count("*").alias("tf_all"), F.first("n_pairs").alias("n_pairs"))
+    tf = (tf.join(copies.select(F.col(key).alias("_k"), F.col("tkey").alias("_t"), "copies"), (F.col(key) == F.col("_k")) & (F.col("tkey") == F.col("_t")))
+          .withColumn("tf", (F.col("tf_all") / F.col("copies")).cast("long")))
+    dfreq = tf.groupBy("token").agg(F.sum(F.col("n_pairs") * F.col("copies")).alias("df"))
+    idf = F.when(F.col("df") >= min_doc_freq, F.log((m.cast("double") + 1.0) / (F.col("df").cast("double") + 1.0))).otherwise(0.0)
+    w = tf.join(dfreq.select("token", idf.alias("idf")), "token").withColumn("weight", F.col("tf") * F.col("idf"))
+    per_text = w.groupBy(key, "tkey").agg(
+        F.count("*").cast("long").alias("n_terms"), F.sum("tf").cast("long").alias("n_tokens"), F.sum("weight").alias("sum_tfidf"),
+        F.sqrt(F.sum(F.col("weight") ** 2)).alias("l2_norm"), F.first("copies").alias("copies"))
+    out = pairs.select(F.col(id_col).alias("id"), key).join(per_text, key)
+    return out.select("id", "n_terms", "n_tokens", "sum_tfidf", "l2_norm", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_c")).drop("_c")
+
+
 def l2_normalize(weights: DataFrame, value: str = "weight") -> DataFrame:
     """M2: weight / ||weights of the same (field, id)||; a zero vector stays zero.
 
@@ -196,19 +229,18 @@ def cosine_by_id(weights: DataFrame, left: str, right: str, out: str = "cosine")
     return sums.select("id", F.when(denom > 0, F.col("dot") / denom).otherwise(F.lit(0.0)).alias(out))
 
 
-def field_cosine(df: DataFrame, left: str, right: str, id_col: str = "id",
-                 out: str = "cosine") -> DataFrame:
-    """(id, cosine of TF-IDF(left text), TF-IDF(right text)) for every row.
-
-    Only the ``left`` vector is expanded per row (pass the shorter text, e.g.
-    the query): the dot product needs the ``right`` weights of the left
-    tokens only, which are looked up by (text key, token). Both norms are
-    computed once per distinct text. Work grows with rows x left tokens, not
-    with rows x right tokens (a long description is never copied per pair).
-    Rows where either vector is zero get 0.
+def with_field_cosine(df: DataFrame, left: str, right: str, out: str = "cosine") -> DataFrame:
+    """``df`` with the cosine of TF-IDF(left text) and TF-IDF(right text).
+
+    The value depends on the two texts only, so it is computed once per distinct
+    pair of texts and joined back on their keys: every row of ``df`` comes out
+    once, whatever its id. Of a pair only the ``left`` vector is expanded (pass
+    the shorter text, e.g. the query): the dot product needs the ``right`` weights
+    of the left tokens only, looked up by (text key, token). Norms are computed
+    once per text. Rows where either text is NULL or its vector zero get 0.
     """
     key = lambda c: F.unhex(F.md5(F.col(c)))  # same key as text_rows
-    _, weights = text_tfidf(df.select(id_col, left, right), {"l": left, "r": right}, id_col)
+    _, weights = text_tfidf(df.select(F.lit(0).alias("id"), left, right), {"l": left, "r": right}, "id")
     wl = weights.where(F.col("field") == "l").select(F.col("key").alias("key_l"), "token",
                                                      F.col("weight").alias("wl"))
     wr = weights.where(F.col("field") == "r").select(F.col("key").alias("key_r"), "token",
@@ -216,13 +248,22 @@ def field_cosine(df: DataFrame, left: str, right: str, id_col: str = "id",
     norms = weights.groupBy("field", "key").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
     nl = norms.where(F.col("field") == "l").select(F.col("key").alias("key_l"), F.col("norm").alias("nl"))
     nr = norms.where(F.col("field") == "r").select(F.col("key").alias("key_r"), F.col("norm").alias("nr"))
-    rows = df.select(F.col(id_col).alias("id"), key(left).alias("key_l"), key(right).alias("key_r"))
-    dots = (rows.join(wl, "key_l").join(wr, ["key_r", "token"])
-            .groupBy("id").agg(F.sum(F.col("wl") * F.col("wr")).alias("dot")))
+    pairs = (df.select(key(left).alias("key_l"), key(right).alias("key_r"))
+             .where("key_l is not null and key_r is not null").distinct())
+    dots = (pairs.join(wl, "key_l").join(wr, ["key_r", "token"])
+            .groupBy("key_l", "key_r").agg(F.sum(F.col("wl") * F.col("wr")).alias("dot")))
     denom = F.col("nl") * F.col("nr")
-    return (rows.join(nl, "key_l", "left").join(nr, "key_r", "left").join(dots, "id", "left")
-            .select("id", F.when(denom > 0, F.coalesce(F.col("dot"), F.lit(0.0)) / denom)
-                    .otherwise(F.lit(0.0)).alias(out)))
+    cosines = (dots.join(nl, "key_l").join(nr, "key_r").where(denom > 0)
+               .select(F.col("key_l").alias("_kl"), F.col("key_r").alias("_kr"), (F.col("dot") / denom).alias("_cos")))
+    rows = df.withColumns({"_key_l": key(left), "_key_r": key(right)})
+    joined = rows.join(cosines, (F.col("_key_l") == F.col("_kl")) & (F.col("_key_r") == F.col("_kr")), "left")
+    return joined.select(*[F.col(c) for c in df.columns if c != out], F.coalesce("_cos", F.lit(0.0)).alias(out))
+
+
+def field_cosine(df: DataFrame, left: str, right: str, id_col: str = "id",
+                 out: str = "cosine") -> DataFrame:
+    """(id, cosine) for every row of ``df``; see ``with_field_cosine``."""
+    return with_field_cosine(df.select(F.col(id_col).alias("id"), left, right), left, right, out).select("id", out)
 
 
 def title_term_cosine(df: DataFrame, title: str = "stemmed_product_title",

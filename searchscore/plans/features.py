@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators.merge import lower_text
-from ..operators.tfidf import title_term_cosine
+from ..operators.tfidf import with_field_cosine
 
 STEM_SOURCES = {
     "product_title": "stemmed_product_title",
@@ -24,7 +24,7 @@ STEM_SOURCES = {
     "search_term": "stemmed_search_term",
 }
 
-# The eleven model features, in model order.
+# The eleven model features, in model order.
 MODEL_FEATURES = (
     "len_of_query", "levenshtein_dist_description", "levenshtein_dist_title",
     "levenshtein_dist_attr", "len_of_attr", "commonWords_term_title",
@@ -80,8 +80,7 @@ def relevance_features(pre: DataFrame, separator_aware: bool = True,
         "ratio_attr": tx.ratio_of_common_words("commonWords_term_attr", "len_of_query"),
     })
     if with_cosine:
-        cos = title_term_cosine(pre)
-        out = out.join(cos, "id", "left")
+        out = with_field_cosine(out, "stemmed_search_term", "stemmed_product_title", "title_term_similarity")
     return out
 
 
@@ -186,10 +185,14 @@ def query_frequency(df: DataFrame, query: str = "search_term", out: str = "query
 
 
 def letter_histogram(df: DataFrame, text_col: str, id_col: str = "id") -> DataFrame:
-    """(id, letter, n) counts of each character of a text."""
+    """(id, letter, n) counts of each character of each row's text.
+
+    Counted inside the row, so nothing is shuffled."""
     chars = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), ""), lambda c: c != "")
-    return (df.select(F.col(id_col).alias("id"), F.explode(chars).alias("letter"))
-            .groupBy("id", "letter").agg(F.count("*").cast("long").alias("n")))
+    counts = F.transform(F.array_distinct("_chars"), lambda c: F.struct(
+        c.alias("letter"), F.size(F.filter("_chars", lambda x: x == c)).cast("long").alias("n")))
+    return (df.select(F.col(id_col).alias("id"), chars.alias("_chars"))
+            .select("id", F.explode(counts).alias("_h")).select("id", "_h.letter", "_h.n"))
 
 
 def with_title_length(df: DataFrame, title: str = "stemmed_product_title",

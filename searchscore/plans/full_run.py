@@ -10,13 +10,14 @@ from ..sources.fixtures import fixtures
 from . import features as ft
 
 
-def _prepare(df: DataFrame, columns: dict, stemmer: str) -> DataFrame:
-    """lower-case each source column, then stem it into its stemmed_* column."""
+def _prepare(df: DataFrame, columns: dict, stemmer: str, repeated: bool = False) -> DataFrame:
+    """lower-case each source column, then stem it into its stemmed_* column;
+    ``repeated`` if rows share their texts."""
     low = df.withColumns({src: F.lower(F.col(src)) for src in columns})
     if stemmer == "none":
         return low.withColumns({dst: F.col(src) for src, dst in columns.items()})
-    from ..operators.stemming import stem_columns
-    return stem_columns(low, columns)
+    from ..operators.stemming import stem_columns, stem_distinct
+    return stem_distinct(low, columns) if repeated else stem_columns(low, columns)
 
 
 def preprocess_sources(train: DataFrame, descriptions: DataFrame, attributes: DataFrame,
@@ -25,11 +26,12 @@ def preprocess_sources(train: DataFrame, descriptions: DataFrame, attributes: Da
 
     Lower-casing and stemming are row-wise, so they commute with the joins.
     Running them before the joins stems each product's description and
-    attribute text once, not once per query-product pair.
+    attribute text once, not once per query-product pair; titles and queries,
+    which repeat over the pairs, are stemmed once per distinct text.
     """
     s = ft.STEM_SOURCES
     tr = _prepare(train, {"product_title": s["product_title"],
-                          "search_term": s["search_term"]}, stemmer)
+                          "search_term": s["search_term"]}, stemmer, repeated=True)
     if materialize_pairs and stemmer != "none":
         # Two consumers (row features and the title-term cosine) read the
         # stemmed pairs: stem once and keep the result in the shared

@@ -34,6 +34,12 @@ def _pre(spark, sf_dir):
     return ft.preprocess(_merged(spark, sf_dir), stemmer="none")
 
 
+def _train_pre(spark, sf_dir):
+    """The pairs alone, for what needs titles and queries only: no product text is read."""
+    low = fixture(spark, sf_dir, "train").withColumns({c: F.lower(c) for c in ("product_title", "search_term")})
+    return low.withColumns({"stemmed_product_title": F.col("product_title"), "stemmed_search_term": F.col("search_term")})
+
+
 def _feat(spark, sf_dir, **kw):
     return ft.relevance_features(_pre(spark, sf_dir), **kw)
 
@@ -116,35 +122,31 @@ def q_sort_by_uid(spark, sf_dir):
     return _merged(spark, sf_dir).select("product_uid", "id").orderBy("product_uid", "id")
 
 
-def _tfidf_fields(spark, sf_dir):
-    pre = _pre(spark, sf_dir)
-    return tfm.tfidf_long(pre, {"title": "stemmed_product_title",
-                                "description": "stemmed_product_description",
-                                "term": "stemmed_search_term"})
+def _tfidf_field(spark, sf_dir, name):
+    return tfm.tfidf_long(_train_pre(spark, sf_dir), {name: {"title": "stemmed_product_title", "term": "stemmed_search_term"}[name]})
 
 
-def _rounded_weights(w, field):
-    return (w.where(F.col("field") == field)
-            .select("id", "token", "tf", F.round("idf", R).alias("idf"),
-                    F.round("weight", R).alias("tfidf")))
+def _rounded_weights(w):
+    return w.select("id", "token", "tf", F.round("idf", R).alias("idf"), F.round("weight", R).alias("tfidf"))
 
 
 def q_tfidf_title(spark, sf_dir):
-    return _rounded_weights(_tfidf_fields(spark, sf_dir), "title")
+    return _rounded_weights(_tfidf_field(spark, sf_dir, "title"))
 
 
 def q_tfidf_term(spark, sf_dir):
-    return _rounded_weights(_tfidf_fields(spark, sf_dir), "term")
+    return _rounded_weights(_tfidf_field(spark, sf_dir, "term"))
 
 
 def q_tfidf_description(spark, sf_dir):
-    summ = tfm.tfidf_summary(_pre(spark, sf_dir), {"description": "stemmed_product_description"})
+    train, descriptions, _ = fixtures(spark, sf_dir)
+    summ = tfm.tfidf_summary_by_product(train, descriptions.withColumn("product_description", F.lower("product_description")), "product_description")
     return summ.select("id", "n_terms", "n_tokens", F.round("sum_tfidf", R).alias("sum_tfidf"),
                        F.round("l2_norm", R).alias("l2_norm"))
 
 
 def q_idf(spark, sf_dir):
-    pre = _pre(spark, sf_dir)
+    pre = _train_pre(spark, sf_dir)
     tf = tfm.term_frequency(tfm.token_table(pre, {"title": "stemmed_product_title",
                                                   "term": "stemmed_search_term"}))
     idf = tfm.fit_idf(tf, tfm.document_count(pre))
@@ -152,36 +154,36 @@ def q_idf(spark, sf_dir):
 
 
 def q_tf_exact(spark, sf_dir):
-    pre = _pre(spark, sf_dir)
+    pre = _train_pre(spark, sf_dir)
     return tfm.term_frequency(tfm.token_table(pre, {"title": "stemmed_product_title",
                                                     "term": "stemmed_search_term"}))
 
 
 def q_cosine_title_term(spark, sf_dir):
-    cos = tfm.title_term_cosine(_pre(spark, sf_dir))
+    cos = tfm.title_term_cosine(_train_pre(spark, sf_dir))
     return cos.select("id", F.round("title_term_similarity", R).alias("title_term_similarity"))
 
 
 def q_jaccard_exact_pairs(spark, sf_dir):
-    pairs = sim.jaccard_pairs(_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.8)
+    pairs = sim.jaccard_pairs(_train_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.8)
     return pairs.select("set_a", "set_b", "n_rows_a", "n_rows_b", "intersection",
                         F.round("jaccard_distance", R).alias("jaccard_distance"),
                         F.round("jaccard_similarity", R).alias("jaccard_similarity"))
 
 
 def q_jaccard_raw_pairs(spark, sf_dir):
-    pairs = sim.jaccard_pairs(_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.5,
+    pairs = sim.jaccard_pairs(_train_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.5,
                               include_self_and_mirror=True)
     return pairs.select("set_a", "set_b", F.round("jaccard_distance", R).alias("jaccard_distance"))
 
 
 def q_minhash_pairs(spark, sf_dir):
-    return sim.minhash_pairs(_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.8,
+    return sim.minhash_pairs(_train_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.8,
                              num_hash_tables=3, seed=1)
 
 
 def _title_term_entries(spark, sf_dir):
-    pre = _pre(spark, sf_dir)
+    pre = _train_pre(spark, sf_dir)
     tf = tfm.term_frequency(tfm.token_table(pre, {"title": "stemmed_product_title",
                                                   "term": "stemmed_search_term"}))
     return sim.concat_fields(tf, value="tf")
@@ -194,7 +196,7 @@ def q_term_similarity_exact(spark, sf_dir):
 
 def q_term_similarity_dimsum(spark, sf_dir):
     from pyspark.ml.feature import Normalizer
-    pre = _pre(spark, sf_dir)
+    pre = _train_pre(spark, sf_dir)
     v = tfm.hashed_tfidf(pre, "stemmed_product_title", "product_title")
     v = tfm.hashed_tfidf(v, "stemmed_search_term", "search_term")
     v = Normalizer(inputCol="product_title_idf", outputCol="nt", p=2.0).transform(v)
@@ -203,7 +205,7 @@ def q_term_similarity_dimsum(spark, sf_dir):
 
 
 def q_tf_hashed(spark, sf_dir):
-    v = tfm.hashed_tfidf(_pre(spark, sf_dir), "stemmed_search_term", "search_term")
+    v = tfm.hashed_tfidf(_train_pre(spark, sf_dir), "stemmed_search_term", "search_term")
     return v.select("id", "search_term_tf", "search_term_idf")
 
 
@@ -347,7 +349,7 @@ def q_letter_histogram(spark, sf_dir):
 
 
 def q_title_length(spark, sf_dir):
-    return ft.with_title_length(_pre(spark, sf_dir)).select("id", "len_of_title")
+    return ft.with_title_length(_train_pre(spark, sf_dir)).select("id", "len_of_title")
 
 
 def q_cosine_term_description(spark, sf_dir):
@@ -358,7 +360,7 @@ def q_cosine_term_description(spark, sf_dir):
 
 def q_jaccard_term_title(spark, sf_dir):
     sim_ = tx.row_jaccard("stemmed_search_term", "stemmed_product_title")
-    return _pre(spark, sf_dir).select("id", F.round(sim_, R).alias("jaccard_term_title"))
+    return _train_pre(spark, sf_dir).select("id", F.round(sim_, R).alias("jaccard_term_title"))
 
 
 def q_jaccard_term_description(spark, sf_dir):
@@ -373,11 +375,59 @@ def q_cosine_term_attributes(spark, sf_dir):
 
 
 def q_l2_normalized_title(spark, sf_dir):
-    w = _tfidf_fields(spark, sf_dir).where(F.col("field") == "title")
-    n = tfm.l2_normalize(w)
+    n = tfm.l2_normalize(_tfidf_field(spark, sf_dir, "title"))
     return n.select("id", "token", F.round("weight", R).alias("normalized_tfidf"))
 
 
+def q_jaccard_term_attributes(spark, sf_dir):
+    sim_ = tx.row_jaccard("stemmed_search_term", "stemmed_attributes")
+    return _pre(spark, sf_dir).select("id", F.round(sim_, R).alias("jaccard_term_attributes"))
+
+
+def q_letter_histogram_title(spark, sf_dir):
+    return ft.letter_histogram(fixture(spark, sf_dir, "train"), "product_title")
+
+
+def q_ratio_by_words(spark, sf_dir):
+    n = tx.word_count("stemmed_search_term")
+    return _feat(spark, sf_dir).select("id", *[
+        tx.ratio_of_common_words(f"commonWords_term_{c}", n).alias(f"word_ratio_{c}") for c in ("title", "description", "attr")])
+
+
+def q_features_with_cosine(spark, sf_dir):
+    """The flagship's path, without stemming: the form whose values SQL can check."""
+    from .full_run import flagship
+    return flagship(spark, sf_dir, stemmer="none").withColumn("title_term_similarity", F.round("title_term_similarity", R))
+
+
+def q_cosine_repeated_ids(spark, sf_dir):
+    """Title-query cosine of pairs whose ids repeat: each id is cut to its hundreds."""
+    pairs = _train_pre(spark, sf_dir).withColumn("id", F.floor(F.col("id") / 100))
+    cos = tfm.title_term_cosine(pairs)
+    return cos.select("id", F.round("title_term_similarity", R).alias("title_term_similarity"))
+
+
+def q_assembled_as_columns(spark, sf_dir):
+    """The assembled vectors taken apart again."""
+    from pyspark.ml.functions import vector_to_array
+    v = ft.assemble(ft.model_table(_feat(spark, sf_dir))).select("label", vector_to_array("features").alias("v"))
+    return v.select("label", *[F.round(F.col("v")[i], R).alias(c) for i, c in enumerate(ft.MODEL_FEATURES)])
+
+
+def q_cluster_curves_fixed(spark, sf_dir):
+    """Curves of a fixed clustering: cluster number = customer modulo 8."""
+    from ..sources.fixtures import base_table
+    o = base_table(spark, sf_dir, "orders")
+    fixed = o.select((F.col("o_custkey") % 8).cast("int").alias("prediction"), (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+    return _round_curve(md.score_clusters(fixed), "precision", "recall", "f_measure")
+
+
+def q_jaccard_title_pairs(spark, sf_dir):
+    """Raw self-join form over the product titles, where sets differ by a word."""
+    pairs = sim.jaccard_pairs(_train_pre(spark, sf_dir), "stemmed_product_title", max_distance=0.5, include_self_and_mirror=True)
+    return pairs.select("set_a", "set_b", F.round("jaccard_distance", R).alias("jaccard_distance"))
+
+
 def q_validity_report(spark, sf_dir):
     return ft.validity_report(_feat(spark, sf_dir))
 
@@ -440,6 +490,14 @@ SPARK_QUERIES = {
     "jaccard_term_description": q_jaccard_term_description,
     "cosine_term_attributes": q_cosine_term_attributes,
     "validity_report": q_validity_report,
+    "jaccard_term_attributes": q_jaccard_term_attributes,
+    "letter_histogram_title": q_letter_histogram_title,
+    "ratio_by_words": q_ratio_by_words,
+    "features_with_cosine": q_features_with_cosine,
+    "cosine_repeated_ids": q_cosine_repeated_ids,
+    "assembled_as_columns": q_assembled_as_columns,
+    "cluster_curves_fixed": q_cluster_curves_fixed,
+    "jaccard_title_pairs": q_jaccard_title_pairs,
 }
 
 # ---------------------------------------------------------------- DuckDB side
@@ -505,11 +563,17 @@ _Q, _T, _D, _A = ("stemmed_search_term", "stemmed_product_title", "stemmed_produ
                   "stemmed_attributes")
 
 
+def _one_byte(x: str) -> str:
+    """Each non-ASCII character as one control character: DuckDB's levenshtein counts
+    bytes, Spark's characters, and against an ASCII query the distance stays the same."""
+    return f"regexp_replace({x}, '[^\\x00-\\x7F]', chr(1), 'g')"
+
+
 def _features_cte(aware: bool = True) -> str:
     return MERGED_CTE + f""",
 feat0 as (
   select *,
-    cast(levenshtein({_D}, {_Q}) as integer) as levenshtein_dist_description,
+    cast(levenshtein({_one_byte(_D)}, {_Q}) as integer) as levenshtein_dist_description,
     cast(levenshtein({_T}, {_Q}) as integer) as levenshtein_dist_title,
     cast(levenshtein({_A}, {_Q}) as integer) as levenshtein_dist_attr,
     cast(length({_Q}) as integer) as len_of_query,
@@ -637,21 +701,22 @@ dots as (select a.term as term_a, b.term as term_b, sum(a.value * b.value) as do
          from e a join e b on a.id = b.id and a.term < b.term group by a.term, b.term),
 norms as (select term, sqrt(sum(value * value)) as norm from e group by term)
 select term_a, term_b, round(dot / (na.norm * nb.norm), {R}) as similarity
-from dots join norms na on na.term = dots.term_a join norms nb on nb.term = dots.term_b"""
+from dots join norms na on na.term = dots.term_a join norms nb on nb.term = dots.term_b
+where dot / (na.norm * nb.norm) >= 0.1 - 1e-9"""
 
 
 def _sql_bucket(key: str, salt: str = "") -> str:
-    return f"(cast(concat('0x', substr(md5(concat('{salt}', cast({key} as varchar))), 1, 6)) as bigint) % 1000)"
+    return f"cast(concat('0x', substr(md5(concat('{salt}', cast({key} as varchar))), 1, {sp.HEX_DIGITS})) as bigint)"
 
 
 
 _FIXED_PRED = "(1.0 + cast(product_uid % 21 as double) / 10.0)"
 
 ORACLE_SQL["hash_sample"] = cte("train") + f"""
-select id, product_uid from train where {_sql_bucket('id')} < 100"""
+select id, product_uid from train where {_sql_bucket('id')} < {round(0.1 * sp.BUCKETS)}"""
 
 ORACLE_SQL["hash_split"] = cte("train") + f"""
-select id, case when {_sql_bucket('id', 'split-')} < 900 then 'train' else 'test' end as split from train"""
+select id, case when {_sql_bucket('id', 'split-')} < {round(0.9 * sp.BUCKETS)} then 'train' else 'test' end as split from train"""
 
 ORACLE_SQL["mse_fixed"] = cte("train") + f"""
 select round(avg(power(cast(relevance as double) - {_FIXED_PRED}, 2)), {R}) as mse
@@ -784,3 +849,44 @@ from pre p left join s on p.id = s.id"""
 ORACLE_SQL["validity_report"] = _features_cte() + f"""
 select count(*) as n_pairs, cast(sum(case when {VALID} then 1 else 0 end) as bigint) as n_valid,
        cast(count(*) - sum(case when {VALID} then 1 else 0 end) as bigint) as n_dropped from feat"""
+
+ORACLE_SQL["jaccard_term_attributes"] = _sql_row_jaccard(_Q, _A, "jaccard_term_attributes")
+
+ORACLE_SQL["letter_histogram_title"] = ORACLE_SQL["letter_histogram"].replace("search_term", "product_title")
+
+_WORDS_OF_QUERY = f"(case when {_Q} is null then null when {_Q} = '' then 0 else len({_sql_java_split(_Q, '[ \\x00]')}) end)"
+ORACLE_SQL["ratio_by_words"] = _features_cte() + f"""
+select id, {_sql_ratio('commonWords_term_title', _WORDS_OF_QUERY)} as word_ratio_title,
+       {_sql_ratio('commonWords_term_description', _WORDS_OF_QUERY)} as word_ratio_description,
+       {_sql_ratio('commonWords_term_attr', _WORDS_OF_QUERY)} as word_ratio_attr
+from feat"""
+
+_COSINES = """
+pt as (
+  select id, token, sum(case when field = 'title' then weight else 0 end) as wl,
+         sum(case when field = 'term' then weight else 0 end) as wr
+  from w where field in ('title', 'term') group by id, token),
+s as (select id, sum(wl * wr) as dot, sum(wl * wl) as nl, sum(wr * wr) as nr from pt group by id),
+cosines as (
+  select p.id, coalesce(case when sqrt(s.nl) * sqrt(s.nr) > 0 then s.dot / (sqrt(s.nl) * sqrt(s.nr)) else 0.0 end, 0.0) as c
+  from pre p left join s on p.id = s.id)
+"""
+ORACLE_SQL["features_with_cosine"] = TOKENS_CTE + "," + _COSINES + _features_cte()[len(MERGED_CTE):] + f"""
+select feat.id, product_uid, relevance, round(c, {R}) as title_term_similarity, num_of_attr, {FEATURE_LIST}
+from feat join cosines on feat.id = cosines.id"""
+
+ORACLE_SQL["cosine_repeated_ids"] = TOKENS_CTE + "," + _COSINES + f"""
+select cast(floor(id / 100) as bigint) as id, round(c, {R}) as title_term_similarity from cosines"""
+
+ORACLE_SQL["assembled_as_columns"] = _features_cte() + f"""
+select cast(relevance as double) as label, {', '.join(f'round(cast({c} as double), {R}) as {c}' for c in ft.MODEL_FEATURES)}
+from feat where {VALID}"""
+
+ORACLE_SQL["cluster_curves_fixed"] = CURVE_CTE.format(score="cast(o_custkey % 8 as double)") + f"""
+select threshold, round(precision, {R}) as precision, round(recall, {R}) as recall,
+       round({_F1}, {R}) as f_measure from m"""
+
+ORACLE_SQL["jaccard_title_pairs"] = SETS_CTE.replace(_sql_tokens(_Q), _sql_tokens(_T)) + f"""
+select set_a, set_b, round(d, {R}) as jaccard_distance from sp where d <= 0.5 + 1e-9
+union all select set_b, set_a, round(d, {R}) from sp where d <= 0.5 + 1e-9
+union all select set_key, set_key, 0.0 from sets"""

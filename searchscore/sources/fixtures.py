@@ -9,10 +9,10 @@ Spark SQL and DuckDB. The texts below are shared by ``queries()`` and
 Table names appear as ``{name}`` placeholders: Spark receives DataFrames for
 them (``spark.sql(text, orders=df, ...)``), DuckDB the plain view names.
 
-The CASE branches on order keys only shape values (an empty query every 97th
-order, a doubled query every 89th); promotional products carry no attribute
-sheet. No row is left out to make a check cheaper, and descriptions keep the
-whole document text.
+The CASE branches only shape values: an empty query every 97th order, a doubled
+query every 89th; promotional parts share one attribute sheet under product 0,
+which no pair has, so their pairs meet no attributes. Every order, part and
+document is used, and descriptions keep the whole document text.
 """
 from __future__ import annotations
 
@@ -20,8 +20,10 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The eleven relevance levels of the source data, in order.
-RELEVANCE_LEVELS_TEXT = "1.0 1.33 1.67 1.75 2.0 2.25 2.33 2.5 2.67 2.75 3.0"
+from ..functions.text import SNAP_LEVELS
+
+# Portable SQL picks a level with split_part, so the list goes in as one text.
+RELEVANCE_LEVELS_TEXT = " ".join(str(v) for v in SNAP_LEVELS)
 
 TRAIN_SQL = f"""
 select o.o_orderkey as id, o.o_custkey as product_uid,
@@ -40,22 +42,19 @@ join {{part}} q on q.p_partkey = o.query_partkey
 join {{part}} p on p.p_partkey = o.o_custkey
 """
 
-# English documents whose text is pure ASCII (DuckDB's levenshtein counts
-# bytes, Spark's characters; on ASCII both agree). The whole text is kept.
 DESCRIPTIONS_SQL = """
 select p_partkey as product_uid,
        concat_ws(' ', p_type, p_name, text) as product_description
 from {part} join {documents} on doc_id = p_partkey
-where lang = 'en' and bit_length(text) = 8 * length(text)
 """
 
 ATTRIBUTES_SQL = """
-select p_partkey as product_uid, 'Brand' as name, p_brand as value from {part} where p_type <> 'PROMO'
-union all select p_partkey, 'Type', p_type from {part} where p_type <> 'PROMO'
-union all select p_partkey, 'Color Family', split_part(p_name, ' ', 1) from {part} where p_type <> 'PROMO' and p_size > 25
-union all select p_partkey, 'Size', case when p_size > 5 then cast(p_size as string) end from {part} where p_type <> 'PROMO'
+select product_uid, 'Brand' as name, p_brand as value from {sheet}
+union all select product_uid, 'Type', p_type from {sheet}
+union all select product_uid, 'Color Family', split_part(p_name, ' ', 1) from {sheet} where p_size > 25
+union all select product_uid, 'Size', case when p_size > 5 then cast(p_size as string) end from {sheet}
 union all select cast(null as bigint), cast(null as string), cast(null as string) from {region}
-"""
+""".replace("{sheet}", "(select case when p_type = 'PROMO' then 0 else p_partkey end as product_uid, * from {part}) s")
 
 FIXTURE_SQL = {
     "train": TRAIN_SQL,

@@ -36,17 +36,18 @@ SCHEMAS = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             all_strings: bool = False, null_value: str | None = None) -> DataFrame:
+             all_strings: bool = False, null_value: str | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header row.
 
     ``schema`` fixes the column types (no inference pass over the data).
     ``all_strings=True`` reads every column as string, the raw form.
-    Quotes inside fields are doubled (RFC 4180) and quoted fields may span
-    lines, as product descriptions do. By default Spark reads an empty field
+    Quotes inside fields are doubled (RFC 4180). ``multi_line=True`` lets quoted
+    fields span lines; each file is then one task, so it is off by default and a
+    large file is split. By default Spark reads an empty field
     as NULL; ``null_value`` (e.g. ``\\N``) names an explicit NULL marker so
     empty strings stay empty.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     if schema is not None and not all_strings:
@@ -65,12 +66,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists",
 
 def read_sources(spark: SparkSession, train_path: str, descriptions_path: str,
                  attributes_path: str, fmt: str = "csv",
-                 null_value: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                 null_value: str | None = None, multi_line: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read the three inputs with their declared schemas (CSV or Parquet)."""
     if fmt == "csv":
-        return (read_csv(spark, train_path, TRAIN_SCHEMA, null_value=null_value),
-                read_csv(spark, descriptions_path, DESCRIPTIONS_SCHEMA, null_value=null_value),
-                read_csv(spark, attributes_path, ATTRIBUTES_SCHEMA, null_value=null_value))
+        return (read_csv(spark, train_path, TRAIN_SCHEMA, null_value=null_value, multi_line=multi_line),
+                read_csv(spark, descriptions_path, DESCRIPTIONS_SCHEMA, null_value=null_value, multi_line=multi_line),
+                read_csv(spark, attributes_path, ATTRIBUTES_SCHEMA, null_value=null_value, multi_line=multi_line))
     return (read_parquet(spark, train_path), read_parquet(spark, descriptions_path),
             read_parquet(spark, attributes_path))
 
