@@ -124,20 +124,21 @@ def allot(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
 
 
 def plan_partitions(distinct: DataFrame, max_bits: int) -> list[tuple[list[int], int]]:
-    """[(bits, threshold)] of the cheapest plan over m = 1 .. max_bits + 1 partitions.
+    """[(bits, threshold)] of the cheapest plan over 2 .. max_bits + 1 partitions.
 
     Candidates of partition i at threshold t are estimated from all fingerprints:
     the pairs that share its value (exact, one aggregate), times the number of
     values a probe reaches."""
     n, both = _bit_sums(distinct)
-    plans = {m: correlated_groups(n, both, m) for m in range(1, max_bits + 2)}
+    # one partition alone would be probed with all words within max_bits: never worth it
+    plans = {m: correlated_groups(n, both, m) for m in range(min(2, max_bits + 1), max_bits + 2)}
     keys = [(m, i, bits) for m, groups in plans.items() for i, bits in enumerate(groups)]
     row = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), _value(bits).alias("v")) for j, (_, _, bits) in enumerate(keys)]))
     same = {r["j"]: float(r["pairs"]) for r in distinct.select(row.alias("r")).groupBy("r.j", "r.v").count()
             .groupBy("j").agg(F.sum(F.col("count").cast("double") * F.col("count")).alias("pairs")).collect()}
     best = None
     for m, groups in plans.items():
-        costs = [[0.0] + [probes(len(bits), t) * (same.get(keys.index((m, i, bits)), 0.0) + PROBE_COST * n)
+        costs = [[0.0] + [probes(len(bits), t) * (same.get(keys.index((m, i, bits)), 0.0) + PROBE_COST * max(n, 1))
                           for t in range(max_bits + 1)] for i, bits in enumerate(groups)]
         cost, thresholds = allot(costs, max_bits + 1)
         if best is None or cost < best[0]:

@@ -14,7 +14,7 @@ def slow_best(text, item, width=5):
     """Greatest weighted Jaccard of the item and any window of its size (0 if none)."""
     a = D.shingles_of((text or "").lower().encode().split(), width)
     b = D.shingles_of((item or "").lower().encode().split(), width)
-    if not a or not b:
+    if set(a).isdisjoint(b):
         return 0.0
     n, want, best = min(len(a), len(b)), Counter(b), 0.0
     for i in range(len(a) - n + 1):
