@@ -73,10 +73,10 @@ def run_relevance(spark: SparkSession, train_path: str, descriptions_path: str,
                   attributes_path: str, fmt: str = "csv", stemmer: str = "porter2",
                   seed: int = 42, sample_fraction: float | None = None,
                   parallelism: int = 4, fit_forest: bool = True,
-                  csv_null_value: str | None = None) -> dict:
+                  csv_null_value: str | None = None, csv_multi_line: bool = False) -> dict:
     """The full run, returning tables instead of printing them.
 
-    Reads the three sources, optionally samples pairs (hash rule on ``id``),
+    Reads the three sources (``csv_multi_line`` when quoted fields span lines), optionally samples pairs (hash rule on ``id``),
     builds features, splits 90/10, tunes linear regression and random forest,
     fits gradient-boosted trees, clusters the binarised table with k-means and
     bisecting k-means, and scores the clusters. Returns a dict of DataFrames:
@@ -89,7 +89,7 @@ def run_relevance(spark: SparkSession, train_path: str, descriptions_path: str,
     from ..sources.readers import read_sources
 
     train, descriptions, attributes = read_sources(spark, train_path, descriptions_path,
-                                                   attributes_path, fmt, csv_null_value)
+                                                   attributes_path, fmt, csv_null_value, csv_multi_line)
     if sample_fraction is not None:
         train = sp.sample(train, sample_fraction, key="id")
     feats = feature_table(train, descriptions, attributes, stemmer=stemmer, with_cosine=True)

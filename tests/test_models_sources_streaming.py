@@ -9,7 +9,7 @@ from searchscore.operators import sampling as sp
 from searchscore.plans import full_run as pl
 from searchscore.plans import registry as rg
 from searchscore.sources import fixtures, read_csv, read_parquet, write_csv, write_parquet
-from searchscore.sources.readers import TRAIN_SCHEMA
+from searchscore.sources.readers import DESCRIPTIONS_SCHEMA, TRAIN_SCHEMA
 
 
 def test_forest_is_really_a_forest(spark):
@@ -95,7 +95,8 @@ def test_full_run_from_csv(spark, tmpdir_path):
         paths.append(p)
     # the \N marker keeps empty strings apart from NULL in CSV
     out = pl.run_relevance(spark, *paths, fmt="csv", fit_forest=False, parallelism=2,
-                           csv_null_value="\\N")
+                           csv_null_value="\\N", csv_multi_line=True)  # descriptions span lines
+    assert read_csv(spark, paths[1], DESCRIPTIONS_SCHEMA, null_value="\\N", multi_line=True).exceptAll(desc).count() == 0
     mm = {(r.model, r.split): r.mse for r in out["model_metrics"].collect()}
     assert ("linear_regression", "test") in mm and ("gbt", "test") in mm
     v = out["validity"].first()

@@ -9,7 +9,7 @@ from searchscore.operators import similarity as sim
 from searchscore.operators import stemming as st
 from searchscore.operators import tfidf as tfm
 from searchscore.plans import features as ft
-from searchscore.sources import fixtures as fx
+from searchscore.sources.fixtures import fixture
 
 from conftest import SF_SMALL
 
@@ -64,8 +64,8 @@ def test_every_document_and_part_is_used(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     parts = spark.read.parquet(f"{SF_SMALL}/part.parquet")
     matching = docs.join(parts, docs["doc_id"] == parts["p_partkey"]).count()
-    assert fx.fixture(spark, SF_SMALL, "product_descriptions").count() == matching
-    brands = fx.fixture(spark, SF_SMALL, "attributes").where("name = 'Brand'")
+    assert fixture(spark, SF_SMALL, "product_descriptions").count() == matching
+    brands = fixture(spark, SF_SMALL, "attributes").where("name = 'Brand'")
     assert brands.count() == parts.count()
 
 
