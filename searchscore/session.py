@@ -1,7 +1,6 @@
 """Session defaults and the shared checkpoint folder."""
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -64,7 +63,3 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     checkpoint_dir(spark)
     return df.checkpoint(eager=True)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(checkpoint_dir(spark), name)
