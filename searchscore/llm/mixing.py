@@ -100,23 +100,24 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = PERIOD,
     docs = docs.drop(*added)
     weights = smoothed_weights(docs, source) if weights is None else weights
     plan = period_schedule(weights, period)
-    src, ident = F.col(f"`{source}`"), F.col(f"`{doc_id}`")
+    ident = F.col(f"`{doc_id}`")
+    # one key for the source, null included, so that window and join share a partitioning
+    named = lambda c: F.coalesce(F.concat(F.lit("s"), c.cast("string")), F.lit("null"))
     key = F.md5(F.coalesce(ident.cast("string"), F.lit("")))
-    rows = docs.withColumn("__key", key).withColumn("__range", F.substring("__key", 1, RANGE_DIGITS))
-    small = docs.select(src.alias("__s"), F.substring(key, 1, RANGE_DIGITS).alias("__r")).groupBy("__s", "__r").agg(F.count("*").alias("__n"))
+    rows = docs.withColumn("__s", named(F.col(f"`{source}`"))).withColumn("__key", key).withColumn("__r", F.substring("__key", 1, RANGE_DIGITS))
+    small = rows.groupBy("__s", "__r").agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.partitionBy("__s").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1))
     starts = small.select("__s", "__r", F.coalesce(before, F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(src, "__range").orderBy("__key", ident, *[F.col(f"`{c}`") for c in tie or []])
-    rows = rows.withColumn("__place", F.row_number().over(inside) - 1)
-    rows = rows.join(starts, [src.eqNullSafe(F.col("__s")), F.col("__range") == F.col("__r")], "left")
+    inside = Window.partitionBy("__s", "__r").orderBy("__key", ident, *[F.col(f"`{c}`") for c in tie or []])
+    rows = rows.withColumn("__place", F.row_number().over(inside) - 1).join(starts, ["__s", "__r"], "left")
     rows = rows.withColumn("__place", F.col("__place") + F.col("__start"))
-    ks = plan.groupBy("source").agg(F.first("k").alias("__k")).select(F.col("source").alias("__ks"), "__k")
-    rows = rows.join(F.broadcast(ks), src.eqNullSafe(F.col("__ks")), "left")
+    plan = plan.withColumn("__s", named(F.col("source")))
+    rows = rows.join(F.broadcast(plan.groupBy("__s").agg(F.first("k").alias("__k"))), "__s", "left")
     block, k = F.col("mix_block"), F.col("__k")
     rows = rows.withColumn("mix_block", F.when(k.isNotNull(), F.floor(F.col("__place") / block_rows)).cast("long"))
     rows = rows.withColumn("__j", (block % k).cast("int")).withColumn("__turn", F.floor(block / k).cast("long"))
-    slots = plan.select(F.col("source").alias("__ps"), F.col("j").alias("__pj"), F.col("slot").alias("__slot"))
-    rows = rows.join(F.broadcast(slots), [src.eqNullSafe(F.col("__ps")), F.col("__j") == F.col("__pj")], "left")
+    slots = plan.select("__s", F.col("j").alias("__j"), F.col("slot").alias("__slot"))  # at most ``period`` rows
+    rows = rows.join(F.broadcast(slots), ["__s", "__j"], "left")
     at = F.col("__turn") * period
     return rows.select(
         *[F.col(f"`{c}`") for c in docs.columns], block,
