@@ -19,9 +19,8 @@ from searchscore.session import cut_lineage
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 #: Labelled URLs that the trees are fitted on at most, taken by hash.
 FIT_ROWS = 20_000
-#: Suffix values of a kind that get statistics of their own: the most frequent among all
-#: labelled URLs. A size of the model; others have the overall share.
-SUFFIXES = 1_000
+#: Kinds of suffix that have statistics: first path segment, last host label, last two host labels.
+KINDS = ("segment", "tld", "tail")
 #: Pseudo-count of the overall share in a suffix's share of blocked URLs.
 PRIOR = 10.0
 
@@ -81,32 +80,34 @@ def lexical(urls: DataFrame) -> DataFrame:
     })
 
 
-def suffix_statistics(labelled: DataFrame) -> dict[str, list[tuple[str, float, float]]]:
-    """Per kind (segment, tld, tail) up to ``SUFFIXES`` (value, labelled URLs, blocked URLs),
+def suffix_statistics(labelled: DataFrame) -> DataFrame:
+    """(kind, value, n, s): labelled URLs and blocked URLs of every value of each kind,
     counted over all labelled rows (url_label 0/1)."""
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in ("segment", "tld", "tail")]))
-    sums = labelled.select("url_label", each.alias("e")).groupBy("e.kind", "e.value").agg(F.count("*").alias("n"), F.sum("url_label").alias("s"))
-    return {k: [(r["value"], float(r["n"]), float(r["s"])) for r in
-                sums.where(F.col("kind") == k).orderBy(F.desc("n"), "value").limit(SUFFIXES).collect()] for k in ("segment", "tld", "tail")}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in KINDS]))
+    return labelled.select("url_label", each.alias("e")).groupBy("e.kind", "e.value").agg(F.count("*").cast("double").alias("n"), F.sum("url_label").alias("s"))
 
 
-def with_shares(rows: DataFrame, stats: dict, overall: float, leave_out: bool) -> DataFrame:
-    """``rows`` with segment_share, tld_share, tail_share: smoothed shares of blocked URLs.
-    ``leave_out`` takes a labelled row's own label out of its statistics."""
+def with_shares(rows: DataFrame, stats: DataFrame, overall: float, leave_out: bool) -> DataFrame:
+    """``rows`` with segment_share, tld_share, tail_share: smoothed shares of blocked URLs;
+    a value without labelled URLs has the overall share. ``leave_out`` takes a labelled
+    row's own label out of its statistics."""
     mine, one = (F.col("url_label"), 1.0) if leave_out else (F.lit(0.0), 0.0)
-    for kind, values in stats.items():
-        of = rows.sparkSession.createDataFrame(values, "__v string, __n double, __s double")  # at most SUFFIXES rows
-        rows = rows.join(F.broadcast(of), F.col(kind) == F.col("__v"), "left")
+    for kind in KINDS:
+        of = stats.where(F.col("kind") == kind).select(F.col("value").alias("__v"), F.col("n").alias("__n"), F.col("s").alias("__s"))
+        rows = rows.join(of, F.col(kind) == F.col("__v"), "left")
         known = (F.col("__s") - mine + PRIOR * overall) / (F.col("__n") - one + PRIOR)
         rows = rows.withColumn(f"{kind}_share", F.coalesce(known, F.lit(overall))).drop("__v", "__n", "__s")
     return rows
 
 
-def fit(labelled: DataFrame, stats: dict, overall: float, fit_rows: int = FIT_ROWS) -> GBTClassificationModel | None:
+def fit(labelled: DataFrame, stats: DataFrame, overall: float, fit_rows: int = FIT_ROWS) -> GBTClassificationModel | None:
     """Trees boosted on up to ``fit_rows`` labelled URLs, those of the least URL hash
     (None if not both labels occur)."""
-    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(fit_rows)
-    rows = cut_lineage(with_shares(sample, stats, overall, leave_out=True).select("url_label", *FEATURES))
+    by_hash = F.xxhash64("url"), F.col("url")
+    sample = labelled.orderBy(*by_hash).limit(fit_rows)
+    # at most ``fit_rows`` rows, in one order whatever the joins, as the trees' splits depend on it
+    ordered = with_shares(sample, stats, overall, leave_out=True).repartition(1).sortWithinPartitions(*by_hash)
+    rows = cut_lineage(ordered.select("url_label", *FEATURES))
     if rows.select("url_label").distinct().count() < 2:
         return None
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
@@ -133,7 +134,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, page_id:
     labelled = featured.where(F.col("by_rule").isNotNull()).withColumn("url_label", (F.col("by_rule") == "block").cast("double"))
     n, blocked = labelled.agg(F.count("*"), F.sum("url_label")).first()
     overall = blocked / n if n else 0.5
-    stats = suffix_statistics(labelled)
+    stats = cut_lineage(suffix_statistics(labelled))
     model = fit(labelled, stats, overall, fit_rows) if n else None
     scored = with_shares(featured, stats, overall, leave_out=False)
     if model is None:

@@ -68,3 +68,16 @@ def test_trees_learn_from_rules_and_hold_out(spark):
     rules = [("allow", "s1.good.net/"), ("allow", "s3.good.net/"), ("block", "s0.bad.net/"), ("block", "s2.bad.net/"), ("block", "s4.bad.net/")]
     got = U.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule is null").collect()
     assert len(got) > 200 and all(r["verdict"] == ("block" if ".bad." in r["host"] else "allow") for r in got)
+
+
+def test_every_suffix_value_has_statistics(spark):
+    n = 1_500
+    rows = [(f"http://h.d{i}.net/p{i}/x", f"h.d{i}.net", f"/p{i}/x", float(i % 2)) for i in range(n)]
+    labelled = U.lexical(spark.createDataFrame(rows, "url string, host string, path string, url_label double"))
+    got = U.with_shares(labelled, U.suffix_statistics(labelled), 0.5, leave_out=False).collect()
+    assert len(got) == n
+    for r in got:
+        share = (r["url_label"] + U.PRIOR * 0.5) / (1 + U.PRIOR)
+        assert abs(r["segment_share"] - share) < 1e-9 and abs(r["tail_share"] - share) < 1e-9 and abs(r["tld_share"] - 0.5) < 1e-9
+    own = U.with_shares(labelled, U.suffix_statistics(labelled), 0.5, leave_out=True).collect()
+    assert all(abs(r["tail_share"] - 0.5) < 1e-9 for r in own)
