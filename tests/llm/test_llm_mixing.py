@@ -1,4 +1,5 @@
 """Pfair mixing: windows, deviation, wholeness."""
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -79,3 +80,41 @@ def test_empty_table_and_too_many_sources(spark):
     assert M.mix(spark.createDataFrame([], T.StructType.fromDDL("doc_id long, source string"))).count() == 0
     with pytest.raises(Exception, match="more sources than"):
         M.mix(table(spark, {str(i): 1 for i in range(9)}), period=8).collect()
+
+
+def check_true(rows, weights, block_rows):
+    """Windows hold, each block has a slot of its own, and no source that still has blocks is a block off its weight."""
+    total = sum(weights.values())
+    slots = {r["mix_slot"]: (r["source"], r["mix_block"]) for r in rows}
+    assert len(slots) == len({(r["source"], r["mix_block"]) for r in rows})
+    assert all(r["mix_release"] <= r["mix_slot"] < r["mix_deadline"] for r in rows)
+    ends = min(max(t for t, (x, _) in slots.items() if x == s) for s in weights)
+    had = Counter()
+    for t in range(ends + 1):
+        had[slots[t][0]] += 1
+        assert all(abs(had[s] - w / total * (t + 1)) < 1 + 1e-4 for s, w in weights.items()), t
+    return ends
+
+
+def test_true_weights_hold_over_many_stretches(spark):
+    weights = {f"s{i:02d}": (9.5 if i == 0 else 1.0 + i % 3 / 7) for i in range(20)}
+    total = sum(weights.values())
+    docs = table(spark, {s: int(5_000 * w / total) + 2 for s, w in weights.items()})
+    given = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    assert check_true(M.mix(docs, given, block_rows=1).collect(), weights, 1) > 4 * M.PERIOD
+
+
+def test_short_stretches_and_many_weights(spark):
+    for seed in range(4):
+        r = random.Random(seed)
+        weights = {f"s{i:02d}": r.choice([0.45, 0.2, 0.05, 0.011, r.random()]) for i in range(r.randint(2, 12))}
+        total = sum(weights.values())
+        blocks = spark.createDataFrame([(s, int(1_500 * w / total) + 2) for s, w in weights.items()], "source string, blocks long")
+        given = spark.createDataFrame(list(weights.items()), "source string, weight double")
+        assert check_true(M.true_schedule(given, blocks, 1).collect(), weights, 1) > 1_000
+
+
+def test_more_sources_than_a_period_has_slots(spark):
+    weights = spark.createDataFrame([(f"s{i:04d}", 1.0 if i else 1_050.0) for i in range(M.PERIOD + 51)], "source string, weight double")
+    rows = M.mix(table(spark, {"s0000": 320, "s0001": 3}).where("source = 's0000'"), weights).collect()  # half of all slots
+    assert len(rows) == 320 and {r["mix_block"]: r["mix_slot"] // 2 for r in rows} == {i: i for i in range(5)}
