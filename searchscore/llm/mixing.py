@@ -137,16 +137,19 @@ def true_schedule(weights: DataFrame, blocks: DataFrame, least: int = PERIOD) ->
     # sources without rows keep their share of the slots
     each = each.select("source", "weight", "blocks").unionByName(
         weights.where("weight > 0").join(n, F.col("source").eqNullSafe(F.col("of")), "left_anti").select("source", "weight", F.lit(0).cast("long").alias("blocks")))
-    one = each.agg(F.array_sort(F.collect_list(F.struct((F.col("source") == "null").alias("last"), "source", F.col("weight").cast("double").alias("weight"), "blocks"))).alias("s")).where(F.size("s") > 0)
-    one = one.withColumn("sum", F.aggregate("s", F.lit(0.0), lambda acc, x: acc + x["weight"]))
-    one = one.withColumn("w", F.transform("s", lambda x: F.greatest(F.round(x["weight"] / F.col("sum") * WEIGHT_UNITS).cast("long"), F.lit(1).cast("long"))))
-    one = one.withColumn("m", F.aggregate("w", F.lit(0).cast("long"), lambda acc, x: acc + x))
     m = F.col("m")
     up = lambda x, y: _div(x + y - 1, y)
-    one = one.withColumn("end", F.array_max(F.zip_with("s", "w", lambda x, w: up(x["blocks"] * m, w))))
-    one = one.withColumn("length", F.greatest(F.lit(least).cast("long"), up(m, F.array_min("w")) + 1)).where("end > 0")
+    # totals over the sources by windows: in a lambda they would be worked out anew for each source
+    whole = Window.partitionBy()
+    each = each.withColumn("last", F.col("source") == "null").withColumn("weight", F.col("weight").cast("double"))
+    each = each.withColumn("sum", F.sum("weight").over(whole.orderBy("last", "source").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    each = each.withColumn("w", F.greatest(F.round(F.col("weight") / F.col("sum") * WEIGHT_UNITS).cast("long"), F.lit(1).cast("long")))
+    each = each.withColumn("m", F.sum("w").over(whole))
+    one = each.agg(F.array_sort(F.collect_list(F.struct("last", "source", "blocks", "w"))).alias("s"), F.max("m").alias("m"),
+                   F.max(up(F.col("blocks") * m, F.col("w"))).alias("end"), F.min("w").alias("least")).where("end > 0")
+    one = one.select("s", F.transform("s", lambda x: x["w"]).alias("w"), "m", "end", F.greatest(F.lit(least).cast("long"), up(m, F.col("least")) + 1).alias("length"))
     one = one.select("s", "w", "m", "end", "length", F.explode(F.sequence(F.lit(0).cast("long"), _div(F.col("end") - 1, F.col("length")))).alias("p"))
-    one = one.repartition("p")
+    one = one.repartition(int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions")), "p")  # a fixed number: few bytes, much work
     start, stop = F.col("p") * F.col("length"), F.least((F.col("p") + 1) * F.col("length"), F.col("end"))
     final = stop == F.col("end")
     one = one.select("s", "w", "m", start.alias("start"), stop.alias("stop"), _end_state(start, F.col("length")).alias("had"),

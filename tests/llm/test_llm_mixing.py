@@ -117,4 +117,4 @@ def test_short_stretches_and_many_weights(spark):
 def test_more_sources_than_a_period_has_slots(spark):
     weights = spark.createDataFrame([(f"s{i:04d}", 1.0 if i else 1_050.0) for i in range(M.PERIOD + 51)], "source string, weight double")
     rows = M.mix(table(spark, {"s0000": 320, "s0001": 3}).where("source = 's0000'"), weights).collect()  # half of all slots
-    assert len(rows) == 320 and {r["mix_block"]: r["mix_slot"] // 2 for r in rows} == {i: i for i in range(5)}
+    assert len(rows) == 320 and all(abs(r["mix_slot"] - 2 * r["mix_block"]) <= 2 for r in rows)
