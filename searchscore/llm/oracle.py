@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from . import chat_rotation, line_dedup, mixing, quality_rules
+from .oracle_trees import MERKLE, TRIE
 
 #: Sources, shares of a period, the schedule slot by slot, and the rows' places.
 MIX = f"""
@@ -98,4 +99,5 @@ masked as (
 select *, failure_mask & 3 <> 0 as base_failed, failure_mask = 0 as kept from masked
 """
 
-ORACLE_SQL = {"op1_mix_sources": MIX, "op3_chat_rotation": CHAT, "op5_line_dedup": LINES, "op6_quality_rules": QUALITY}
+ORACLE_SQL = {"op1_mix_sources": MIX, "op3_chat_rotation": CHAT, "op5_line_dedup": LINES, "op6_quality_rules": QUALITY,
+              "op11_conversation_trie": TRIE, "op12_merkle_manifest": MERKLE}

@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat_rotation, decontamination, html_extraction, line_dedup, mixing, pii, quality_rules, simhash_dedup, toxicity,
-               url_filter)
+from . import (chat_rotation, conversation_trie, decontamination, html_extraction, language_id, line_dedup, merkle_manifest, mixing, pii,
+               quality_rules, simhash_dedup, toxicity, url_filter)
 from .oracle import ORACLE_SQL
 
 
@@ -68,8 +68,27 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of the conversations, each beginning with turns lent by the first of its five."""
+    turns = conversation_trie.ordered_turns(_table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(*conversation_trie.with_lent_turns(turns))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document, and whether it still verifies after half the texts lost their line ends."""
+    docs = _table(spark, sf_dir, "documents")
+    return merkle_manifest.manifest(docs, merkle_manifest.without_newlines_in_half(docs))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    out = language_id.identify(_table(spark, sf_dir, "documents"), ~language_id.held_out(F.col("doc_id")))
+    return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 SPARK_QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_decontaminate, op3_chat_rotation, op4_html_extraction, op5_line_dedup, op6_quality_rules,
-    op7_simhash_dedup, op8_toxicity, op9_pii, op10_url_filter)}
+    op7_simhash_dedup, op8_toxicity, op9_pii, op10_url_filter, op11_conversation_trie, op12_merkle_manifest,
+    op13_language_id)}
 
 __all__ = ["ORACLE_SQL", "SPARK_QUERIES"]
