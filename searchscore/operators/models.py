@@ -50,6 +50,87 @@ def linear_regression_tuned(train: DataFrame, seed: int = 42, parallelism: int =
     return _tvs(lr, grid, seed, parallelism).fit(train)
 
 
+def moment_matrix(df: DataFrame, features, label: str = "label", by=()) -> DataFrame:
+    """(*by, i, j, value) for i <= j: sums over rows of z_i z_j, where z is 1, the features, the label.
+
+    One aggregate with a map-side combine; everything that least squares needs of
+    the rows, whatever their number."""
+    z = [F.lit(1.0), *[F.col(c).cast("double") for c in features], F.col(label).cast("double")]
+    pairs = [(i, j) for i in range(len(z)) for j in range(i, len(z))]
+    sums = df.groupBy(*by).agg(*[F.sum(z[i] * z[j]).alias(f"m_{i}_{j}") for i, j in pairs])
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"m_{i}_{j}").alias("value")) for i, j in pairs])
+    return sums.select(*by, F.explode(cells).alias("c")).select(*by, "c.*")
+
+
+def solve_linear(m, reg_param: float, elastic_net: float, fit_intercept: bool, sweeps: int = 10_000, tolerance: float = 1e-12):
+    """(coefficients, intercept) of the penalised least squares that moment matrix ``m`` (numpy, symmetric) stands for.
+
+    Features and label are scaled by their standard deviation and the penalty is
+    reg_param / sd(label), as Spark ML's linear regression has it, so the
+    coefficients are the same. Without an L1 part in closed form; else by
+    coordinate descent. Constant features get coefficient 0."""
+    import numpy as np
+
+    n, d = m[0, 0], m.shape[0] - 2
+    mean, second = m[0, 1:] / n, m[1:, 1:] / n
+    centred = second - np.outer(mean, mean)
+    sd = np.sqrt(np.clip(np.diag(centred), 0.0, None))
+    if not sd[d]:
+        return np.zeros(d), float(mean[d]) if fit_intercept else 0.0
+    live = np.flatnonzero(sd[:d] > 1e-12 * np.maximum(1.0, np.abs(mean[:d])))
+    at = np.append(live, d)
+    s = (centred if fit_intercept else second)[np.ix_(at, at)] / np.outer(sd[at], sd[at])
+    a, b, penalty = s[:-1, :-1], s[:-1, -1], reg_param / sd[d]
+    l1, l2 = elastic_net * penalty, (1.0 - elastic_net) * penalty
+    if l1 == 0:
+        w = np.linalg.lstsq(a + l2 * np.eye(len(live)), b, rcond=None)[0]
+    else:
+        w = np.zeros(len(live))
+        for _ in range(sweeps):
+            before = w.copy()
+            for j in range(len(w)):
+                rest = b[j] - a[j] @ w + a[j, j] * w[j]
+                w[j] = np.sign(rest) * max(abs(rest) - l1, 0.0) / (a[j, j] + l2)
+            if np.abs(w - before).max(initial=0.0) < tolerance:
+                break
+    coefficients = np.zeros(d)
+    coefficients[live] = w * sd[d] / sd[live]
+    return coefficients, float(mean[d] - coefficients @ mean[:d]) if fit_intercept else 0.0
+
+
+def mse_of_moments(m, coefficients, intercept: float) -> float:
+    """Mean squared error on the rows behind ``m``."""
+    import numpy as np
+
+    c = np.concatenate(([intercept], coefficients, [-1.0]))
+    return float(max(c @ m @ c, 0.0) / m[0, 0])
+
+
+def linear_regression_grid(df: DataFrame, features, label: str = "label", split: str = "split",
+                           train: str = "train", validation: str = "validation") -> DataFrame:
+    """R1-R3 from sufficient statistics: every candidate of the 12-point grid, from one pass over the rows.
+
+    ``split`` names the rows that are fitted and those the candidates are compared
+    on. (candidate, reg_param, fit_intercept, elastic_net, mse, intercept,
+    coefficients), mse on the validation rows. What reaches the driver are two moment
+    matrices of (features + 2)^2 numbers."""
+    import numpy as np
+
+    d = len(features) + 2
+    moments = {name: np.zeros((d, d)) for name in (train, validation)}
+    for r in moment_matrix(df.where(F.col(split).isin(train, validation)), features, label, (split,)).collect():
+        moments[r[split]][r["i"], r["j"]] = moments[r[split]][r["j"], r["i"]] = r["value"]
+    if not moments[train][0, 0] or not moments[validation][0, 0]:
+        raise ValueError("no rows to fit or to compare on")
+    rows = []
+    for reg in LR_REG_PARAMS:
+        for intercept in LR_FIT_INTERCEPT:
+            for net in LR_ELASTIC_NET:
+                w, b = solve_linear(moments[train], reg, net, intercept)
+                rows.append((len(rows), reg, intercept, net, mse_of_moments(moments[validation], w, b), b, [float(x) for x in w]))
+    return df.sparkSession.createDataFrame(rows, "candidate int, reg_param double, fit_intercept boolean, elastic_net double, mse double, intercept double, coefficients array<double>")
+
+
 def random_forest_tuned(train: DataFrame, seed: int = 42, parallelism: int = 4):
     """Random-forest regression tuned over numTrees x maxDepth (20 points)."""
     from pyspark.ml.regression import RandomForestRegressor

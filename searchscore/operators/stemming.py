@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.porter2 import stem
+from ..session import cut_lineage
 
 # Fixed value: what counts as a word to stem (after lower-casing).
 WORD = re.compile(r"[a-z']+")
@@ -73,6 +74,36 @@ def stem_distinct(df: DataFrame, columns: dict) -> DataFrame:
     return out
 
 
+def stem_by_vocabulary(df: DataFrame, columns: dict) -> DataFrame:
+    """``stem_columns`` with a dictionary: only distinct words go through the Python helper.
+
+    The distinct texts of all ``columns`` (keyed by MD5, dealt by key once) are cut
+    into words and what stands between them. The words meet the (word, stem)
+    dictionary in a join, which Spark broadcasts if the vocabulary is small, and each
+    text is put together again in its order, every separator in its place. Rows of
+    Python: one a distinct word, whatever the length and number of the texts."""
+    key = lambda c: F.unhex(F.md5(F.col(c)))
+    texts = (df.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("text")).where(F.col("text").isNotNull())
+             .select(F.unhex(F.md5("text")).alias("_key"), "text").repartition("_key")
+             .groupBy("_key").agg(F.first("text").alias("text")))
+    # read for the vocabulary, the words and the separators
+    texts = cut_lineage(texts)
+    words = texts.select("_key", F.posexplode(F.regexp_extract_all("text", F.lit(WORD_SQL), F.lit(0))).alias("i", "word"))
+    vocabulary = cut_lineage(words.select("word").distinct().withColumn("stem", stem_word_udf(F.col("word"))))
+    dealt = texts.repartition("_key")
+    words = dealt.select("_key", F.posexplode(F.regexp_extract_all("text", F.lit(WORD_SQL), F.lit(0))).alias("i", "word"))
+    stems = (words.join(vocabulary, "word").groupBy("_key")
+             .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "stem"))), lambda x: x["stem"]).alias("stems")))
+    gaps = dealt.select("_key", F.split("text", WORD_SQL, -1).alias("gaps"))
+    whole = F.zip_with("gaps", F.coalesce("stems", F.array().cast("array<string>")), lambda g, w: F.concat(g, F.coalesce(w, F.lit(""))))
+    done = cut_lineage(gaps.join(stems, "_key", "left").select("_key", F.array_join(whole, "").alias("_stem")))
+    out = df
+    for src, dst in columns.items():
+        one = done.select(F.col("_key").alias("_k"), F.col("_stem").alias(dst))
+        out = out.withColumn("_src", key(src)).join(one, F.col("_src") == F.col("_k"), "left").drop("_src", "_k")
+    return out
+
+
 def stem_vocabulary(df: DataFrame, columns) -> DataFrame:
     """(word, stem) for every distinct word of the given text columns.
 

@@ -289,3 +289,17 @@ def hashed_tfidf(df: DataFrame, text_col: str, out_prefix: str,
     tfd = HashingTF(inputCol=words, outputCol=tfc, numFeatures=num_features).transform(tok)
     model = IDF(inputCol=tfc, outputCol=idfc, minDocFreq=min_doc_freq).fit(tfd)
     return model.transform(tfd)
+
+
+def hash_slot(token, num_features: int = HASHED_NUM_FEATURES):
+    """The slot of a token: the first eight hexadecimal digits of its MD5, modulo ``num_features``."""
+    return F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("long") % num_features
+
+
+def hashed_term_frequency(tf: DataFrame, num_features: int = HASHED_NUM_FEATURES) -> DataFrame:
+    """T3 hashed form in sparse rows: (field, id, slot, tf) from ``term_frequency``.
+
+    Tokens that fall into one slot are added up; ``num_features`` bounds the width of
+    the vocabulary, and the slots are the same in any engine."""
+    return (tf.groupBy("field", "id", hash_slot(F.col("token"), num_features).alias("slot"))
+            .agg(F.sum("tf").cast("long").alias("tf")))

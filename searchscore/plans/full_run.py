@@ -12,11 +12,14 @@ from . import features as ft
 
 def _prepare(df: DataFrame, columns: dict, stemmer: str, repeated: bool = False) -> DataFrame:
     """lower-case each source column, then stem it into its stemmed_* column;
-    ``repeated`` if rows share their texts."""
+    ``repeated`` if rows share their texts. ``stemmer`` "dictionary" stems the distinct
+    words only, "porter2" the texts, "none" nothing."""
     low = df.withColumns({src: F.lower(F.col(src)) for src in columns})
     if stemmer == "none":
         return low.withColumns({dst: F.col(src) for src, dst in columns.items()})
-    from ..operators.stemming import stem_columns, stem_distinct
+    from ..operators.stemming import stem_by_vocabulary, stem_columns, stem_distinct
+    if stemmer == "dictionary":
+        return stem_by_vocabulary(low, columns)
     return stem_distinct(low, columns) if repeated else stem_columns(low, columns)
 
 

@@ -178,8 +178,17 @@ def q_jaccard_raw_pairs(spark, sf_dir):
 
 
 def q_minhash_pairs(spark, sf_dir):
-    return sim.minhash_pairs(_train_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.8,
-                             num_hash_tables=3, seed=1)
+    pairs = sim.minhash_pairs(_train_pre(spark, sf_dir), "stemmed_search_term", max_distance=0.8)
+    return pairs.select("set_a", "set_b", F.round("jaccard_distance", R).alias("jaccard_distance"),
+                        F.round("jaccard_similarity", R).alias("jaccard_similarity"))
+
+
+def q_minhash_recall(spark, sf_dir):
+    """Share of all pairs of titles within distance 0.5 that banding finds."""
+    pre = _train_pre(spark, sf_dir)
+    exact = sim.jaccard_pairs(pre, "stemmed_product_title", max_distance=0.5)
+    approx = sim.minhash_pairs(pre, "stemmed_product_title", max_distance=0.5, rows=2)
+    return sim.minhash_recall(exact, approx).withColumn("recall", F.round("recall", R))
 
 
 def _title_term_entries(spark, sf_dir):
@@ -195,18 +204,28 @@ def q_term_similarity_exact(spark, sf_dir):
 
 
 def q_term_similarity_dimsum(spark, sf_dir):
-    from pyspark.ml.feature import Normalizer
-    pre = _train_pre(spark, sf_dir)
-    v = tfm.hashed_tfidf(pre, "stemmed_product_title", "product_title")
-    v = tfm.hashed_tfidf(v, "stemmed_search_term", "search_term")
-    v = Normalizer(inputCol="product_title_idf", outputCol="nt", p=2.0).transform(v)
-    v = Normalizer(inputCol="search_term_idf", outputCol="nq", p=2.0).transform(v)
-    return sim.term_similarity_dimsum(v, ["nt", "nq"], threshold=0.1)
+    out = sim.term_similarity_sampled(_title_term_entries(spark, sf_dir), threshold=0.1, min_similarity=0.1)
+    return out.select("term_a", "term_b", F.round("similarity", R).alias("similarity"))
+
+
+def q_dimsum_error(spark, sf_dir):
+    """How many of the pairs of similarity 0.1 are estimated within four standard errors."""
+    entries = _title_term_entries(spark, sf_dir)
+    gamma = sim.sampling_gamma(entries.select("term").distinct().count(), 0.1)
+    return sim.sampling_error(sim.term_similarity(entries), sim.term_similarity_sampled(entries, 0.1), gamma).withColumn("inside", F.round("inside", R))
 
 
 def q_tf_hashed(spark, sf_dir):
-    v = tfm.hashed_tfidf(_train_pre(spark, sf_dir), "stemmed_search_term", "search_term")
-    return v.select("id", "search_term_tf", "search_term_idf")
+    pre = _train_pre(spark, sf_dir)
+    tf = tfm.term_frequency(tfm.token_table(pre, {"title": "stemmed_product_title", "term": "stemmed_search_term"}))
+    return tfm.hashed_term_frequency(tf)
+
+
+def q_tf_hashed_narrow(spark, sf_dir):
+    """Eight slots only, so that most tokens share theirs."""
+    pre = _train_pre(spark, sf_dir)
+    tf = tfm.term_frequency(tfm.token_table(pre, {"title": "stemmed_product_title"}))
+    return tfm.hashed_term_frequency(tf, 8)
 
 
 def q_stem_terms(spark, sf_dir):
@@ -297,6 +316,32 @@ def q_lr_tuned(spark, sf_dir):
     return model.transform(test).select("label", "prediction")
 
 
+def _grid_rows(spark, sf_dir):
+    """Valid pairs, six tenths of the training pairs to fit and the others to compare candidates on."""
+    feats = sp.with_split(_feat(spark, sf_dir), (0.9, 0.1), ("train", "test"), key="id").where("split = 'train'")
+    feats = sp.with_split(feats, (md.TRAIN_RATIO, 1 - md.TRAIN_RATIO), ("train", "validation"), key="id", salt="tune-")
+    return ft.model_table(feats, keep=("split",))
+
+
+def q_lr_moments(spark, sf_dir):
+    m = md.moment_matrix(_grid_rows(spark, sf_dir), ft.MODEL_FEATURES, by=("split",))
+    return m.withColumn("value", F.round("value", 3))
+
+
+def q_lr_grid(spark, sf_dir):
+    """The twelve candidates with their error on the rows that are not fitted."""
+    out = md.linear_regression_grid(_grid_rows(spark, sf_dir), ft.MODEL_FEATURES)
+    return out.select("candidate", "reg_param", "fit_intercept", "elastic_net", F.round("mse", 5).alias("mse"))
+
+
+def q_lr_ridge(spark, sf_dir):
+    """Coefficients of the candidates without an L1 part."""
+    out = md.linear_regression_grid(_grid_rows(spark, sf_dir), ft.MODEL_FEATURES).where("elastic_net = 0")
+    named = F.arrays_zip(F.array(*map(F.lit, ft.MODEL_FEATURES)).alias("feature"), F.col("coefficients").alias("coefficient"))
+    return (out.select("reg_param", "fit_intercept", F.explode(named).alias("c"))
+            .select("reg_param", "fit_intercept", F.col("c.feature").alias("feature"), F.round("c.coefficient", R).alias("coefficient")))
+
+
 def q_rf_tuned(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     model = md.random_forest_tuned(train, seed=42, parallelism=4)
@@ -458,9 +503,12 @@ SPARK_QUERIES = {
     "jaccard_exact_pairs": q_jaccard_exact_pairs,
     "jaccard_raw_pairs": q_jaccard_raw_pairs,
     "minhash_pairs": q_minhash_pairs,
+    "minhash_recall": q_minhash_recall,
     "term_similarity_exact": q_term_similarity_exact,
     "term_similarity_dimsum": q_term_similarity_dimsum,
+    "dimsum_error": q_dimsum_error,
     "tf_hashed": q_tf_hashed,
+    "tf_hashed_narrow": q_tf_hashed_narrow,
     "stem_terms": q_stem_terms,
     "features_stemmed": q_features_stemmed,
     "hash_sample": q_hash_sample,
@@ -473,6 +521,9 @@ SPARK_QUERIES = {
     "mean_threshold_label": q_mean_threshold_label,
     "assembled_features": q_assembled_features,
     "lr_tuned": q_lr_tuned,
+    "lr_moments": q_lr_moments,
+    "lr_grid": q_lr_grid,
+    "lr_ridge": q_lr_ridge,
     "rf_tuned": q_rf_tuned,
     "gbt": q_gbt,
     "kmeans_clusters": q_kmeans_clusters,
@@ -890,3 +941,89 @@ ORACLE_SQL["jaccard_title_pairs"] = SETS_CTE.replace(_sql_tokens(_Q), _sql_token
 select set_a, set_b, round(d, {R}) as jaccard_distance from sp where d <= 0.5 + 1e-9
 union all select set_b, set_a, round(d, {R}) from sp where d <= 0.5 + 1e-9
 union all select set_key, set_key, 0.0 from sets"""
+
+
+def _sql_bands(tokens: str, bands: int, rows: int, seed: int = 1) -> str:
+    one = f"list_min(list_transform({tokens}, lambda w: substr(md5(concat('{seed}:{{i}}:', w)), 1, {sim.MINHASH_DIGITS})))"
+    return "[" + ", ".join("concat(" + ", ".join([f"'{b}:'", *[one.format(i=b * rows + r) for r in range(rows)]]) + ")" for b in range(bands)) + "]"
+
+
+def _sql_minhash(column: str, bands: int, rows: int) -> str:
+    return SETS_CTE.replace(_sql_tokens(_Q), _sql_tokens(column)) + f""",
+signed as (select set_key, {_sql_bands('toks', bands, rows)} as s from sets),
+found as (select sp.set_a, sp.set_b, d from sp join signed x on x.set_key = sp.set_a join signed y on y.set_key = sp.set_b
+          where len(list_intersect(x.s, y.s)) > 0)
+"""
+
+
+ORACLE_SQL["minhash_pairs"] = _sql_minhash(_Q, sim.minhash_bands(0.2), 1) + f"""
+select set_a, set_b, round(d, {R}) as jaccard_distance, round(1.0 - d, {R}) as jaccard_similarity from found where d <= 0.8 + 1e-9"""
+
+ORACLE_SQL["minhash_recall"] = _sql_minhash(_T, sim.minhash_bands(0.5, 2), 2) + f"""
+select a.n as n_exact, b.n as n_found, round(b.n / greatest(a.n, 1), {R}) as recall
+from (select count(*) as n from sp where d <= 0.5 + 1e-9) a, (select count(*) as n from found where d <= 0.5 + 1e-9) b"""
+
+SAMPLED_CTE = TOKENS_CTE + f""",
+e as (select id, field || ':' || token as term, cast(tf as double) as value from tf where field in ('title', 'term')),
+stats as (select term, max(value) as top, sqrt(sum(value * value)) / max(value) as norm from e group by term),
+g as (select 10.0 * ln(greatest(count(*), 2)) / 0.1 as gamma from stats),
+kept as (select id, e.term, value / top / least(sqrt(gamma), norm) as value from e join stats on e.term = stats.term, g
+         where {_sql_bucket("concat(id, ':', e.term)")} < sqrt(gamma) / norm * {sp.BUCKETS}.0::double),
+est as (select a.term as term_a, b.term as term_b, sum(a.value * b.value) as similarity
+        from kept a join kept b on a.id = b.id and a.term < b.term group by a.term, b.term)
+"""
+
+ORACLE_SQL["term_similarity_dimsum"] = SAMPLED_CTE + f"""
+select term_a, term_b, round(similarity, {R}) as similarity from est where similarity >= 0.1 - 1e-9"""
+
+ORACLE_SQL["dimsum_error"] = SAMPLED_CTE + f""",
+dots as (select a.term as term_a, b.term as term_b, sum(a.value * b.value) as dot
+         from e a join e b on a.id = b.id and a.term < b.term group by a.term, b.term),
+norms as (select term, sqrt(sum(value * value)) as norm from e group by term),
+exact as (select term_a, term_b, dot / (na.norm * nb.norm) as s
+          from dots join norms na on na.term = dots.term_a join norms nb on nb.term = dots.term_b
+          where dot / (na.norm * nb.norm) >= 0.1 - 1e-9)
+select count(*) as n_pairs, count(*) filter (where hit) as n_inside, round(count(*) filter (where hit) / greatest(count(*), 1), {R}) as inside
+from (select abs(coalesce(similarity, 0) - s) <= 4.0 * sqrt(s / gamma) + 1e-9 as hit
+      from exact left join est on est.term_a = exact.term_a and est.term_b = exact.term_b, g) x"""
+
+_SLOT = "cast(concat('0x', substr(md5(token), 1, 8)) as bigint) %"
+ORACLE_SQL["tf_hashed"] = TOKENS_CTE + f"""
+select field, id, {_SLOT} {tfm.HASHED_NUM_FEATURES} as slot, cast(sum(tf) as bigint) as tf from tf where field in ('title', 'term') group by all"""
+ORACLE_SQL["tf_hashed_narrow"] = TOKENS_CTE + f"""
+select field, id, {_SLOT} 8 as slot, cast(sum(tf) as bigint) as tf from tf where field = 'title' group by all"""
+
+_D2 = len(ft.MODEL_FEATURES) + 2
+MOMENTS_CTE = _features_cte() + f""",
+tuned as (select case when {_sql_bucket('id', 'tune-')} < {round(md.TRAIN_RATIO * sp.BUCKETS)} then 'train' else 'validation' end as split,
+                 [1.0::double, {", ".join(f"cast({c} as double)" for c in ft.MODEL_FEATURES)}, cast(relevance as double)] as z
+          from feat where {VALID} and {_sql_bucket('id', 'split-')} < {round(0.9 * sp.BUCKETS)}),
+moments as (select split, i, j, sum(z[i + 1] * z[j + 1]) as value
+            from tuned, (select unnest(range({_D2})) as i) a, (select unnest(range({_D2})) as j) b group by split, i, j)
+"""
+ORACLE_SQL["lr_moments"] = MOMENTS_CTE + """
+select split, cast(i as integer) as i, cast(j as integer) as j, round(value, 3) as value from moments where i <= j"""
+
+#: Gauss-Jordan elimination of the scaled normal equations, one row a candidate and step.
+_F2 = len(ft.MODEL_FEATURES)
+ORACLE_SQL["lr_ridge"] = MOMENTS_CTE.replace("with ", "with recursive ", 1) + f""",
+n as (select value as n from moments where split = 'train' and i = 0 and j = 0),
+ms as (select j, value / n as mean from moments, n where split = 'train' and i = 0),
+sds as (select m.j, mean, sqrt(value / n - mean * mean) as sd from moments m join ms on ms.j = m.j, n where split = 'train' and m.i = m.j and m.j > 0),
+label as (select mean, sd from sds where j = {_F2 + 1}),
+candidates as (select r as reg_param, f as fit_intercept from (values {", ".join(f"({r}::double)" for r in md.LR_REG_PARAMS)}) a(r), (values (true), (false)) b(f)),
+cells as (select reg_param, fit_intercept, m.i, m.j,
+                 (value / n - case when fit_intercept then x.mean * y.mean else 0 end) / (x.sd * y.sd)
+                 + case when m.i = m.j then reg_param / label.sd else 0 end as v
+          from moments m join sds x on x.j = m.i join sds y on y.j = m.j, n, label, candidates where split = 'train' and m.i <= {_F2}),
+lines as (select reg_param, fit_intercept, i, list(v order by j) as line from cells group by all),
+steps(reg_param, fit_intercept, k, m) as (
+  select reg_param, fit_intercept, 0, list(line order by i) from lines group by all
+  union all
+  select reg_param, fit_intercept, k + 1,
+         list_transform(m, lambda x, i: case when i = k + 1 then list_transform(x, lambda v: v / m[k + 1][k + 1])
+           else list_transform(x, lambda v, j: v - x[k + 1] / m[k + 1][k + 1] * m[k + 1][j]) end)
+  from steps where k < {_F2}),
+solved as (select reg_param, fit_intercept, unnest(range(1, {_F2 + 1})) as j, unnest(list_transform(m, lambda x: x[{_F2 + 1}])) as w from steps where k = {_F2})
+select reg_param, fit_intercept, [{", ".join(f"'{c}'" for c in ft.MODEL_FEATURES)}][solved.j] as feature, round(w * label.sd / sds.sd, {R}) as coefficient
+from solved join sds on sds.j = solved.j, label"""
