@@ -8,12 +8,17 @@
    class. Classes are valid when enough pages have them and their tokens hang, but
    for those inside the class, below one other class: valid classes nest into the
    host's template.
-3. Of the template's slots the main one is an ``article``, else ``main``, else a
+3. Text is deduced the same way: every block of text, together with the path it
+   stands in, is a token with an occurrence vector over the host's distinct pages
+   (pages of equal text count once). Blocks on nearly all pages whose container is
+   part of the template form the classes of template text: notices, adverts,
+   subscription lines, whatever they are called and wherever they stand.
+4. Of the template's slots the main one is an ``article``, else ``main``, else a
    container named as content, else the innermost token that holds most of the
    host's unlinked text.
-4. Each page is read again with its host's template, and what remains in the
-   main slot is extracted; menus, adverts, forms and the like are cut wherever
-   they stand.
+5. Each page is read again with its host's template, and what remains of the main
+   slot without the template's text is extracted; elements and names that say what
+   they are (menus, adverts, forms and the like) are cut as well.
 
 Only token sums are shuffled, never a page; a hot host's pages are combined
 before the shuffle.
@@ -37,7 +42,13 @@ from .url_filter import parts
 SUPPORT = 0.5
 #: Share of the enclosing slot's text that an inner slot must hold to be the main one.
 MAIN_SHARE = 0.7
-#: Templates (one short row per host) up to which they are broadcast; beyond it the join shuffles.
+#: Share of a host's distinct pages that a block of template text stands on at least,
+#: and the least number of them: fewer pages do not tell a template from a coincidence.
+TEXT_SUPPORT, TEXT_PAGES = 0.8, 5
+#: Share of a page's main slot that may be template text. A page with more is a copy of
+#: the others, or a template with hardly anything in it, and keeps its text.
+TEMPLATE_SHARE = 0.5
+#: Hosts and tokens of template text up to which templates are broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 200_000
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?", re.S)
@@ -59,9 +70,24 @@ CUT_WORDS = set("ad ads advert adverts advertisement advertising adslot banner s
                 "sidebar aside widget widgets cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login signin "
                 "comment comments reply replies respond discussion disqus share sharing social related recommended recommendations footer copyright masthead toolbar "
                 "pagination pager search searchbox form complementary contentinfo".split())
+# What a name's other words may be when its first word says what it is.
+BOX_WORDS = set("area bar block body box buttons container content feed form group inner item items link links list outer panel region row section slot thread unit wrap wrapper".split())
 CONTENT_WORDS = set("article articlebody content post entry story main maincontent".split())
 
 
+def _says_cut(name: str) -> bool:
+    """Whether a class, id or role names what is cut: as a whole, by its last word ("cookie-notice",
+    not "notice-period"), or by its first one if the others only say that it is a box of it."""
+    words = [w.lower() for w in NAME_PART.findall(CAMEL.sub(" ", name))]
+    return bool(words) and ("".join(words) in CUT_WORDS or words[-1] in CUT_WORDS or words[0] in CUT_WORDS and CUT_WORDS | BOX_WORDS >= set(words))
+
+
+def text_token(path: int, block: str) -> int:
+    """Signed 64-bit name of a block of text in a container."""
+    h = xxhash.xxh64_intdigest(f"{path}|{block}".encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >> 63 else h
+
+
 class _Reader:
     """Reads pages; keeps hashes of paths it has met, which are few."""
 
@@ -74,7 +100,7 @@ class _Reader:
         key = name + "\0" + attributes
         if (known := self.names.get(key)) is not None:
             return known
-        words, hidden, label = set(), False, [name]
+        words, hidden, label, named = set(), False, [name], False
         for m in ATTRIBUTE.finditer(attributes):
             what, value = m[1].lower(), (m[2] or "").strip("\"'")
             if what == "hidden" or what == "aria-hidden":
@@ -83,8 +109,9 @@ class _Reader:
             parts = [w.lower() for w in NAME_PART.findall(CAMEL.sub(" ", value))]
             words.update(parts)
             words.add("".join(parts))
+            named |= any(_says_cut(n) for n in value.split())
             label.append(what[0] + "=" + re.sub(r"\d+", "0", value))
-        cut = name in CUT or hidden or (bool(words & CUT_WORDS) and name not in ("html", "body", "article", "main"))
+        cut = name in CUT or hidden or (named and name not in ("html", "body", "article", "main"))
         kind = 3 if name == "article" else 2 if name == "main" or "main" in words else 1 if words & CONTENT_WORDS else 0
         found = " ".join(label), cut, kind
         if len(self.names) < 10_000:  # a memory of look-ups, not a limit
@@ -230,8 +257,15 @@ class _Reader:
                 row[3] += linked[i]
         return [(path, *row) for path, row in rows.items()]
 
-    def text(self, page: str | None, main: int | None) -> str:
-        """The page's blocks in its main slot, joined by line feeds. ``main`` is the
+    def texts(self, page: str | None) -> tuple[int, list[tuple[int, int]]]:
+        """(name of the page's whole text, distinct (token, container path) of its blocks) outside what is cut."""
+        out, containers = self.blocks(page or "")
+        kept = [(text, containers[place][0]) for text, place, cut, _ in out if not cut]
+        return text_token(0, "\n".join(t for t, _ in kept)), list({(text_token(path, text), path) for text, path in kept})
+
+    def text(self, page: str | None, main: int | None, template=frozenset()) -> str:
+        """The page's blocks in its main slot, joined by line feeds, without those whose
+        token is in ``template`` (but for a page that is mostly template). ``main`` is the
         host's main slot; a page without it is taken by itself."""
         if not page:
             return ""
@@ -241,7 +275,10 @@ class _Reader:
         inside = [False] * len(containers)
         for i, (path, above, _, _) in enumerate(containers):
             inside[i] = path == main or (i > 0 and inside[above])
-        return "\n".join(text for text, place, cut, _ in out if inside[place] and not cut)
+        blocks = [(text, bool(template) and text_token(containers[place][0], text) in template) for text, place, cut, _ in out if inside[place] and not cut]
+        if sum(len(t) for t, known in blocks if known) > TEMPLATE_SHARE * sum(len(t) for t, _ in blocks):
+            return "\n".join(t for t, _ in blocks)
+        return "\n".join(t for t, known in blocks if not known)
 
 
 def main_slot(tokens: list[tuple[int, int, int, int, int, int]]) -> int:
@@ -267,7 +304,7 @@ TOKENS = "array<struct<path:bigint,parent:bigint,n:int,chars:bigint,links:bigint
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, main): the main slot of each host's template, from pages (host, html)."""
+    """(host, main, template): each host's main slot and tokens of template text, from pages (host, html)."""
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = _Reader()
         for htmls in batches:
@@ -294,25 +331,59 @@ def templates(pages: DataFrame) -> DataFrame:
     def chosen(hosts: pd.Series) -> pd.Series:
         return pd.Series([main_slot([(t["path"], t["parent"], t["n"], t["chars"], t["links"], t["kind"]) for t in ts]) for ts in hosts], dtype="int64")
 
-    return slots.select("host", chosen("tokens").alias("main"))
+    found = slots.select("host", chosen("tokens").alias("main"))
+    texts = template_texts(pages, rows.select("host", "path")).withColumnRenamed("host", "t_host")
+    return found.join(texts, F.col("host").eqNullSafe(F.col("t_host")), "left").select("host", "main", "template")
+
+
+def template_texts(pages: DataFrame, containers: DataFrame) -> DataFrame:
+    """(host, template): per host the tokens of blocks that are template text, from pages (host, html).
+
+    ``containers`` (host, path) are the container tokens with support: a block that
+    hangs in no part of the template is content. On average a host's template holds at most
+    1 / TEXT_SUPPORT times the blocks of a page."""
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        reader = _Reader()
+        for htmls in batches:
+            both = [reader.texts(h) for h in htmls]
+            mark = {"token": None, "path": 0}  # counts the host's pages
+            yield pd.DataFrame({"page": [p for p, _ in both], "texts": [[mark] + [{"token": t, "path": c} for t, c in ts] for _, ts in both]})
+
+    found = F.pandas_udf(read, "page bigint, texts array<struct<token:bigint,path:bigint>>")("html")
+    seen = pages.select(F.xxhash64("host").alias("h"), found.alias("f"))
+    # pages of equal text are one page
+    seen = seen.select("h", "f.page", F.explode("f.texts").alias("t")).select("h", "page", "t.token", "t.path").distinct()
+    vector = lambda salt: F.bit_xor(F.xxhash64(F.lit(salt), "page"))
+    tokens = seen.groupBy("h", "token", "path").agg(F.count("*").alias("pages"), F.struct(vector(1).alias("a"), vector(2).alias("b")).alias("vector"))
+    tokens = cut_lineage(tokens.where(F.col("pages") >= TEXT_PAGES))
+    totals = tokens.where("token is null").select(F.col("h").alias("of"), F.col("pages").alias("total"))
+    often = tokens.where("token is not null").join(totals, F.col("h") == F.col("of")).where(F.col("pages") >= TEXT_SUPPORT * F.col("total"))
+    # a class of blocks is template if it has the support and all of it hangs in the template's containers
+    hung = often.join(containers.select("host", F.col("path").alias("c"), F.xxhash64("host").alias("c_h")), (F.col("h") == F.col("c_h")) & (F.col("path") == F.col("c")), "left")
+    classes = hung.groupBy("h", F.col("vector").alias("v")).agg(F.count_if(F.col("c").isNull()).alias("loose")).where("loose = 0").select(F.col("h").alias("v_h"), "v")
+    hung = hung.join(classes, (F.col("h") == F.col("v_h")) & (F.col("vector") == F.col("v")))
+    return hung.groupBy("host").agg(F.array_sort(F.collect_list("token")).alias("template"))
 
 
 def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars), one row per row of ``pages``.
 
-    Null and empty pages have an empty text; pages of a null or malformed url form
+    Text that stands on nearly all pages of a host of ``TEXT_PAGES`` distinct pages or
+    more is template, also inside the article. Null and empty pages have an empty text; pages of a null or malformed url form
     one host; a page that its host's template does not fit is taken by itself.
     Repeated rows stay; markup may be broken or cut off anywhere; an empty table
     gives an empty one; further columns are not read."""
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), parts(F.col(url))[0].alias("host"))
     found = cut_lineage(templates(rows.select("host", "html")))
-    found = found.select(F.col("host").alias("of"), "main")
-    rows = rows.join(F.broadcast(found) if found.count() <= BROADCAST_HOSTS else found, F.col("host") == F.col("of"), "left")
+    found = found.select(F.col("host").alias("of"), "main", "template")
+    hosts, tokens = found.agg(F.count("*"), F.coalesce(F.sum(F.size("template")), F.lit(0))).first()
+    rows = rows.join(F.broadcast(found) if hosts + tokens <= BROADCAST_HOSTS else found, F.col("host") == F.col("of"), "left")
 
-    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def read(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         reader = _Reader()
-        for htmls, mains in batches:
-            yield pd.Series([reader.text(h, None if pd.isna(m) else int(m)) for h, m in zip(htmls, mains.astype("Int64"))], dtype=object)
+        for htmls, mains, known in batches:
+            yield pd.Series([reader.text(h, None if pd.isna(m) else int(m), frozenset(() if t is None else t))
+                             for h, m, t in zip(htmls, mains.astype("Int64"), known)], dtype=object)
 
-    text = F.pandas_udf(read, "string")("html", F.col("main"))
+    text = F.pandas_udf(read, "string")("html", F.col("main"), F.col("template"))
     return rows.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

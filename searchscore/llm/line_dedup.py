@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from searchscore.session import cut_lineage
 
+from .columns import fresh_prefix
+
 #: Share of a host's pages above which a line is boilerplate.
 MAX_RATIO = 0.05
 #: Pages of the host that must contain the line, whatever the ratio: two copies of
 #: a page on a small host make no boilerplate.
-MIN_PAGES = 10
+MIN_PAGES = 3
 #: Boilerplate keys (all hosts together) up to which they are broadcast, 16 bytes
 #: each and the host names; beyond it the join shuffles and Spark splits hot hosts.
 BROADCAST_KEYS = 500_000
@@ -29,7 +31,7 @@ KEY = "struct<a:bigint,b:bigint>"
 
 def _trimmed(line: Column) -> Column:
     """The line without ASCII white space at its ends; what lines are compared by."""
-    return F.regexp_replace(line, r"^[ \t\x0B\f\r]+|[ \t\x0B\f\r]+$", "")
+    return F.btrim(line, F.lit(" \t\x0b\f\r"))
 
 
 def _key(line: Column) -> Column:
@@ -68,23 +70,25 @@ def drop_boilerplate(docs: DataFrame, max_ratio: float = MAX_RATIO, min_pages: i
     a null host form one host. Repeated rows are pages like any other. ``dropped``
     names a column for the number of lines cut. A column n_chars (long) is kept
     in step with the text."""
+    p = fresh_prefix(docs)
     keys = cut_lineage(boilerplate(docs, max_ratio, min_pages, host, text))
     n = keys.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]
-    keys = keys.select(F.col("host").alias("__host"), F.col("keys").alias("__keys"))
-    rows = docs.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, F.col(f"`{host}`").eqNullSafe(F.col("__host")), "left")
+    keys = keys.select(F.col("host").alias(p + "host"), F.col("keys").alias(p + "keys"), F.transform("keys", lambda k: k["a"]).alias(p + "firsts"))
+    rows = docs.join(F.broadcast(keys) if n <= BROADCAST_KEYS else keys, F.col(f"`{host}`").eqNullSafe(F.col(p + "host")), "left")
     lines = F.split(F.col(f"`{text}`"), "\n")
-    is_cut = lambda x: F.array_contains(F.col("__keys"), _key(_trimmed(x)))
-    left = F.when(F.col("__keys").isNull(), lines).otherwise(F.filter(lines, lambda x: ~is_cut(x)))
-    rows = rows.withColumn("__left", left)
+    # half of the key tells nearly all lines apart, in an array of plain longs; only a hit is looked up whole
+    is_cut = lambda x: F.array_contains(p + "firsts", F.xxhash64(_trimmed(x))) & F.array_contains(p + "keys", _key(_trimmed(x)))
+    left = F.when(F.col(p + "keys").isNull(), lines).otherwise(F.filter(lines, lambda x: ~is_cut(x)))
+    rows = rows.withColumn(p + "left", left)
     out = []
     for c in docs.columns:
         if c == text:
-            out.append(F.when(F.size("__left") == F.size(lines), F.col(f"`{c}`")).otherwise(F.array_join("__left", "\n")).alias(c))
+            out.append(F.when(F.size(p + "left") == F.size(lines), F.col(f"`{c}`")).otherwise(F.array_join(p + "left", "\n")).alias(c))
         elif c == "n_chars" and dict(docs.dtypes)[c] == "bigint":
-            out.append(F.when(F.size("__left") == F.size(lines), F.col(f"`{c}`"))
-                       .otherwise(F.length(F.array_join("__left", "\n")).cast("long")).alias(c))
+            out.append(F.when(F.size(p + "left") == F.size(lines), F.col(f"`{c}`"))
+                       .otherwise(F.length(F.array_join(p + "left", "\n")).cast("long")).alias(c))
         else:
             out.append(F.col(f"`{c}`"))
     if dropped:
-        out.append(F.coalesce(F.size(lines) - F.size("__left"), F.lit(0)).cast("long").alias(dropped))
+        out.append(F.coalesce(F.size(lines) - F.size(p + "left"), F.lit(0)).cast("long").alias(dropped))
     return rows.select(*out)

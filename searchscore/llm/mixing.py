@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import fresh_prefix
+
 #: Slots of a period of rounded weights, and of a stretch of true ones at least.
 PERIOD = 1_000
 #: Parts of the whole that true weights are counted in.
@@ -192,35 +194,36 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int | None =
     interchangeable. Columns of the five names in ``docs`` are replaced."""
     added = ["mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_row"]
     docs = docs.drop(*added)
+    p = fresh_prefix(docs)
     weights = smoothed_weights(docs, source) if weights is None else weights
     ident = F.col(f"`{doc_id}`")
     # one key for the source, null included, so that window and join share a partitioning
     named = lambda c: F.coalesce(F.concat(F.lit("s"), c.cast("string")), F.lit("null"))
     key = F.md5(F.coalesce(ident.cast("string"), F.lit("")))
-    rows = docs.withColumn("__s", named(F.col(f"`{source}`"))).withColumn("__key", key).withColumn("__r", F.substring("__key", 1, RANGE_DIGITS))
-    small = rows.groupBy("__s", "__r").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy("__s").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1))
-    starts = small.select("__s", "__r", F.coalesce(before, F.lit(0)).alias("__start"))
-    inside = Window.partitionBy("__s", "__r").orderBy("__key", ident, *[F.col(f"`{c}`") for c in tie or []])
-    rows = rows.withColumn("__place", F.row_number().over(inside) - 1).join(starts, ["__s", "__r"], "left")
-    rows = rows.withColumn("__place", F.col("__place") + F.col("__start"))
+    rows = docs.withColumn(p + "s", named(F.col(f"`{source}`"))).withColumn(p + "key", key).withColumn(p + "r", F.substring(p + "key", 1, RANGE_DIGITS))
+    small = rows.groupBy(p + "s", p + "r").agg(F.count("*").alias(p + "n"))
+    before = F.sum(p + "n").over(Window.partitionBy(p + "s").orderBy(p + "r").rowsBetween(Window.unboundedPreceding, -1))
+    starts = small.select(p + "s", p + "r", F.coalesce(before, F.lit(0)).alias(p + "start"))
+    inside = Window.partitionBy(p + "s", p + "r").orderBy(p + "key", ident, *[F.col(f"`{c}`") for c in tie or []])
+    rows = rows.withColumn(p + "place", F.row_number().over(inside) - 1).join(starts, [p + "s", p + "r"], "left")
+    rows = rows.withColumn(p + "place", F.col(p + "place") + F.col(p + "start"))
     if period is None:
-        blocks = small.groupBy("__s").agg(F.ceil(F.sum("__n") / block_rows).alias("blocks")).select(F.col("__s").alias("source"), "blocks")
-        slots = true_schedule(weights.select(named(F.col("source")).alias("source"), "weight"), blocks).withColumnRenamed("source", "__s")
-        rows = rows.withColumn("mix_block", F.floor(F.col("__place") / block_rows).cast("long")).join(slots, ["__s", "mix_block"], "left")
+        blocks = small.groupBy(p + "s").agg(F.ceil(F.sum(p + "n") / block_rows).alias("blocks")).select(F.col(p + "s").alias("source"), "blocks")
+        slots = true_schedule(weights.select(named(F.col("source")).alias("source"), "weight"), blocks).withColumnRenamed("source", p + "s")
+        rows = rows.withColumn("mix_block", F.floor(F.col(p + "place") / block_rows).cast("long")).join(slots, [p + "s", "mix_block"], "left")
         known = F.col("mix_slot").isNotNull()
         return rows.select(
             *[F.col(f"`{c}`") for c in docs.columns], F.when(known, F.col("mix_block")).alias("mix_block"), "mix_release", "mix_deadline", "mix_slot",
-            F.when(known, F.col("__place") % block_rows).cast("int").alias("mix_row"))
-    plan = period_schedule(weights, period).withColumn("__s", named(F.col("source")))
-    rows = rows.join(F.broadcast(plan.groupBy("__s").agg(F.first("k").alias("__k"))), "__s", "left")
-    block, k = F.col("mix_block"), F.col("__k")
-    rows = rows.withColumn("mix_block", F.when(k.isNotNull(), F.floor(F.col("__place") / block_rows)).cast("long"))
-    rows = rows.withColumn("__j", (block % k).cast("int")).withColumn("__turn", F.floor(block / k).cast("long"))
-    slots = plan.select("__s", F.col("j").alias("__j"), F.col("slot").alias("__slot"))  # at most ``period`` rows
-    rows = rows.join(F.broadcast(slots), ["__s", "__j"], "left")
-    at = F.col("__turn") * period
+            F.when(known, F.col(p + "place") % block_rows).cast("int").alias("mix_row"))
+    plan = period_schedule(weights, period).withColumn(p + "s", named(F.col("source")))
+    rows = rows.join(F.broadcast(plan.groupBy(p + "s").agg(F.first("k").alias(p + "k"))), p + "s", "left")
+    block, k = F.col("mix_block"), F.col(p + "k")
+    rows = rows.withColumn("mix_block", F.when(k.isNotNull(), F.floor(F.col(p + "place") / block_rows)).cast("long"))
+    rows = rows.withColumn(p + "j", (block % k).cast("int")).withColumn(p + "turn", F.floor(block / k).cast("long"))
+    slots = plan.select(p + "s", F.col("j").alias(p + "j"), F.col("slot").alias(p + "slot"))  # at most ``period`` rows
+    rows = rows.join(F.broadcast(slots), [p + "s", p + "j"], "left")
+    at = F.col(p + "turn") * period
     return rows.select(
         *[F.col(f"`{c}`") for c in docs.columns], block,
-        (at + _release(F.col("__j"), k, period)).alias("mix_release"), (at + _deadline(F.col("__j"), k, period)).alias("mix_deadline"),
-        (at + F.col("__slot")).alias("mix_slot"), F.when(k.isNotNull(), F.col("__place") % block_rows).cast("int").alias("mix_row"))
+        (at + _release(F.col(p + "j"), k, period)).alias("mix_release"), (at + _deadline(F.col(p + "j"), k, period)).alias("mix_deadline"),
+        (at + F.col(p + "slot")).alias("mix_slot"), F.when(k.isNotNull(), F.col(p + "place") % block_rows).cast("int").alias("mix_row"))

@@ -17,8 +17,10 @@ from searchscore.session import cut_lineage
 
 #: (verdict, rule): host suffix and path prefix.
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
-#: Labelled URLs that the trees are fitted on at most, taken by hash.
+#: Distinct labelled URLs that the trees are fitted on at most, taken by hash within each label.
 FIT_ROWS = 20_000
+#: Share of these that each label has at least, if it has as many URLs.
+LEAST_SHARE = 0.1
 #: Kinds of suffix that have statistics: first path segment, last host label, last two host labels.
 KINDS = ("segment", "tld", "tail")
 #: Pseudo-count of the overall share in a suffix's share of blocked URLs.
@@ -82,7 +84,7 @@ def lexical(urls: DataFrame) -> DataFrame:
 
 def suffix_statistics(labelled: DataFrame) -> DataFrame:
     """(kind, value, n, s): labelled URLs and blocked URLs of every value of each kind,
-    counted over all labelled rows (url_label 0/1)."""
+    counted over all labelled URLs (url_label 0/1)."""
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in KINDS]))
     return labelled.select("url_label", each.alias("e")).groupBy("e.kind", "e.value").agg(F.count("*").cast("double").alias("n"), F.sum("url_label").alias("s"))
 
@@ -101,10 +103,12 @@ def with_shares(rows: DataFrame, stats: DataFrame, overall: float, leave_out: bo
 
 
 def fit(labelled: DataFrame, stats: DataFrame, overall: float, fit_rows: int = FIT_ROWS) -> GBTClassificationModel | None:
-    """Trees boosted on up to ``fit_rows`` labelled URLs, those of the least URL hash
-    (None if not both labels occur)."""
+    """Trees boosted on up to ``fit_rows`` distinct labelled URLs, of each label those of the
+    least URL hash, as many as its share (None if not both labels occur)."""
     by_hash = F.xxhash64("url"), F.col("url")
-    sample = labelled.orderBy(*by_hash).limit(fit_rows)
+    blocked = round(fit_rows * min(max(overall, LEAST_SHARE), 1 - LEAST_SHARE))
+    one = lambda label, n: labelled.where(F.col("url_label") == label).orderBy(*by_hash).limit(n)
+    sample = one(1.0, blocked).unionByName(one(0.0, fit_rows - blocked))
     # at most ``fit_rows`` rows, in one order whatever the joins, as the trees' splits depend on it
     ordered = with_shares(sample, stats, overall, leave_out=True).repartition(1).sortWithinPartitions(*by_hash)
     rows = cut_lineage(ordered.select("url_label", *FEATURES))
@@ -122,7 +126,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, page_id:
     verdict is the rule's, else block where the trees' probability of block
     (block_score, null where a rule decides) is at least ``block_at``. Without
     labelled URLs of both kinds the overall share of blocked ones (0.5 without
-    any) stands in for the trees. Null and malformed URLs have an empty host and
+    any) stands in for the trees. A URL is learned from once, however many rows have it. Null and malformed URLs have an empty host and
     path, fit no rule and are judged on their features; repeated rows stay; an
     empty table gives an empty one; only the two named columns are read."""
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
@@ -131,7 +135,8 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, page_id:
     rule, verdict = match(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "by_rule": verdict})
     featured = lexical(rows)
-    labelled = featured.where(F.col("by_rule").isNotNull()).withColumn("url_label", (F.col("by_rule") == "block").cast("double"))
+    known = rows.where(F.col("by_rule").isNotNull()).select("url", "host", "path", (F.col("by_rule") == "block").cast("double").alias("url_label"))
+    labelled = lexical(cut_lineage(known.distinct()))
     n, blocked = labelled.agg(F.count("*"), F.sum("url_label")).first()
     overall = blocked / n if n else 0.5
     stats = cut_lineage(suffix_statistics(labelled))

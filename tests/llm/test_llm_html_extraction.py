@@ -60,6 +60,74 @@ def test_templates_without_an_article_element(spark):
     assert all(got[i] == " ".join(w.split(" ")) for i, (_, _, w) in enumerate(rows))
 
 
+def test_names():
+    for name in ("cookie-notice", "reader-comments", "ad", "ad-box", "adSlot", "social-share", "shareButtons", "newsletter_signup", "page-footer", "comment-list", "navbar-2"):
+        assert H._says_cut(name), name
+    for name in ("login-guide", "social-policy", "article", "notice-period", "formula", "loading", "admin", "menu-of-the-day", "", "7"):
+        assert not H._says_cut(name), name
+
+
+def extracted(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    return {x["page_id"]: x["text"] for x in H.extract_main_text(df).collect()}
+
+
+def slow_template(pages):
+    """Blocks on at least TEXT_SUPPORT of the distinct pages (lists of blocks of one container)."""
+    distinct = {tuple(p) for p in pages}
+    each = {b for p in distinct for b in p}
+    n = {b: sum(b in p for p in distinct) for b in each}
+    known = {b for b in each if n[b] >= H.TEXT_PAGES and n[b] >= H.TEXT_SUPPORT * len(distinct)}
+    out = []
+    for p in pages:
+        mostly = sum(len(b) for b in p if b in known) > H.TEMPLATE_SHARE * sum(map(len, p))
+        out.append("\n".join(b for b in p if mostly or b not in known))
+    return out
+
+
+def test_template_text_goes_wherever_it_stands(spark):
+    r = random.Random(5)
+    rows, want = [], []
+    for i in range(30):
+        own = [" ".join(r.choice(["oak", "elm", "fir", "yew"]) for _ in range(30)) + f" {i}" for _ in range(3)]
+        inside = f"<p>{own[0]}</p><div class='k9z'>Our cookies notice</div><div class='login-guide'>{own[1]}</div><div class='social-policy'><p>{own[2]}</p></div>"
+        rows.append((f"https://h.org/{i}", f"<body><article><p>Subscribe for updates every week</p>{inside}</article><div class=q>bye</div></body>"))
+        want.append("\n".join(own))
+    # another host says the same on a few pages only: nothing tells it from an article
+    rows += [(f"https://few.org/{i}", f"<article><p>Subscribe for updates every week</p><p>{i} own</p></article>") for i in range(H.TEXT_PAGES - 1)]
+    got = extracted(spark, rows)
+    assert [got[i] for i in range(30)] == want
+    assert got[30] == "Subscribe for updates every week\n0 own"
+
+
+def test_copies_are_no_template(spark):
+    copy = "<article><p>one long paragraph of the copied article</p><p>and another one</p></article>"
+    rows = [(f"https://h.org/{i}", copy) for i in range(40)] + [(f"https://h.org/x{i}", f"<article><p>own {i}</p></article>") for i in range(6)]
+    got = extracted(spark, rows)
+    assert got[0] == "one long paragraph of the copied article\nand another one" and got[45] == "own 5"
+    # near copies: most of the page would be template
+    rows = [(f"https://h.org/{i}", f"<article><p>one long paragraph of the copied article</p><p>and another one</p><p>{i}</p></article>") for i in range(40)]
+    assert extracted(spark, rows)[7] == "one long paragraph of the copied article\nand another one\n7"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_template_text_against_brute_force(spark, seed):
+    r = random.Random(seed)
+    rows, want = [], []
+    for host in range(4):
+        often = [(f"notice {host} {k}", r.choice([0.3, 0.75, 0.85, 0.95, 1.0])) for k in range(4)]
+        pages = []
+        for i in range(r.choice([3, 12, 40])):
+            p = [b for b, share in often if r.random() < share] + [f"own words {r.randint(0, 60)} {host}" for _ in range(r.randint(3, 8))]
+            r.shuffle(p)
+            pages.append(p)
+        pages += pages[:2]
+        rows += [(f"http://h{host}.net/{i}", "<html><article>" + "".join(f"<p>{b}</p>" for b in p) + "</article>") for i, p in enumerate(pages)]
+        want += slow_template(pages)
+    got = extracted(spark, rows)
+    assert [got[i] for i in range(len(rows))] == want
+
+
 def test_edge_cases(spark):
     rows = [(1, None, "<article>a</article>", 0), (1, None, "<article>a</article>", 0), (None, "x", None, 0), (2, "http://h/", "", 0), (3, "http://h/", "<div>only", 0)]
     got = H.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string, main int")).collect()

@@ -65,3 +65,17 @@ def test_edge_cases(spark):
     assert got[31]["text"] is None and got[31]["n_chars"] is None and got[32]["text"] == "" and got[33]["text"] == long
     empty = spark.createDataFrame([], T.StructType.fromDDL("doc_id long, source string, text string"))
     assert L.drop_boilerplate(empty).count() == 0
+
+
+def test_columns_of_working_names_stay(spark):
+    docs = spark.createDataFrame([(i, "h", f"foot\nown {i}", "a", "b") for i in range(9)], "doc_id long, source string, text string, __host string, __keys string")
+    out = L.drop_boilerplate(docs).collect()
+    assert {(r["__host"], r["__keys"]) for r in out} == {("a", "b")} and all(r["text"] == f"own {r['doc_id']}" for r in out)
+
+
+def test_the_ratio_decides_on_small_hosts(spark):
+    """A host of 20 pages loses a line of 3 pages, and keeps one of 2 and one of a twentieth."""
+    lines = lambda i: "\n".join([f"own {i}", *(["three"] if i < 3 else []), *(["two"] if i < 2 else [])])
+    docs = spark.createDataFrame([(i, "h", lines(i)) for i in range(20)] + [(100 + i, "big", f"own {i}" + ("\nfive" if i < 5 else "")) for i in range(100)], "doc_id long, source string, text string")
+    got = {r["doc_id"]: r["text"] for r in L.drop_boilerplate(docs).collect()}
+    assert got[0] == "own 0\ntwo" and got[2] == "own 2" and got[100] == "own 0\nfive"

@@ -118,3 +118,12 @@ def test_more_sources_than_a_period_has_slots(spark):
     weights = spark.createDataFrame([(f"s{i:04d}", 1.0 if i else 1_050.0) for i in range(M.PERIOD + 51)], "source string, weight double")
     rows = M.mix(table(spark, {"s0000": 320, "s0001": 3}).where("source = 's0000'"), weights).collect()  # half of all slots
     assert len(rows) == 320 and all(abs(r["mix_slot"] - 2 * r["mix_block"]) <= 2 for r in rows)
+
+
+def test_columns_of_working_names_stay(spark):
+    rows = [(i, f"s{i % 3}", f"k{i}", "r", i) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, __key string, __r string, ___start int")
+    for period in (None, 30):
+        out = M.mix(docs, period=period)
+        got = {r["doc_id"]: (r["__key"], r["__r"], r["___start"]) for r in out.collect()}
+        assert out.columns[:5] == docs.columns and got == {i: (k, r, n) for i, _, k, r, n in rows}

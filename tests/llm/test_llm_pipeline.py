@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import corpus_pipeline as P
+from searchscore.llm import line_dedup
 from searchscore.llm import quality_rules as Q
 
 from conftest import SF_SMALL
@@ -22,7 +23,7 @@ def test_run_matches_brute_force(spark):
                     or m["n_upper"] > .7 * m["n_letters"] or m["top_word_count"] > .3 * m["n_words"])
 
     kept = [d for d in docs if good(d[1])]
-    texts = slow_lines([(d[3], d[1]) for d in kept], 0.05, 10)
+    texts = slow_lines([(d[3], d[1]) for d in kept], 0.05, line_dedup.MIN_PAGES)
     kept = [(d[0], t, d[2], d[3], len(t) if t != d[1] else d[4]) for d, t in zip(kept, texts)]
     prints = [slow_fingerprint(d[1]) for d in kept]
     roots = slow_components(set(prints))

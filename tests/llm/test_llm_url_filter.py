@@ -81,3 +81,15 @@ def test_every_suffix_value_has_statistics(spark):
         assert abs(r["segment_share"] - share) < 1e-9 and abs(r["tail_share"] - share) < 1e-9 and abs(r["tld_share"] - 0.5) < 1e-9
     own = U.with_shares(labelled, U.suffix_statistics(labelled), 0.5, leave_out=True).collect()
     assert all(abs(r["tail_share"] - 0.5) < 1e-9 for r in own)
+
+
+def test_a_repeated_url_changes_no_other_verdict(spark):
+    rows = [(i, f"http://s{i % 7}.{'good' if i % 2 else 'bad'}.net/{'en' if i % 2 else 'spam'}/{i}" + ("" if i % 2 else "?a=1&b=2&c=3")) for i in range(600)]
+    rules = [("allow", "s1.good.net/"), ("allow", "s3.good.net/"), ("block", "s0.bad.net/"), ("block", "s2.bad.net/"), ("block", "s4.bad.net/")]
+    first = min((u for _, u in rows if "s0.bad" in u or "s1.good" in u), key=len)
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    many = df.unionByName(spark.range(600, 900).select(F.col("id").alias("page_id"), F.lit(first).alias("url")))
+    one, two = ({r["page_id"]: tuple(r) for r in U.filter_urls(d, rules, fit_rows=50).where("page_id < 600").collect()} for d in (df, many))
+    assert one == two
+    free = [r for r in one.values() if r[3] is None]
+    assert len(free) > 200 and all(r[4] == ("block" if ".bad." in r[1] else "allow") for r in free)
