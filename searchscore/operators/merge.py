@@ -51,6 +51,23 @@ def flatten_attributes(attributes: DataFrame, key: str = "product_uid", name: st
             .agg(F.array_join(F.sort_array(F.collect_list("_nv")), ATTRIBUTE_SEPARATOR).alias(out)))
 
 
+def flatten_attributes_by_ranges(attributes: DataFrame, key: str = "product_uid", name: str = "name",
+                                 value: str = "value", out: str = "attributes", ranges: int | None = None) -> DataFrame:
+    """A1 for a product that holds a large share of all attributes: the same rows as ``flatten_attributes``.
+
+    The texts are dealt by ranges of (product, text), so a hot product is sorted in
+    many tasks; each range gives one sorted run a product, and the runs are put one
+    after another in the order of the ranges. Equal texts are counted before, so
+    many copies are one row. What meets in one task is one run a range."""
+    n = ranges or int(attributes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = attributes.select(key, name_value(name, value).alias("_nv")).groupBy(key, "_nv").agg(F.count("*").cast("int").alias("_n"))
+    dealt = texts.repartitionByRange(n, key, "_nv").withColumn("_part", F.spark_partition_id())
+    some = F.transform(F.sort_array(F.collect_list(F.struct("_nv", "_n"))), lambda x: F.array_repeat(x["_nv"], x["_n"]))
+    runs = dealt.groupBy(key, "_part").agg(F.array_join(F.flatten(some), ATTRIBUTE_SEPARATOR).alias("_run"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("_part", "_run"))), lambda x: x["_run"])
+    return runs.groupBy(key).agg(F.array_join(ordered, ATTRIBUTE_SEPARATOR).alias(out))
+
+
 def product_table(descriptions: DataFrame, flat_attributes: DataFrame,
                   key: str = "product_uid") -> DataFrame:
     """Descriptions ⟗ flattened attributes on the product key (NULL keys dropped:

@@ -119,6 +119,26 @@ def curves_by_threshold(df: DataFrame, score: str = "score", label: str = "label
                         .otherwise((1.0 + b2) * p * r / (b2 * p + r)))
 
 
+def binned_curves(df: DataFrame, score: str = "score", label: str = "label", bins: int = 100,
+                  accuracy: int = 100_000, beta: float = 1.0) -> DataFrame:
+    """A5-A7 at a bounded number of thresholds, for scores that are nearly all distinct.
+
+    Thresholds are quantiles from a mergeable sketch (``percentile_approx``), each
+    off by at most 1 / ``accuracy`` of the rows in rank; NaN scores count as the
+    largest threshold of their own. Rows are then counted exactly at every
+    threshold, so each point lies on the exact curve, and two neighbouring points
+    are no more than 1 / ``bins`` + 2 / ``accuracy`` of the rows apart, ties aside.
+    Shuffled are ``bins`` counts a task, not a row a score. Columns as
+    ``curves_by_threshold``; a null score counts nowhere but among the positives."""
+    v = F.col(score).cast("double")
+    cuts = df.where(v.isNotNull() & ~F.isnan(v)).agg(F.percentile_approx(v, [i / bins for i in range(bins)], accuracy)).first()[0]
+    bounds = sorted(set(cuts or []))
+    inside = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
+    # the largest bound that is not above the score; the lowest one takes what lies below it by the sketch's error
+    at = F.when(F.isnan(v), v).when(v.isNotNull(), F.greatest(F.array_max(F.filter(inside, lambda b: b <= v)), F.lit(bounds[0] if bounds else None).cast("double")))
+    return curves_by_threshold(df.select(at.alias("score"), F.col(label).alias("label")), "score", "label", beta).where("threshold is not null")
+
+
 def mean_squared_error(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """One row with the mean of (label - prediction)^2."""
     return df.agg(F.avg((F.col(label) - F.col(prediction)) ** 2).alias("mse"))

@@ -7,6 +7,8 @@ come out of sums of products are rounded to 6 digits on both sides.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import cleaning as cl
@@ -283,6 +285,46 @@ def q_pr_curve_all_scores(spark, sf_dir):
     return _round_curve(c, "precision", "recall", "f_measure")
 
 
+def q_pr_curve_binned(spark, sf_dir):
+    c = mt.binned_curves(_order_scores(spark, sf_dir, bucketed=False), bins=100)
+    return _round_curve(c, "precision", "recall", "f_measure")
+
+
+def q_merge_from_buckets(spark, sf_dir):
+    from ..sources import bucketed as bk
+    prefix, folder = bk.scratch_name(spark)
+    return bk.merge_bucketed(*bk.bucket_sources(*fixtures(spark, sf_dir), prefix, buckets=16, folder=folder))
+
+
+def q_attr_group_concat_ranges(spark, sf_dir):
+    return mg.flatten_attributes_by_ranges(fixture(spark, sf_dir, "attributes"))
+
+
+def q_csv_rejects(spark, sf_dir):
+    """Pairs through CSV, every fiftieth with a broken id: which lines come back, and which are rejected."""
+    from ..session import checkpoint_dir
+    from ..sources import readers as rd
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    broken = F.when(F.col("id") % 50 == 0, F.concat(F.lit("x"), F.col("id"))).otherwise(F.col("id").cast("string"))
+    rd.write_csv(fixture(spark, sf_dir, "train").withColumn("id", broken).select(*rd.TRAIN_SCHEMA.names), path)
+    rows = rd.read_csv_with_rejects(spark, path, rd.TRAIN_SCHEMA, null_value="\\N")
+    good = rd.good_rows(rows).select("id", "product_uid", "product_title", "search_term", "relevance", F.lit(False).alias("rejected"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("product_uid", "long"), ("product_title", "string"), ("search_term", "string"), ("relevance", "string"))]
+    bad = rd.rejected_lines(rows).select(F.regexp_extract("line", r"^x(\d+),", 1).cast("long").alias("id"), *none, F.lit(True).alias("rejected"))
+    return good.unionByName(bad)
+
+
+def q_cosine_saved_idf(spark, sf_dir):
+    """Test pairs scored with the saved IDF of the training pairs."""
+    from ..session import checkpoint_dir
+    from . import saved_run as sr
+    pairs = sp.with_split(_train_pre(spark, sf_dir), (0.9, 0.1), ("train", "test"), key="id")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    run = sr.fit_run(pairs.where("split = 'train'"), _grid_rows(spark, sf_dir), ft.MODEL_FEATURES, path, "v1")
+    cos = run.cosine(pairs.where("split = 'test'"))
+    return cos.withColumn("title_term_similarity", F.round("title_term_similarity", R))
+
+
 def q_snap_levels(spark, sf_dir):
     p = _fixed_predictions(spark, sf_dir).withColumn(
         "prediction", F.col("prediction") + (F.col("id") % 13) / 100.0)
@@ -517,6 +559,11 @@ SPARK_QUERIES = {
     "pr_curve_fixed": q_pr_curve_fixed,
     "f1_curve_fixed": q_f1_curve_fixed,
     "pr_curve_all_scores": q_pr_curve_all_scores,
+    "pr_curve_binned": q_pr_curve_binned,
+    "merge_from_buckets": q_merge_from_buckets,
+    "attr_group_concat_ranges": q_attr_group_concat_ranges,
+    "csv_rejects": q_csv_rejects,
+    "cosine_saved_idf": q_cosine_saved_idf,
     "snap_levels": q_snap_levels,
     "mean_threshold_label": q_mean_threshold_label,
     "assembled_features": q_assembled_features,
@@ -1027,3 +1074,29 @@ steps(reg_param, fit_intercept, k, m) as (
 solved as (select reg_param, fit_intercept, unnest(range(1, {_F2 + 1})) as j, unnest(list_transform(m, lambda x: x[{_F2 + 1}])) as w from steps where k = {_F2})
 select reg_param, fit_intercept, [{", ".join(f"'{c}'" for c in ft.MODEL_FEATURES)}][solved.j] as feature, round(w * label.sd / sds.sd, {R}) as coefficient
 from solved join sds on sds.j = solved.j, label"""
+
+ORACLE_SQL["merge_from_buckets"] = ORACLE_SQL["merge_left"]
+ORACLE_SQL["attr_group_concat_ranges"] = ORACLE_SQL["attr_group_concat"]
+
+#: The points of the exact curve at the hundred quantiles (the sketch is exact below its accuracy).
+ORACLE_SQL["pr_curve_binned"] = CURVE_CTE.format(score="o_totalprice") + f""",
+ranked as (select score, row_number() over (order by score) as place, count(*) over () as n from sc),
+cuts as (select distinct score from ranked, (select unnest(range(100)) as i) q where place = greatest(1, cast(ceil(i / 100.0 * n) as bigint)))
+select threshold, round(precision, {R}) as precision, round(recall, {R}) as recall, round({_F1}, {R}) as f_measure
+from m join cuts on cuts.score = m.threshold"""
+
+ORACLE_SQL["csv_rejects"] = cte("train") + """
+select id, case when id % 50 = 0 then null else product_uid end as product_uid, case when id % 50 = 0 then null else product_title end as product_title,
+       case when id % 50 = 0 then null else search_term end as search_term, case when id % 50 = 0 then null else relevance end as relevance, id % 50 = 0 as rejected
+from train"""
+
+ORACLE_SQL["cosine_saved_idf"] = TOKENS_CTE + f""",
+part_of as (select id, {_sql_bucket('id', 'split-')} < {round(0.9 * sp.BUCKETS)} as fitted from pre),
+n as (select count(*) as m from part_of where fitted),
+train_idf as (select field, token, ln((cast(m as double) + 1) / (count(*) + 1)) as idf from tf join part_of using (id), n where fitted group by field, token, m),
+weights as (select tf.field, tf.id, tf.token, tf.tf * coalesce(i.idf, 0) as weight
+            from tf join part_of using (id) left join train_idf i on i.field = tf.field and i.token = tf.token where not fitted and tf.field in ('title', 'term')),
+norms as (select id, sqrt(sum(weight * weight) filter (where field = 'title')) as a, sqrt(sum(weight * weight) filter (where field = 'term')) as b from weights group by id),
+dots as (select x.id, sum(x.weight * y.weight) as dot from weights x join weights y on x.id = y.id and x.token = y.token and x.field = 'title' and y.field = 'term' group by x.id)
+select p.id, round(coalesce(case when a * b > 0 then dot / (a * b) end, 0.0), {R}) as title_term_similarity
+from part_of p left join norms using (id) left join dots using (id) where not fitted"""

@@ -7,6 +7,7 @@ as in the source CSV files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TRAIN_SCHEMA = T.StructType([
@@ -55,6 +56,38 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType, null_value: str | None = None) -> DataFrame:
+    """S1 with a reject channel: the declared columns, ``_reject``, ``_parsed`` and ``_file``.
+
+    A line that does not fit the schema (a value of another type, too few or too many
+    fields) stays a row: its text is in ``_reject``, null for good lines; ``_parsed`` is the
+    number of fields that have a value. ``good_rows``, ``rejected_lines`` and
+    ``reject_report`` split and count them. All of these read every declared column,
+    whatever is asked for later: a line is told by all its fields."""
+    whole = T.StructType([*schema.fields, T.StructField("_reject", T.StringType())])
+    reader = (spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE").option("enforceSchema", True)
+              .option("columnNameOfCorruptRecord", "_reject").schema(whole))
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    values = F.array(*[F.col(f"`{f.name}`").cast("string") for f in schema.fields])
+    return reader.csv(path).withColumns({"_file": F.col("_metadata.file_name"), "_parsed": F.size(F.filter(values, lambda v: v.isNotNull()))})
+
+
+def good_rows(rows: DataFrame) -> DataFrame:
+    """The lines that fit the schema, without the reject channel."""
+    return rows.where(F.col("_reject").isNull() & (F.col("_parsed") >= 0)).drop("_reject", "_parsed", "_file")
+
+
+def rejected_lines(rows: DataFrame) -> DataFrame:
+    """(file, line, n_parsed) of each line that does not fit."""
+    return rows.where(F.col("_reject").isNotNull() & (F.col("_parsed") >= 0)).select(F.col("_file").alias("file"), F.col("_reject").alias("line"), F.col("_parsed").alias("n_parsed"))
+
+
+def reject_report(rows: DataFrame) -> DataFrame:
+    """(file, n_lines, n_rejected), one row a file."""
+    return rows.where("_parsed >= 0").groupBy(F.col("_file").alias("file")).agg(F.count("*").alias("n_lines"), F.count("_reject").alias("n_rejected"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists",
               null_value: str | None = "\\N") -> None:
     """CSV sink matching ``read_csv``: header, doubled quotes, NULL marker."""
