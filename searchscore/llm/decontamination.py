@@ -14,6 +14,10 @@ so the radius lies over four deviations out. A window that shares no shingle
 with any item has similarity 0; only windows that hold a shingle of some item
 are fingerprinted, which loses nothing and spares nearly all of the corpus.
 
+An item of fewer words than a shingle is one shingle of its own width: its windows
+are runs of as many words, and it is found where one equals it (at so few words
+nothing less is 0.8 alike).
+
 The benchmark is a stated query set: it goes to the tasks in slices of at most
 ``SLICE_ITEMS`` items, however many there are.
 """
@@ -81,10 +85,15 @@ class Index:
         self.weights: dict[int, Counter] = {}
         self.sizes: dict[int, _Sized] = defaultdict(_Sized)
         self.shingles: set[bytes] = set()
+        #: words of a short item -> its text -> items
+        self.short: dict[int, dict[bytes, list[int]]] = defaultdict(lambda: defaultdict(list))
         hashes = {}
         for i, (_, text) in enumerate(items):
-            s = shingles_of(words_of(text), width)
-            if s:
+            words = words_of(text)
+            s = shingles_of(words, width)
+            if 0 < len(words) < width:
+                self.short[len(words)][s[0]].append(i)
+            elif s:
                 hashes[i] = _hashes(s)
                 self.weights[i] = Counter(s)
                 self.sizes[len(s)].items.append(i)
@@ -136,11 +145,16 @@ def contaminations(text: str | None, index: Index, threshold: float) -> list[tup
     """(item index, start word, words, differing bits, similarity) of the best window of
     each item found in the text: most similar, then nearest, then first."""
     words = words_of(text)
+    short: dict[int, tuple] = {}
+    for n, texts in index.short.items():
+        for at, run in enumerate(shingles_of(words, n) if len(words) >= n else []):
+            for i in texts.get(run, ()):
+                short.setdefault(i, (i, at, n, 0, 1.0))
     shingles = shingles_of(words, index.width)
     known = index.shingles
     hits = [i for i, s in enumerate(shingles) if s in known]
     if not hits:
-        return []
+        return sorted(short.values())
     best: dict[int, tuple] = {}
     for lo, hi in _regions(hits, max(index.sizes), len(shingles)):
         part = shingles[lo:hi]
@@ -158,7 +172,7 @@ def contaminations(text: str | None, index: Index, threshold: float) -> list[tup
                     found = (-sim, bits, lo + at, n)
                     if item not in best or found < best[item]:
                         best[item] = found
-    return [(i, at, min(len(words) - at, n + index.width - 1), bits, -s) for i, (s, bits, at, n) in sorted(best.items())]
+    return sorted([*short.values(), *((i, at, min(len(words) - at, n + index.width - 1), bits, -s) for i, (s, bits, at, n) in best.items())])
 
 
 def _slices(benchmark: DataFrame, item_id: str, text: str):
@@ -179,7 +193,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, th
     """(doc_id, item_id, start_word, n_words, differing_bits, similarity): per document
     and benchmark item its best window at ``threshold`` or more.
 
-    Null, empty and blank texts or items never match. Repeated rows give repeated
+    Null, empty and blank texts or items never match; an item of fewer than ``width``
+    words matches wherever its words stand in a row. Repeated rows give repeated
     results; items of equal text each match. Null ids are passed on. An empty
     table on either side gives an empty result. Only the named columns are read."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -192,7 +207,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, th
         def found(batches, sent=sent):
             index = Index(*sent.value)
             for b in batches:
-                hits = [(d, index.ids[i], *rest) for d, t in zip(b["doc_id"], b["text"]) for i, *rest in (contaminations(t, index, threshold) if index.sizes else [])]
+                hits = [(d, index.ids[i], *rest) for d, t in zip(b["doc_id"], b["text"]) for i, *rest in contaminations(t, index, threshold)]
                 yield pd.DataFrame(hits, columns=["doc_id", "item_id", "start_word", "n_words", "differing_bits", "similarity"])
 
         part = rows.mapInPandas(found, schema)
@@ -205,7 +220,7 @@ def _clean(sent, threshold: float):
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = Index(*sent.value)
         for texts in batches:
-            yield pd.Series([not (index.sizes and contaminations(t, index, threshold)) for t in texts], dtype=bool)
+            yield pd.Series([not contaminations(t, index, threshold) for t in texts], dtype=bool)
 
     return F.pandas_udf(clean, "boolean")
 

@@ -36,19 +36,20 @@ with turns as (
   select conv_id, turn, case when trim(coalesce(role, '')) = '' then '{chat_rotation.NOBODY}' else regexp_replace(trim(role), '[ \\t\\n\\x0B\\f\\r<>|]+', '_', 'g') end as name,
          regexp_replace(coalesce(text, ''), '<\\|(im_start|im_end)\\|>', '<| \\1 |>', 'g') as body, coalesce(turn // {chat_rotation.PART_TURNS}, -1) as part
   from conversations),
+placed as (select *, (row_number() over (partition by conv_id, part order by turn nulls first, name, body) - 1) // {chat_rotation.PART_TURNS} as piece from turns),
 speakers as (select distinct conv_id, name as perspective from turns where name <> '{chat_rotation.SYSTEM}'),
 pieces as (
-  select t.conv_id, perspective, part, turn, name, body, name = perspective as own,
+  select t.conv_id, perspective, part, piece, turn, name, body, name = perspective as own,
          '{chat_rotation.START}' || case when name = perspective then 'assistant' when name = '{chat_rotation.SYSTEM}' then '{chat_rotation.SYSTEM}' else 'user name=' || name end || chr(10) as head,
          body || '<|im_end|>' || chr(10) as rest
-  from turns t join speakers s on t.conv_id is not distinct from s.conv_id),
+  from placed t join speakers s on t.conv_id is not distinct from s.conv_id),
 numbered as (select *, row_number() over w as i, sum(length(head) + length(rest)) over (w rows between unbounded preceding and current row) as stop
-             from pieces window w as (partition by conv_id, perspective, part order by turn nulls first, name, body))
-select conv_id, perspective, cast(part as bigint) as part, string_agg(head || rest, '' order by i) as text, count(*) as n_turns,
+             from pieces window w as (partition by conv_id, perspective, part, piece order by turn nulls first, name, body))
+select conv_id, perspective, cast(part as bigint) as part, cast(piece as bigint) as piece, string_agg(head || rest, '' order by i) as text, count(*) as n_turns,
        cast(max(stop) as bigint) as n_chars,
        coalesce(string_agg(concat(stop - length(rest), ':', stop), ',' order by i) filter (where own), '') as train_spans,
        string_agg(case when own then '1' else '0' end, '' order by i) as train_mask
-from numbered group by conv_id, perspective, part
+from numbered group by conv_id, perspective, part, piece
 """
 
 _TRIM = r"regexp_replace(x, '^[ \t\x0B\f\r]+|[ \t\x0B\f\r]+$', '', 'g')"

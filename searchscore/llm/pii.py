@@ -112,8 +112,11 @@ DIGIT_WORDS = ["zero null zéro cero oh", "one eins un uno", "two zwei zwo deux
                "five fünf cinq cinco", "six sechs seis", "seven sieben sept siete", "eight acht huit ocho", "nine neun neuf nueve"]
 TIMES = {"double": 2, "triple": 3}
 DIGIT_OF = {w: str(d) for d, words in enumerate(DIGIT_WORDS) for w in words.split()}
-#: Top-level domains that make a dotted name out of plain words (`` at `` and `` dot ``).
-KNOWN_TOPS = {"com", "org", "net", "edu", "gov", "info", "biz", "io", "co", "de", "fr", "es", "uk", "us", "eu", "ch", "at", "test", "example"}
+#: Letters of a top-level domain, and of the name before it, where a mark is a plain word.
+TOP = re.compile(r"[A-Za-z]{2,24}")
+#: Words that stand after "at" or "dot" in prose and are no part of a domain.
+NO_TOPS = set("and the that this was of on or but then".split())
+NO_NAMES = NO_TOPS | set("it is to in".split())
 
 _OPEN, _CLOSE = r"[(\[{<]", r"[)\]}>]"
 _GAP, _JOIN = r"\s{0,3}", r"[ _*-]{1,3}"  # bounded, so that long blank runs cost nothing
@@ -213,7 +216,8 @@ def _credible(kind: str, text: str, how: list[str]) -> bool:
         if how[at] == "w" and not any(h in ("w", "b") for h in dots):
             return False  # "at" before an ordinary dotted name
         if how[at] == "w" or "w" in dots:
-            return top.lower() in KNOWN_TOPS
+            # by shape: nothing between the parts but the marks, and an ending of letters
+            return bool(TOP.fullmatch(top)) and top.lower() not in NO_TOPS and NO_NAMES.isdisjoint(text[at + 1:].lower().split(".")[:-1])
         return len(top) >= 2 and top.isalpha()
     return True
 
@@ -234,7 +238,7 @@ def disguised_spans(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[
     if odd or spelled:
         _digits(tape)
     found = plain_spans(tape.text)
-    for m in re.finditer(r"(?<![0-9+])[0-9]{10,15}(?![0-9])", tape.text):  # a number spelled out digit by digit
+    for m in re.finditer(r"(?<![0-9+])[0-9]{8,15}(?![0-9])", tape.text):  # a number spelled out digit by digit
         in_phone = any(k == "phone" and a < m.end() and m.start() < b for k, a, b in found)
         spelled_out = all(h == "d" for h in tape.how[m.start():m.end()]) and len(set(m[0])) > 2  # no litany of one word
         if spelled_out and not in_phone:

@@ -188,19 +188,23 @@ def links(distinct: DataFrame, max_bits: int = 4, bucket_rows: int = BUCKET_ROWS
     flips = [F.struct(F.lit(i).alias("part"), _value(bits).bitwiseXOR(F.lit(_mask(c))).alias("val"))
              for i, (bits, t) in enumerate(plan) for k in range(t + 1) for c in combinations(bits, k)]
     probe = distinct.select(F.col("fp").alias("x"), F.explode(F.array(*flips)).alias("k")).select("x", "k.part", "k.val")
+    blocks = lambda n: F.ceil(n / F.lit(16 * bucket_rows)).cast("int")
     full = cut_lineage(index.groupBy("part", "val").agg(F.count("*").alias("n")).where(F.col("n") > bucket_rows)
-                       .withColumn("blocks", F.ceil(F.col("n") / F.lit(16 * bucket_rows)).cast("int")))
+                       .withColumn("y_blocks", blocks(F.col("n"))))
     near = F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= max_bits
     if full.isEmpty():
         return probe.join(index, ["part", "val"]).where(near & (F.col("x") < F.col("y"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
     small = index.join(full, ["part", "val"], "left_anti")
     out = probe.join(small, ["part", "val"]).where(near & (F.col("x") < F.col("y"))).select(F.col("x").alias("u"), F.col("y").alias("v"))
 
-    own = lambda c: F.pmod(F.xxhash64(c), F.col("blocks").cast("long")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    xs = (probe.join(full, ["part", "val"]).withColumn("bx", own("x")).withColumn("by", every)
+    # the two sides of a value differ where it is probed with flipped bits: each is dealt by its own count
+    probed = probe.join(full, ["part", "val"]).groupBy("part", "val").agg(blocks(F.count("*")).alias("x_blocks"), F.max("y_blocks").alias("y_blocks"))
+    full = cut_lineage(probed)
+    own = lambda c, side: F.pmod(F.xxhash64(c), F.col(side).cast("long")).cast("int")
+    every = lambda side: F.explode(F.sequence(F.lit(0), F.col(side) - 1))
+    xs = (probe.join(full, ["part", "val"]).withColumn("bx", own("x", "x_blocks")).withColumn("by", every("y_blocks"))
           .select("part", "val", "bx", "by", F.lit(0).alias("side"), F.col("x").alias("f")))
-    ys = (index.join(full, ["part", "val"]).withColumn("by", own("y")).withColumn("bx", every)
+    ys = (index.join(full, ["part", "val"]).withColumn("by", own("y", "y_blocks")).withColumn("bx", every("x_blocks"))
           .select("part", "val", "bx", "by", F.lit(1).alias("side"), F.col("y").alias("f")))
 
     def forest(pdf: pd.DataFrame) -> pd.DataFrame:

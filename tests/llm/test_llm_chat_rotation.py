@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 
 
 def slow(rows, part_turns=64):
-    """{(conv, perspective, part): (text, spans, mask)}"""
+    """{(conv, perspective, part, piece): (text, spans, mask)}"""
     conv = defaultdict(list)
     for c, turn, role, text in rows:
         name = "_".join((role or "").strip(" ").split()) or "unknown"
@@ -20,7 +20,7 @@ def slow(rows, part_turns=64):
             parts = defaultdict(list)
             for t in sorted(turns):
                 parts[-1 if t[0] == float("-inf") else t[0] // part_turns].append(t)
-            for p, ts in parts.items():
+            for p, ts in [((p, i // part_turns), ts[i:i + part_turns]) for p, ts in parts.items() for i in range(0, len(ts), part_turns)]:
                 text, spans, mask = "", [], []
                 for _, name, body in ts:
                     head = "assistant" if name == who else "system" if name == "system" else f"user name={name}"
@@ -30,12 +30,12 @@ def slow(rows, part_turns=64):
                     mask.append(int(name == who))
                     if name == who:
                         spans.append((start, len(text)))
-                out[c, who, p] = text, spans, mask
+                out[c, who, *p] = text, spans, mask
     return out
 
 
 def check(spark, rows, got):
-    mine = {(r["conv_id"], r["perspective"], r["part"]): (r["text"], [tuple(s) for s in r["train_spans"]], r["train_mask"]) for r in got}
+    mine = {(r["conv_id"], r["perspective"], r["part"], r["piece"]): (r["text"], [tuple(s) for s in r["train_spans"]], r["train_mask"]) for r in got}
     assert mine == slow(rows)
     for r in got:
         assert r["n_chars"] == len(r["text"]) and r["n_turns"] == len(r["train_mask"])
@@ -63,3 +63,13 @@ def test_marks_in_content_do_not_end_a_turn(spark):
 
 def test_empty_table(spark):
     assert C.rotate(spark.createDataFrame([], T.StructType.fromDDL("conv_id long, turn long, role string, text string"))).count() == 0
+
+
+def test_many_rows_under_one_conversation_and_number(spark):
+    """A third of all rows with null ids and equal or null numbers, and many equal rows, in pieces of at most 64."""
+    rows = [(None, 3, ["ann", "bob"][i % 2], f"t{i * 7 % 1000}") for i in range(1_000)] + [(None, None, "ann", "same")] * 700
+    rows += [(5, 130, "cy", f"x{i % 3}") for i in range(200)] + [(c, i, ["ann", "bob"][i % 2], f"{c} {i}") for c in range(10, 110) for i in range(20)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    got = C.rotate(df).collect()
+    check(spark, rows, got)
+    assert max(r["n_turns"] for r in got) == 64 and sum(r["n_turns"] for r in got if r["conv_id"] is None and r["perspective"] == "ann") == 1_700

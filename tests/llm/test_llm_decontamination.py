@@ -94,3 +94,23 @@ def test_slices_do_not_change_the_result(spark, monkeypatch):
     whole = sorted(map(tuple, D.find_contamination(*args).collect()))
     monkeypatch.setattr(D, "SLICE_ITEMS", 7)
     assert sorted(map(tuple, D.find_contamination(*args).collect())) == whole
+
+
+def test_short_items_inside_texts(spark):
+    r = random.Random(6)
+    few = [f"v{i}" for i in range(6)]
+    docs = [(d, " ".join(r.choice(few) for _ in range(r.randint(0, 12)))) for d in range(80)] + [(80, None), (81, "Quick  FOX\njumps over it all at once today")]
+    items = [(k, " ".join(r.choice(few) for _ in range(n))) for k, n in enumerate([1, 2, 3, 4, 4, 5])] + [(9, "quick fox jumps"), (10, "nowhere"), (11, " "), (12, None)]
+    got = D.find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    short = {(r["doc_id"], r["item_id"]): (r["start_word"], r["n_words"]) for r in got if r["item_id"] != 5}
+    want = {}
+    for d, t in docs:
+        words = (t or "").lower().split()
+        for k, i in items:
+            item = (i or "").lower().split()
+            at = next((a for a in range(len(words) - len(item) + 1) if words[a:a + len(item)] == item), None)
+            if 0 < len(item) < 5 and at is not None:
+                want[d, k] = (at, len(item))
+    assert short == want and (81, 9) in want and all(r["similarity"] == 1.0 for r in got if r["item_id"] != 5)
+    clean = D.drop_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items[3:5], "item_id long, text string"))
+    assert {r["doc_id"] for r in clean.collect()} == {d for d, _ in docs} - {d for d, k in want if k in (3, 4)}
