@@ -4,31 +4,29 @@ from __future__ import annotations
 from . import chat_rotation, line_dedup, mixing, quality_rules
 from .oracle_trees import MERKLE, TRIE
 
-#: Sources, shares of a period, the schedule slot by slot, and the rows' places.
+#: Whole weights of the sources, earliest deadline first slot by slot over their windows (release
+#: j m / w rounded down, deadline (j + 1) m / w rounded up; all blocks of a source compete, also
+#: after its rows have run out), and the rows' places. One stretch of the operator: up to
+#: mixing.PERIOD slots, as with up to 64,000 rows of even sources.
 MIX = f"""
-with recursive sized as (select source, sqrt(cast(count(*) as double)) as weight from documents group by source),
-quotas as (select source, weight / sum(weight) over () * ({mixing.PERIOD} - count(*) over ()) as quota, count(*) over () as n from sized),
-parts as (select source, quota - floor(quota) as rest, cast(floor(quota) as integer) as whole, n from quotas),
-ranked as (select source, whole, n, row_number() over (order by round(rest, 9) desc, source asc nulls last) as place,
-                  row_number() over (order by source asc nulls last) as no, sum(whole) over () as wholes from parts),
-shares as (select source, no, 1 + whole + case when place <= {mixing.PERIOD} - n - wholes then 1 else 0 end as k from ranked),
-ks as (select list(cast(k as integer) order by no) as k from shares),
+with recursive sized as (select source, count(*) as n, sqrt(cast(count(*) as double)) as weight from documents group by source),
+weighed as (select source, (n + {mixing.BLOCK_ROWS} - 1) // {mixing.BLOCK_ROWS} as blocks, greatest(cast(round(weight / sum(weight) over () * {mixing.WEIGHT_UNITS}) as bigint), 1) as w,
+                   row_number() over (order by source nulls last) as no from sized),
+one as (select list(w order by no) as ws, cast(sum(w) as bigint) as m from weighed having count(*) > 0),
+ends as (select max((blocks * m + w - 1) // w) as stop from weighed, one),
 slots(t, had, best) as (
-  select -1, list_transform(k, lambda x: 0), 0 from ks
+  select cast(-1 as bigint), list_transform(ws, lambda x: 0::bigint), cast(0 as bigint) from one
   union all
   select t + 1, list_transform(had, lambda x, i: x + case when i = b then 1 else 0 end), b
-  from (select t, had, list_sort(list_transform(had, lambda x, i: struct_pack(
-               due := case when x * {mixing.PERIOD} // k[i] <= t + 1 then ((x + 1) * {mixing.PERIOD} + k[i] - 1) // k[i] else 2 * {mixing.PERIOD} end, i := i)))[1].i as b
-        from slots, ks where t + 1 < {mixing.PERIOD}) s),
-plan as (select best as no, t as slot, row_number() over (partition by best order by t) - 1 as j from slots where t >= 0),
-placed as (select d.doc_id, d.source, s.k, s.no,
-                  row_number() over (partition by d.source order by md5(cast(d.doc_id as varchar)), d.doc_id) - 1 as place
-           from documents d join shares s on d.source is not distinct from s.source),
-blocks as (select *, place // {mixing.BLOCK_ROWS} as b, (place // {mixing.BLOCK_ROWS}) % k as j, (place // {mixing.BLOCK_ROWS}) // k * {mixing.PERIOD} as turn from placed)
-select doc_id, source, cast(b as bigint) as mix_block, cast(turn + blocks.j * {mixing.PERIOD} // k as bigint) as mix_release,
-       cast(turn + ((blocks.j + 1) * {mixing.PERIOD} + k - 1) // k as bigint) as mix_deadline, cast(turn + slot as bigint) as mix_slot,
-       cast(place % {mixing.BLOCK_ROWS} as integer) as mix_row
-from blocks join plan on plan.no = blocks.no and plan.j = blocks.j
+  from (select t, had, list_sort(list_filter(list_transform(had, lambda x, i: struct_pack(
+               due := case when x * m // ws[i] <= t + 1 then ((x + 1) * m + ws[i] - 1) // ws[i] end, i := cast(i as bigint))), lambda d: d.due is not null))[1].i as b
+        from slots, one, ends where t + 1 < stop) s),
+plan as (select best as no, t as slot, row_number() over (partition by best order by t) - 1 as b from slots where t >= 0),
+placed as (select d.doc_id, d.source, s.no, s.w, row_number() over (partition by d.source order by md5(cast(d.doc_id as varchar)), d.doc_id) - 1 as place
+           from documents d join weighed s on d.source is not distinct from s.source)
+select doc_id, source, cast(p.b as bigint) as mix_block, cast(p.b * m // placed.w as bigint) as mix_release,
+       cast(((p.b + 1) * m + placed.w - 1) // placed.w as bigint) as mix_deadline, p.slot as mix_slot, cast(place % {mixing.BLOCK_ROWS} as integer) as mix_row
+from placed join plan p on p.no = placed.no and p.b = place // {mixing.BLOCK_ROWS}, one
 """
 
 CHAT = f"""

@@ -127,3 +127,21 @@ def test_columns_of_working_names_stay(spark):
         out = M.mix(docs, period=period)
         got = {r["doc_id"]: (r["__key"], r["__r"], r["___start"]) for r in out.collect()}
         assert out.columns[:5] == docs.columns and got == {i: (k, r, n) for i, _, k, r, n in rows}
+
+
+def test_sql_of_the_true_weights_agrees_on_unequal_sources(spark, tmpdir_path):
+    import duckdb
+
+    from searchscore.llm.oracle import MIX
+    sizes = {"a": 2_000, "b": 700, "c": 90, "d": 65, "e": 1, None: 333}
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    docs.coalesce(1).write.parquet(f"{tmpdir_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmpdir_path}/documents.parquet/*.parquet')")
+    cur = con.execute(MIX)
+    names = [d[0] for d in cur.description]
+    want = sorted(tuple(r[names.index(c)] for c in ("doc_id", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_row")) for r in cur.fetchall())
+    out = M.mix(docs).select("doc_id", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_row")
+    assert sorted(map(tuple, out.collect())) == want and len(want) == len(rows)
+    assert len({r[4] for r in want}) > 50
