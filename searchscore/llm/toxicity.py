@@ -1,12 +1,22 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words are read as symbols: insult, threat, target, negation, reported speech, or
-other. Five small weighted transducers run over the symbols of a clause and are
-composed: the insult and threat machines emit a hit with the weight of its word,
-the target machine raises a hit that is aimed at somebody nearby, the negation
-and reported-speech machines lower a hit in their scope. A clause scores the sum
-of what comes out; the text's mass is the sum over its clauses, and a logistic
-curve turns it into a probability.
+other; quotation marks and the ends of clauses and lines are symbols too. Scope
+transducers (target, negation, report) say of each symbol whether it stands in
+their scope. They are composed into one machine that runs over the text from the
+left and one that runs from the right, so that both "you idiot" and "idiot, you"
+are aimed. The insult and threat transducers rewrite what comes out into hits, and
+the pattern machine composed after them accepts
+
+* an aimed insult: a target within three words of it in its clause,
+* an aimed threat likewise (a threat at nobody is a plain verb),
+* a run of insults: another one within ``RUN_REACH`` words, across clauses too.
+
+A pattern weighs as much as its words, less for what is negated or reported. The
+text has the weight of its heaviest accepted pattern, not a sum: repeating or
+lengthening a text changes nothing. A lone insult is not accepted; it gives a
+residue below every threshold, for the order of scores alone. A logistic curve
+turns the weight into a probability.
 
 Weights of words and the curve come from labelled rows. Words of the insult and
 threat classes are those that are significantly more often in toxic texts, both by
@@ -28,9 +38,9 @@ from searchscore.session import cut_lineage
 
 #: Labelled rows that the weights are learned from at most, taken by hash of their id.
 FIT_ROWS = 20_000
-#: Learned words at most, the heaviest; a size of the model.
+#: Learned words at most, the most significant; default of the parameter ``lexicon_words``.
 LEXICON = 2_000
-#: Words that are looked at by neighbourhoods, the most significant by documents; a size of the model.
+#: Words that are looked at by neighbourhoods, the most significant by documents; default of the parameter ``candidates``.
 CANDIDATES = 10_000
 #: Chance of a word to come out as significant by accident.
 SIGNIFICANCE = 1e-4
@@ -46,61 +56,104 @@ REPORTS = "said says say told called calls claimed wrote quote quoted sagte sagt
 
 #: Weight of a general word that the labels say nothing about.
 GENERAL_WEIGHT = 2.0
-#: Factors of the composed transducers, and the words that their scope reaches.
-AIMED, NEGATED, REPORTED = 1.25, 0.35, 0.5
+#: Factors of the transducers, and the words that their scope reaches.
+AIMED, NEGATED, REPORTED = 2.0, 0.35, 0.5
 AIM_REACH, NEGATION_REACH, REPORT_REACH = 3, 2, 5
+#: Words between two insults of a run at most.
+RUN_REACH = 60
+#: Greatest weight of a text without an accepted pattern.
+RESIDUE = 0.5
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n\"“”«»|]")
-CLAUSE_END = set(".!?;\n|")
-QUOTES = set("\"“”«»")
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, CLAUSE, LINE = SYMBOLS = range(9)
+WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;\n\"“”«»|]")
+MARKS = {**dict.fromkeys(".!?;|", CLAUSE), "\n": LINE, **dict.fromkeys("\"“”«»", QUOTE)}
 
 
 def symbols() -> dict[str, int]:
-    """Words of the closed classes."""
-    return {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT)}
+    """Words of the closed classes, and marks."""
+    return {**dict.fromkeys(TARGETS, TARGET), **dict.fromkeys(NEGATIONS, NEGATION), **dict.fromkeys(REPORTS, REPORT), **MARKS}
+
+
+def scope(trigger: int, reach: int, quotes: bool = False) -> dict[tuple[int, int], int]:
+    """Transducer (state, symbol) -> state: words left of the trigger's scope, 0 outside.
+
+    With ``quotes`` a quotation that begins in the scope is in it as a whole (state
+    -1), up to the next mark or the end of the line."""
+    table = {}
+    for state in range(-1 if quotes else 0, reach + 1):
+        for symbol in SYMBOLS:
+            if symbol == LINE:
+                after = 0
+            elif state == -1:
+                after = 0 if symbol == QUOTE else -1
+            elif symbol == trigger:
+                after = reach
+            elif symbol == QUOTE:
+                after = -1 if quotes and state else state
+            else:
+                after = 0 if symbol == CLAUSE else max(0, state - 1)
+            table[state, symbol] = after
+    return table
+
+
+def compose(*machines: dict[tuple[int, int], int]) -> list[list[tuple[int, tuple[bool, ...]]]]:
+    """Product of scope transducers: [state][symbol] -> (state, which scopes the symbol stands in); 0 is the start."""
+    states, table = [(0,) * len(machines)], []
+    for at in states:  # grows while read
+        row = []
+        for symbol in SYMBOLS:
+            after = tuple(m[s, symbol] for m, s in zip(machines, at))
+            if after not in states:
+                states.append(after)
+            row.append((states.index(after), tuple(s != 0 for s in at)))
+        table.append(row)
+    return table
 
 
 class Grammar:
     """The composed transducers over one lexicon: word -> (symbol, weight)."""
 
     def __init__(self, lexicon: dict[str, tuple[int, float]]):
-        self.hits, self.closed = lexicon, symbols()
-
-    def clause_mass(self, clause: list[str], quoted: bool) -> float:
-        """Weight of a clause (words in lower case); ``quoted`` if it stands in quotation marks."""
-        hits = [(i, *self.hits[w]) for i, w in enumerate(clause) if w in self.hits]
-        if not hits:
-            return 0.0
-        at = [self.closed.get(w, OTHER) for w in clause]
-        total = 0.0
-        for i, symbol, weight in hits:
-            if any(s == TARGET for s in at[max(0, i - AIM_REACH):i + AIM_REACH + 1]):
-                weight *= AIMED
-            elif symbol == THREAT:
-                weight *= NEGATED  # a threat at nobody is a plain verb
-            if any(s == NEGATION for s in at[max(0, i - NEGATION_REACH):i]):
-                weight *= NEGATED
-            if quoted and any(s == REPORT for s in at) or any(s == REPORT for s in at[max(0, i - REPORT_REACH):i]):
-                weight *= REPORTED
-            total += weight
-        return total
+        self.hits, self.read = lexicon, symbols()
+        self.read |= {w: symbol for w, (symbol, _) in lexicon.items()}
+        self.ahead = compose(scope(TARGET, AIM_REACH), scope(NEGATION, NEGATION_REACH), scope(REPORT, REPORT_REACH, quotes=True))
+        self.back = compose(scope(TARGET, AIM_REACH), scope(REPORT, REPORT_REACH, quotes=True))
+
+    def events(self, words: list[str]) -> Iterator[tuple[int, int, float, bool]]:
+        """(words before, symbol, weight, aimed) of every hit, out of the scope transducers."""
+        tape = [self.read.get(w, OTHER) for w in words]
+        behind, state = {}, 0
+        for i in range(len(tape) - 1, -1, -1):
+            state, inside = self.back[state][tape[i]]
+            if tape[i] in (INSULT, THREAT):
+                behind[i] = inside
+        state = place = 0
+        for i, symbol in enumerate(tape):
+            state, (aimed, negated, reported) = self.ahead[state][symbol]
+            if i in behind:
+                aimed_at, told = behind[i]
+                factor = (NEGATED if negated else 1.0) * (REPORTED if reported or told else 1.0)
+                yield place, symbol, self.hits[words[i]][1] * factor, aimed or aimed_at
+            place += symbol < QUOTE
+
+    def patterns(self, words: list[str]) -> Iterator[tuple[str, float]]:
+        """(kind, weight) of every accepted pattern, and ``lone`` for hits in none."""
+        last = None  # place and weight of the last insult: the state of the pattern machine
+        for place, symbol, weight, aimed in self.events(words):
+            if aimed:
+                yield "aimed", weight * AIMED
+            if symbol == INSULT:
+                if last and place - last[0] <= RUN_REACH:
+                    yield "run", last[1] + weight
+                last = place, weight
+            yield "lone", min(RESIDUE, RESIDUE * weight / MOST)
 
     def mass(self, text: str | None) -> float:
-        """Sum over the clauses of the whole text."""
-        low = (text or "").lower()
-        total, clause, inside, quoted = 0.0, [], False, False
-        for m in WORD.finditer(low):
-            w = m[0]
-            if w in CLAUSE_END:
-                total += self.clause_mass(clause, quoted)
-                clause, quoted = [], inside
-            elif w in QUOTES:
-                inside = w in "“«" or (w == '"' and not inside)
-                quoted = True
-            elif w != ":":
-                clause.append(w)
-        return total + self.clause_mass(clause, quoted)
+        """Weight of the heaviest pattern of the whole text."""
+        words = WORD.findall((text or "").lower())
+        if self.hits.keys().isdisjoint(words):
+            return 0.0
+        return max(w for _, w in self.patterns(words))
 
 
 @dataclass
@@ -114,11 +167,12 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.slope * (mass - self.middle)))))
 
 
-def learn_lexicon(rows: DataFrame) -> dict[str, tuple[int, float]]:
+def learn_lexicon(rows: DataFrame, lexicon_words: int = LEXICON, candidates: int = CANDIDATES) -> dict[str, tuple[int, float]]:
     """Weights of words from ``rows`` (text, label 0/1): general words, and learned ones.
 
     A word counts once per pair of neighbours and label. Its weight is the shrunken
-    log ratio of its share of toxic occurrences to the overall share."""
+    log ratio of its share of toxic occurrences to the overall share. ``candidates`` words
+are looked at by neighbourhoods, ``lexicon_words`` of them learned: the most significant."""
     n, toxic = rows.agg(F.count("*"), F.sum("label")).first()
     lexicon = {**dict.fromkeys(THREATS, (THREAT, GENERAL_WEIGHT)), **dict.fromkeys(INSULTS, (INSULT, GENERAL_WEIGHT))}
     if not n or not toxic or toxic == n:
@@ -132,7 +186,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, tuple[int, float]]:
     significant = (share > 0.5) & (surprise > -math.log(SIGNIFICANCE))
     # by documents first, which leaves few words; then by neighbourhoods
     each = words.select("label", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("t"))
-    some = each.where(significant).orderBy(surprise.desc(), "word").limit(CANDIDATES).select("word")
+    some = each.where(significant).orderBy(surprise.desc(), "word").limit(candidates).select("word")
     near = words.select("label", F.explode(F.arrays_zip(
         F.col("w").alias("word"),
         F.concat(F.array(F.lit("")), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))).alias("before"),
@@ -141,7 +195,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, tuple[int, float]]:
     counts = near.groupBy("word").agg(F.count("*").alias("n"), F.sum("label").alias("t"))
     weight = F.log((F.col("t") + base) / (F.col("n") + 1) / base)
     strong = counts.where(significant).select("word", weight.alias("weight"), surprise.alias("surprise"))
-    for r in strong.orderBy(F.desc("surprise"), "word").limit(LEXICON).collect():
+    for r in strong.orderBy(F.desc("surprise"), "word").limit(lexicon_words).collect():
         symbol = THREAT if r["word"] in THREATS else INSULT
         # rare words shrink towards nothing: their evidence against that of the heaviest
         lexicon[r["word"]] = (symbol, max(LEAST, min(MOST, r["weight"])) * min(1.0, r["surprise"] / 40.0))
@@ -157,39 +211,38 @@ def _masses(rows: DataFrame, sent) -> DataFrame:
     return rows.withColumn("mass", F.pandas_udf(mass, "double")("text"))
 
 
-def fit_curve(pairs: list[tuple[float, int]]) -> tuple[float, float]:
-    """(slope, middle) of the logistic curve over at most ``FIT_ROWS`` (mass, label) pairs.
+def fit_curve(counts: list[tuple[float, int, int]]) -> tuple[float, float]:
+    """(slope, middle) of the logistic curve over (mass, label, rows).
 
     middle is the mass that splits the two labels with the least errors, both weighing
-    the same; of equally good ones the middle of the widest gap. The slope puts
-    0.7 at a quarter of the way from there to the toxic side's next mass."""
-    pairs = sorted(pairs)
-    toxic = sum(y for _, y in pairs)
-    clean = len(pairs) - toxic
+    the same; of equally good ones the middle of the widest gap, and never below
+    ``RESIDUE``. The slope puts 0.7 at a quarter of the way from there to the toxic
+    side's next mass."""
+    toxic = sum(n for _, y, n in counts if y)
+    clean = sum(n for _, y, n in counts if not y)
     if not toxic or not clean:
         return 2.0, 1.5
-    best, low, wrong = None, 0, float(clean) / clean  # everything called toxic: all clean rows wrong
-    i = 0
-    while i < len(pairs):
-        j = i
-        while j < len(pairs) and pairs[j][0] == pairs[i][0]:
-            wrong += 1.0 / toxic if pairs[j][1] else -1.0 / clean
-            j += 1
-        gap = (pairs[j][0] if j < len(pairs) else pairs[i][0] + 1.0) - pairs[i][0]
-        if best is None or (round(wrong, 9), -gap) < best[0]:
-            best = (round(wrong, 9), -gap), pairs[i][0] + gap / 2, gap
-        i = j
+    masses = sorted({m for m, _, _ in counts})
+    share = dict.fromkeys(masses, 0.0)
+    for m, y, n in counts:
+        share[m] += n / toxic if y else -n / clean
+    best, wrong = None, 1.0  # everything called toxic: all clean rows wrong
+    for m, above in zip(masses, [*masses[1:], masses[-1] + 1.0]):
+        wrong += share[m]
+        if best is None or (round(wrong, 9), m - above) < best[0]:
+            best = (round(wrong, 9), m - above), (m + above) / 2, above - m
     _, middle, gap = best
-    return math.log(0.7 / 0.3) / max(gap / 8, 1e-3), middle
+    return math.log(0.7 / 0.3) / max(gap / 8, 1e-3), max(middle, RESIDUE)
 
 
-def learn(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """Model from ``labelled`` (text, label 0/1), at most ``FIT_ROWS`` rows."""
+def learn(labelled: DataFrame, lexicon_words: int = LEXICON, candidates: int = CANDIDATES) -> Model:
+    """Model from all rows of ``labelled`` (text, label 0/1)."""
     rows = cut_lineage(labelled.select("text", F.col("label").cast("int").alias("label")))
-    lexicon = learn_lexicon(rows)
+    lexicon = learn_lexicon(rows, lexicon_words, candidates)
     sent = rows.sparkSession.sparkContext.broadcast(lexicon)
-    pairs = [(r["mass"], r["label"]) for r in _masses(rows, sent).select("mass", "label").collect()]  # two numbers for each of FIT_ROWS rows
-    return Model(lexicon, *fit_curve(pairs))
+    # to hundredths: no weight is above 2 MOST, so few rows come to the driver however often an id repeats
+    counts = _masses(rows, sent).groupBy(F.round("mass", 2).alias("mass"), "label").agg(F.count("*").alias("rows"))
+    return Model(lexicon, *fit_curve([tuple(r) for r in counts.collect()]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -198,11 +251,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-                   predict_at: float = 0.7, fit_rows: int = FIT_ROWS) -> DataFrame:
+                   predict_at: float = 0.7, fit_rows: int = FIT_ROWS, lexicon_words: int = LEXICON, candidates: int = CANDIDATES) -> DataFrame:
     """(doc_id, held_out, score, predicted, mass), one row per row of ``docs``.
 
     Weights are learned from labelled rows that are not held out, at most
-    ``fit_rows`` of them by hash of their id. Null, empty and wordless texts have
+    ``fit_rows`` ids by hash; ``lexicon_words`` and ``candidates`` as in ``learn_lexicon``. Null, empty and wordless texts have
     mass 0. Labels of null, of unknown ids and contradictory ones (both labels for
     an id) are not learned from; repeated rows stay; an empty table gives an empty
     one; without labels the general words decide. Only the named columns are read."""
@@ -210,7 +263,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", t
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
     chosen = cut_lineage(known.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("id", "label"))  # bounded: an id and a label for each of fit_rows
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    model = learn(rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")), fit_rows)
+    model = learn(rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")), lexicon_words, candidates)
     sent = docs.sparkSession.sparkContext.broadcast(model.lexicon)
     slope, middle = model.slope, model.middle
     x = F.least(F.greatest(F.lit(slope) * (F.col("mass") - F.lit(middle)), F.lit(-30.0)), F.lit(30.0))

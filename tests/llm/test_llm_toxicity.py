@@ -9,17 +9,65 @@ from searchscore.llm import toxicity as X
 from conftest import SF_MID
 
 
+LEXICON = {"idiot": (X.INSULT, 2.0), "clown": (X.INSULT, 2.0), "kill": (X.THREAT, 2.0)}
+
+
 def test_transducers():
-    g = X.Grammar({"idiot": (X.INSULT, 2.0), "kill": (X.THREAT, 2.0)})
-    plain = g.mass("what an idiot.")
-    assert plain == 2.0
-    assert g.mass("you idiot.") > plain > g.mass("not idiot.") > 0
-    assert plain > g.mass("she said idiot") and g.mass("he wrote: \"idiot\"") < plain
-    assert g.mass("kill you") > g.mass("kill the light")
-    assert g.mass("idiot. idiot") == 2 * plain and g.mass("you. idiot") == plain
+    g = X.Grammar(LEXICON)
+    aimed = g.mass("you idiot.")
+    assert aimed == g.mass("idiot, you") == 2.0 * X.AIMED
+    assert aimed > g.mass("you are no idiot.") > X.RESIDUE >= g.mass("you are not an idiot.")
+    assert aimed > g.mass("she said: you idiot") and aimed > g.mass('"idiot, you", he said')
+    assert g.mass('he wrote: "well. you are an idiot"') == 2.0 * X.AIMED * X.REPORTED == g.mass('"you idiot", said an old friend')
+    assert g.mass("i will kill you") == 2.0 * X.AIMED > X.RESIDUE >= g.mass("kill the light")
+    assert g.mass("you. idiot") == g.mass("you\nidiot") == g.mass("an idiot") <= X.RESIDUE
+    assert g.mass("idiot. what a clown") == 4.0 and g.mass("no idiot. a clown") == 2.0 * X.NEGATED + 2.0
     assert g.mass(None) == g.mass("") == g.mass("\n..!") == g.mass("nice day") == 0.0
 
 
+def test_lone_words_stay_below_at_any_length():
+    g = X.Grammar({w: (X.INSULT, X.MOST) for w in ("idiot", "clown")})
+    gap = "calm word " * (X.RUN_REACH // 2 + 1)
+    for n in (1, 2, 500):
+        text = (("an idiot. " + gap) * n)
+        assert 0 < g.mass(text) <= X.RESIDUE
+        assert X.Model({}, 2.0, X.RESIDUE).probability(g.mass(text)) <= 0.5
+    assert g.mass("you idiot. " + gap) == g.mass(("you idiot. " + gap) * 500)  # repeating adds nothing
+
+
+def slow_mass(words, lexicon):
+    """The rules word by word, by looking around each hit."""
+    closed, best, last = X.symbols(), 0.0, None
+    for i, w in enumerate(words):
+        if w not in lexicon:
+            continue
+        symbol, weight = lexicon[w]
+        ends = [k for k, x in enumerate(words) if closed.get(x) in (X.CLAUSE, X.LINE)]
+        lo, hi = max([k for k in ends if k < i], default=-1) + 1, min([k for k in ends if k > i], default=len(words))
+        near = lambda a, b, what: any(closed.get(x) == what for x in words[max(lo, a):min(hi, b)])
+        if near(i - X.NEGATION_REACH, i, X.NEGATION):
+            weight *= X.NEGATED
+        if near(i - X.REPORT_REACH, i, X.REPORT) or near(i + 1, i + 1 + X.REPORT_REACH, X.REPORT):
+            weight *= X.REPORTED
+        if near(i - X.AIM_REACH, i + 1 + X.AIM_REACH, X.TARGET):
+            best = max(best, weight * X.AIMED)
+        best = max(best, X.RESIDUE * weight / X.MOST)
+        if symbol == X.INSULT:
+            place = sum(closed.get(x, 0) < X.QUOTE for x in words[:i])
+            if last and place - last[0] <= X.RUN_REACH:
+                best = max(best, last[1] + weight)
+            last = place, weight
+    return best
+
+
+def test_machines_against_looking_around():
+    r, g = random.Random(4), X.Grammar(LEXICON)
+    choice = ["calm"] * 14 + ["idiot", "clown", "kill", "you", "not", "said", ".", "\n"]
+    for n in range(600):
+        words = [r.choice(choice) for _ in range(r.randint(0, 40))] + ["calm"] * r.choice([0, 45, 70]) + [r.choice(choice) for _ in range(10)]
+        assert abs(g.mass(" ".join(words)) - slow_mass(words, LEXICON)) < 1e-9, words
+
+
 def test_held_out_follows_the_checksum(spark):
     ids = list(range(300)) + [None]
     df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
@@ -37,9 +85,18 @@ def test_copies_of_a_text_teach_no_words(spark):
 
 
 def test_curve():
-    slope, middle = X.fit_curve([(0.0, 0)] * 50 + [(4.0, 1)] * 5)
-    assert 0 < middle < 4 and slope > 0
-    assert X.fit_curve([]) and X.fit_curve([(1.0, 1)]) and X.fit_curve([(0.0, 0)])
+    slope, middle = X.fit_curve([(0.0, 0, 50), (4.0, 1, 5)])
+    assert X.RESIDUE <= middle < 4 and slope > 0
+    assert X.fit_curve([(0.0, 0, 50), (0.1, 1, 5)])[1] == X.RESIDUE
+    assert X.fit_curve([]) and X.fit_curve([(1.0, 1, 1)]) and X.fit_curve([(0.0, 0, 1)])
+
+
+def test_sizes_of_the_model_are_parameters(spark):
+    rows = [(f"zork blarg {k} w{k % 7}", 1) for k in range(40)] + [(f"w{k % 7} v{k % 5}", 0) for k in range(200)]
+    df = spark.createDataFrame(rows, "text string, label int")
+    general = set(X.INSULTS + X.THREATS)
+    assert len(X.learn_lexicon(df, lexicon_words=1).keys() - general) <= 1
+    assert not X.learn_lexicon(df, candidates=0).keys() - general
 
 
 def test_held_out_accuracy(spark):
