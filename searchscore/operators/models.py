@@ -8,7 +8,7 @@ rows the number was measured on.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import binary_label, snap_to_levels
@@ -202,6 +202,69 @@ def bisecting_kmeans_clusters(df: DataFrame, k: int = KMEANS_K, seed: int = KMEA
     return align_clusters(out) if align and k == 2 else out
 
 
+def spread_centers(df: DataFrame, features, k: int = KMEANS_K) -> list[list[float]]:
+    """``k`` starting centers on a line through the mean, one standard deviation to
+    either side of it at the ends; from one aggregate, without a seed. Without rows: none."""
+    one = df.where(_usable(features)).agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("sd")).alias(f"f{i}") for i, c in enumerate(features)]).first()
+    if not len(features) or one[0]["mean"] is None:
+        return []
+    at = [(2 * j - (k - 1)) / max(k - 1, 1) for j in range(k)]
+    return [[f["mean"] + a * f["sd"] for f in one] for a in at]
+
+
+def _usable(features) -> Column:
+    """No feature is NULL or NaN."""
+    ok = F.lit(True)
+    for c in features:
+        ok = ok & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return ok
+
+
+def assign_to_centers(df: DataFrame, features, centers) -> DataFrame:
+    """``df`` with ``prediction`` (int), the nearest center's number (the lower one of
+    two equally near), and ``cost``, the squared distance to it. NULL for rows with a
+    NULL or NaN feature, and where there are no centers."""
+    if not centers:
+        return df.withColumns({"prediction": F.lit(None).cast("int"), "cost": F.lit(None).cast("double")})
+    square = lambda c, v: (F.col(c).cast("double") - F.lit(v)) * (F.col(c).cast("double") - F.lit(v))
+    far = []
+    for center in centers:
+        total = F.lit(0.0)
+        for c, v in zip(features, center):
+            total = total + square(c, float(v))
+        far.append(F.struct(total.alias("cost"), F.lit(len(far)).alias("no")))
+    best = F.when(_usable(features), F.array_min(F.array(*far)))
+    return (df.withColumn("_best", best).withColumns({"prediction": F.col("_best.no"), "cost": F.col("_best.cost")}).drop("_best"))
+
+
+def lloyd_centers(df: DataFrame, features, k: int = KMEANS_K, iterations: int = 20, tolerance: float = 1e-4) -> list[list[float]]:
+    """R6 without a seed: k-means centers from ``spread_centers``, the same in any partitioning.
+
+    Each round is one aggregate with a map-side combine; what comes to the driver is a
+    count and the feature sums of each of the k clusters. A cluster without rows keeps its
+    center. Ends after ``iterations``, or when no center moved by more than ``tolerance``.
+    ``df`` is read once a round: pass a stored table or a checkpoint."""
+    centers = spread_centers(df, features, k)
+    for _ in range(iterations if centers else 0):
+        sums = (assign_to_centers(df.select(*features), features, centers).where("prediction is not null")
+                .groupBy("prediction").agg(F.count("*").alias("n"), *[F.sum(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(features)]))
+        moved = [list(c) for c in centers]
+        for r in sums.collect():  # k rows
+            moved[r["prediction"]] = [r[f"s{i}"] / r["n"] for i in range(len(features))]
+        shift = max(sum((a - b) ** 2 for a, b in zip(x, y)) ** 0.5 for x, y in zip(centers, moved))
+        centers = moved
+        if shift <= tolerance:
+            break
+    return centers
+
+
+def lloyd_clusters(df: DataFrame, features, k: int = KMEANS_K, iterations: int = 20, tolerance: float = 1e-4) -> DataFrame:
+    """``df`` with ``prediction`` and ``cost`` under ``lloyd_centers``; all rows stay.
+    Values can be checked in SQL, unlike those of a seeded start."""
+    rows = cut_lineage(df)
+    return assign_to_centers(rows, features, lloyd_centers(rows, features, k, iterations, tolerance))
+
+
 def align_clusters(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """With two clusters, number the one with the higher mean label 1.
 

@@ -337,6 +337,10 @@ def q_mean_threshold_label(spark, sf_dir):
     return md.binarize_labels(tr, "mean")
 
 
+#: Clusters and rounds of the queries that start k-means without a seed.
+LLOYD_K, LLOYD_ROUNDS = 3, 8
+
+
 def _model_input(spark, sf_dir):
     # Iterative fits scan their input many times: materialise it once.
     return cut_lineage(ft.assemble(ft.model_table(_feat(spark, sf_dir))))
@@ -399,6 +403,24 @@ def q_kmeans_clusters(spark, sf_dir):
     return md.kmeans_clusters(md.binarize_labels(_model_input(spark, sf_dir))).select("label", "prediction")
 
 
+def _point_rows(spark, sf_dir):
+    return ft.model_table(_feat(spark, sf_dir), keep=("id",))
+
+
+def q_kmeans_lloyd(spark, sf_dir):
+    """Cluster and squared distance of every valid pair, three clusters, started without a seed."""
+    out = md.lloyd_clusters(_point_rows(spark, sf_dir), ft.MODEL_FEATURES, k=LLOYD_K, iterations=LLOYD_ROUNDS, tolerance=0.0)
+    return out.select("id", "prediction", F.round("cost", 4).alias("cost"))
+
+
+def q_kmeans_lloyd_curves(spark, sf_dir):
+    """Two clusters against the binary label, numbered by their mean label."""
+    rows = md.binarize_labels(_point_rows(spark, sf_dir))
+    out = md.lloyd_clusters(rows, ft.MODEL_FEATURES, k=2, iterations=LLOYD_ROUNDS, tolerance=0.0)
+    out = md.align_clusters(out.withColumn("prediction", F.col("prediction").cast("double")))
+    return _round_curve(md.score_clusters(out), "precision", "recall", "f_measure")
+
+
 def q_bisecting_clusters(spark, sf_dir):
     return md.bisecting_kmeans_clusters(md.binarize_labels(_model_input(spark, sf_dir))) \
         .select("label", "prediction")
@@ -576,6 +598,8 @@ SPARK_QUERIES = {
     "kmeans_clusters": q_kmeans_clusters,
     "bisecting_clusters": q_bisecting_clusters,
     "kmeans_curves": q_kmeans_curves,
+    "kmeans_lloyd": q_kmeans_lloyd,
+    "kmeans_lloyd_curves": q_kmeans_lloyd_curves,
     "regex_tokenize": q_regex_tokenize,
     "stop_words_removed": q_stop_words_removed,
     "clean_text": q_clean_text,
@@ -1100,3 +1124,37 @@ norms as (select id, sqrt(sum(weight * weight) filter (where field = 'title')) a
 dots as (select x.id, sum(x.weight * y.weight) as dot from weights x join weights y on x.id = y.id and x.token = y.token and x.field = 'title' and y.field = 'term' group by x.id)
 select p.id, round(coalesce(case when a * b > 0 then dot / (a * b) end, 0.0), {R}) as title_term_similarity
 from part_of p left join norms using (id) left join dots using (id) where not fitted"""
+
+
+def _lloyd_cte(k: int, extra: str = "") -> str:
+    """Points, and the centers of every round as c0 .. cN (one row: a list of k centers)."""
+    n = len(ft.MODEL_FEATURES)
+    means, sds = (f"[{', '.join(f'{f}(x[{i + 1}])' for i in range(n))}]" for f in ("avg", "stddev_pop"))
+    at = [(2 * j - (k - 1)) / max(k - 1, 1) for j in range(k)]
+    start = ", ".join(f"list_transform(mean, lambda v, i: v + {a}::double * sd[i])" for a in at)
+    text = _features_cte() + f""",
+pts as materialized (select id, {extra} [{", ".join(f"cast({c} as double)" for c in ft.MODEL_FEATURES)}] as x from feat where {VALID}),
+spread as (select {means} as mean, {sds} as sd from pts),
+c0 as materialized (select [{start}] as cs from spread)"""
+    for t in range(LLOYD_ROUNDS + 1):
+        text += f""",
+a{t} as materialized (select p.*, list_transform(cs, lambda c: list_sum(list_transform(c, lambda v, i: (x[i] - v) * (x[i] - v)))) as ds from pts p, c{t}),
+g{t} as (select list_position(ds, list_min(ds)) - 1 as no, {means} as c from a{t} group by 1),
+c{t + 1} as materialized (select list(coalesce(g.c, cs[j + 1]) order by j) as cs
+                          from (select cs, unnest(range({k})) as j from c{t}) old left join g{t} g on g.no = old.j)"""
+    return text
+
+
+ORACLE_SQL["kmeans_lloyd"] = _lloyd_cte(LLOYD_K) + f"""
+select id, cast(list_position(ds, list_min(ds)) - 1 as integer) as prediction, round(list_min(ds), 4) as cost from a{LLOYD_ROUNDS}"""
+
+ORACLE_SQL["kmeans_lloyd_curves"] = _lloyd_cte(2, f"case when cast(relevance as double) > {md.BINARY_THRESHOLD} then 1.0 else 0.0 end as label,") + f""",
+named as (select label, cast(list_position(ds, list_min(ds)) - 1 as double) as no from a{LLOYD_ROUNDS}),
+swap as (select coalesce(avg(label) filter (where no = 0), -1) > coalesce(avg(label) filter (where no = 1), -1) as yes from named),
+scored as (select label, case when yes then 1 - no else no end as score from named, swap),
+points as (select t.score as threshold, count(*) filter (where s.score >= t.score) as n, count(*) filter (where s.score >= t.score and label > 0.5) as hit,
+                  count(*) filter (where label > 0.5) as positive
+           from (select distinct score from scored) t, scored s group by t.score)
+select threshold, round(precision, {R}) as precision, round(recall, {R}) as recall,
+       round(case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0 end, {R}) as f_measure
+from (select threshold, case when n > 0 then hit / n else 1 end as precision, case when positive > 0 then hit / positive else 0 end as recall from points) m"""
