@@ -98,5 +98,15 @@ masked as (
 select *, failure_mask & 3 <> 0 as base_failed, failure_mask = 0 as kept from masked
 """
 
-ORACLE_SQL = {"op1_mix_sources": MIX, "op3_chat_rotation": CHAT, "op5_line_dedup": LINES, "op6_quality_rules": QUALITY,
+_V2 = quality_rules.policy_mask("v2")
+ABLATION = f"""
+with judged as ({QUALITY}),
+masks as (select failure_mask & {_V2} as mask, count(*) as n from judged group by 1),
+rules as (select * from (values {", ".join(f"('{r}', {b}::bigint)" for r, b in _BITS.items() if b & _V2)}) v(rule, bit))
+select rule, bit, cast(coalesce(sum(n) filter (where mask & bit <> 0), 0) as bigint) as n_failed, cast(coalesce(sum(n) filter (where mask = bit), 0) as bigint) as n_only_this_rule,
+       cast(coalesce(sum(n) filter (where mask = 0), 0) as bigint) as n_kept, cast(coalesce(sum(n) filter (where mask & ~bit = 0), 0) as bigint) as n_kept_without
+from masks, rules group by rule, bit
+"""
+
+ORACLE_SQL = {"quality_ablation": ABLATION, "op1_mix_sources": MIX, "op3_chat_rotation": CHAT, "op5_line_dedup": LINES, "op6_quality_rules": QUALITY,
               "op11_conversation_trie": TRIE, "op12_merkle_manifest": MERKLE}

@@ -34,6 +34,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"), "v2")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of policy v2 rejects, alone and at all, over the ledger of every document."""
+    return quality_rules.ablation(quality_rules.ledger(_table(spark, sf_dir, "documents")), "v2")
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=4, max_bits=4)
@@ -89,6 +94,6 @@ def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 SPARK_QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_decontaminate, op3_chat_rotation, op4_html_extraction, op5_line_dedup, op6_quality_rules,
     op7_simhash_dedup, op8_toxicity, op9_pii, op10_url_filter, op11_conversation_trie, op12_merkle_manifest,
-    op13_language_id)}
+    op13_language_id, quality_ablation)}
 
 __all__ = ["ORACLE_SQL", "SPARK_QUERIES"]
