@@ -10,19 +10,23 @@ candidate is then held to the exact weighted Jaccard similarity of its shingles,
 weights being numbers of occurrences.
 
 Two sets of shingles at 0.8 differ by 10 bits on average (standard deviation 3),
-so the radius lies over four deviations out. A window that shares no shingle
-with any item has similarity 0; only windows that hold a shingle of some item
-are fingerprinted, which loses nothing and spares nearly all of the corpus.
+so the radius lies over four deviations out. So wide a radius selects little by
+itself; what spares the work is that a window of n shingles can only be as similar
+as t to an item of s if t (n + s) / (1 + t) of its shingles are shingles of items.
+Windows with fewer are not fingerprinted, which loses nothing. Shingles are told
+by a 64-bit key from their words' hashes; a false hit costs a probe, never a result.
 
 An item of fewer words than a shingle is one shingle of its own width: its windows
 are runs of as many words, and it is found where one equals it (at so few words
 nothing less is 0.8 alike).
 
 The benchmark is a stated query set: it goes to the tasks in slices of at most
-``SLICE_ITEMS`` items, however many there are.
+``SLICE_ITEMS`` items and ``SLICE_CHARS`` characters, however many there are. Texts
+are read once a slice; a Python worker builds a slice's index once.
 """
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,9 +41,12 @@ from pyspark.sql import functions as F
 BITS, BLOCKS = 64, 8
 BLOCK_BITS = BITS // BLOCKS
 SEED = 42
-#: Items (of any length) sent to the tasks at a time.
-SLICE_ITEMS = 5_000
-SLICE_CHARS = 16_000_000
+KEY_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Items (of any length) sent to the tasks at a time, and their characters.
+SLICE_ITEMS = 100_000
+SLICE_CHARS = 64_000_000
+#: Pairs of a window and an item looked at in one step.
+PROBED = 1 << 21
 #: Shingles of a text that are fingerprinted at a time.
 REGION = 1 << 15
 
@@ -69,12 +76,25 @@ def window_fingerprints(hashes: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(ones, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def shingle_keys(words: list[bytes], width: int) -> np.ndarray:
+    """A 64-bit key of every run of ``width`` words, from the words' hashes in this process."""
+    if len(words) < width:
+        return np.zeros(0, dtype=np.uint64)
+    each = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+    n = len(words) - width + 1
+    key = each[:n]
+    for k in range(1, width):
+        key = key * KEY_FACTOR + each[k:k + n]
+    return key ^ (key >> np.uint64(32))
+
+
 @dataclass
 class _Sized:
-    """Items of one size, indexed by block."""
+    """Items of one size and, for each block, a posting list from its value to them."""
     items: list[int] = field(default_factory=list)
     prints: np.ndarray | None = None
-    blocks: np.ndarray | None = None  # [block, value, item] -> within the block radius
+    order: np.ndarray | None = None  # [block, place] -> item, by the block's value
+    starts: np.ndarray | None = None  # [block, value] -> first place
 
 
 class Index:
@@ -82,42 +102,71 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], width: int, radius: int):
         self.width, self.radius = width, radius
-        self.weights: dict[int, Counter] = {}
+        self.texts = [t for _, t in items]
+        self.ids = [k for k, _ in items]
         self.sizes: dict[int, _Sized] = defaultdict(_Sized)
-        self.shingles: set[bytes] = set()
         #: words of a short item -> its text -> items
         self.short: dict[int, dict[bytes, list[int]]] = defaultdict(lambda: defaultdict(list))
-        hashes = {}
-        for i, (_, text) in enumerate(items):
+        self._weights: dict[int, Counter] = {}
+        prints, keys = {}, [np.zeros(0, dtype=np.uint64)]
+        for i, text in enumerate(self.texts):
             words = words_of(text)
-            s = shingles_of(words, width)
             if 0 < len(words) < width:
-                self.short[len(words)][s[0]].append(i)
-            elif s:
-                hashes[i] = _hashes(s)
-                self.weights[i] = Counter(s)
+                self.short[len(words)][b" ".join(words)].append(i)
+            elif words:
+                s = shingles_of(words, width)
+                prints[i] = window_fingerprints(_hashes(s), len(s))[0]
                 self.sizes[len(s)].items.append(i)
-                self.shingles.update(s)
-        self.ids = [k for k, _ in items]
-        reach = [v for k in range(radius // BLOCKS + 1) for c in combinations(range(BLOCK_BITS), k) for v in [sum(1 << b for b in c)]]
-        for size, at in self.sizes.items():
-            at.prints = np.array([window_fingerprints(hashes[i], size)[0] for i in at.items], dtype=np.uint64)
-            at.blocks = np.zeros((BLOCKS, 1 << BLOCK_BITS, len(at.items)), dtype=bool)
-            for b, own in enumerate(at.prints.view(np.uint8).reshape(-1, 8).T):
-                for flip in reach:
-                    at.blocks[b, own ^ np.uint8(flip), np.arange(len(at.items))] = True
-
-    def candidates(self, prints: np.ndarray, size: int):
-        """(window, item) within the radius, in window order."""
+                keys.append(shingle_keys(words, width))
+        self.keys = np.unique(np.concatenate(keys))
+        # one flag per leading bits of a key, at least eight times as many as keys
+        self._shift = np.uint64(64 - min(26, max(10, (8 * len(self.keys)).bit_length())))
+        self._flags = np.zeros(1 << (64 - int(self._shift)), dtype=bool)
+        self._flags[self.keys >> self._shift] = True
+        self._reach = np.array([sum(1 << b for b in c) for k in range(radius // BLOCKS + 1) for c in combinations(range(BLOCK_BITS), k)], dtype=np.uint8)
+        for at in self.sizes.values():
+            at.prints = np.array([prints[i] for i in at.items], dtype=np.uint64)
+            values = at.prints.view(np.uint8).reshape(-1, 8).T
+            at.order = np.argsort(values, axis=1, kind="stable").astype(np.int32)
+            at.starts = np.array([np.searchsorted(np.sort(v), np.arange((1 << BLOCK_BITS) + 1)) for v in values])
+
+    def weights(self, item: int) -> Counter:
+        """Occurrences of each shingle of an item."""
+        if item not in self._weights:
+            self._weights[item] = Counter(shingles_of(words_of(self.texts[item]), self.width))
+        return self._weights[item]
+
+    def held(self, words: list[bytes]) -> np.ndarray:
+        """Places of the shingles that are shingles of some item."""
+        keys = shingle_keys(words, self.width)
+        maybe = np.flatnonzero(self._flags[keys >> self._shift])
+        at = np.searchsorted(self.keys, keys[maybe])
+        return maybe[self.keys[np.minimum(at, len(self.keys) - 1)] == keys[maybe]] if len(self.keys) else maybe
+
+    def probed(self, prints: np.ndarray, size: int) -> np.ndarray:
+        """Sorted pairs window * items + item whose fingerprints are within the block radius in some block."""
         at = self.sizes[size]
+        pairs = [np.zeros(0, dtype=np.int64)]
         values = prints.view(np.uint8).reshape(-1, 8)
-        hit = np.zeros((len(prints), len(at.items)), dtype=bool)
         for b in range(BLOCKS):
-            hit |= at.blocks[b, values[:, b]]
-        w, k = hit.nonzero()
-        d = np.bitwise_count(prints[w] ^ at.prints[k])
-        near = d <= self.radius
-        return [(int(x), at.items[y], int(z)) for x, y, z in zip(w[near], k[near], d[near])]
+            probes = (values[:, b, None] ^ self._reach).ravel()
+            first, n = at.starts[b, probes], at.starts[b, probes.astype(np.int64) + 1] - at.starts[b, probes]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            window = np.repeat(np.arange(len(probes)) // len(self._reach), n)
+            pairs.append(window * len(at.items) + at.order[b, np.repeat(first, n) + inside])
+        return np.unique(np.concatenate(pairs))
+
+    def candidates(self, prints: np.ndarray, size: int):
+        """(window, item, differing bits) within the radius, in window order."""
+        at = self.sizes[size]
+        step = max(1, PROBED // len(at.items))
+        out = []
+        for lo in range(0, len(prints), step):
+            w, k = np.divmod(self.probed(prints[lo:lo + step], size), len(at.items))
+            d = np.bitwise_count(prints[lo + w] ^ at.prints[k])
+            near = d <= self.radius
+            out += [(lo + int(x), at.items[y], int(z)) for x, y, z in zip(w[near], k[near], d[near])]
+        return out
 
 
 def weighted_similarity(a: Counter, b: Counter) -> float:
@@ -150,24 +199,34 @@ def contaminations(text: str | None, index: Index, threshold: float) -> list[tup
         for at, run in enumerate(shingles_of(words, n) if len(words) >= n else []):
             for i in texts.get(run, ()):
                 short.setdefault(i, (i, at, n, 0, 1.0))
-    shingles = shingles_of(words, index.width)
-    known = index.shingles
-    hits = [i for i, s in enumerate(shingles) if s in known]
-    if not hits:
+    hits = index.held(words)
+    if not len(hits) or len(hits) < threshold * min(index.sizes):
         return sorted(short.values())
     best: dict[int, tuple] = {}
-    for lo, hi in _regions(hits, max(index.sizes), len(shingles)):
-        part = shingles[lo:hi]
-        hashes, held = _hashes(part), np.cumsum([0] + [s in known for s in part])
-        for size in index.sizes:
-            n = min(size, len(part))
-            if n < size and n < len(shingles):
+    last = len(words) - index.width + 1
+    counts = np.zeros(last + 1, dtype=np.int64)
+    counts[hits + 1] = 1
+    counts = np.cumsum(counts)
+    for lo, hi in _regions(hits.tolist(), max(index.sizes), last):
+        part = hashes = None
+        before = counts[lo:hi + 1]
+        for size in sorted(index.sizes):
+            n = min(size, hi - lo)
+            need = max(1, math.ceil(threshold * (n + size) / (1 + threshold) - 1e-9))
+            if need > before[-1] - before[0]:
+                break  # and larger items need more
+            if need > n or n < size and n < last:
                 continue  # a text shorter than the item is one window
-            windows = np.flatnonzero(held[n:] - held[:-n])
+            windows = np.flatnonzero(before[n:] - before[:-n] >= need)
+            if not len(windows):
+                continue
+            if part is None:
+                part = shingles_of(words[lo:hi + index.width - 1], index.width)
+                hashes = _hashes(part)
             prints = window_fingerprints(hashes, n)[windows]
             for w, item, bits in index.candidates(prints, size):
                 at = int(windows[w])
-                sim = weighted_similarity(Counter(part[at:at + n]), index.weights[item])
+                sim = weighted_similarity(Counter(part[at:at + n]), index.weights(item))
                 if sim >= threshold:
                     found = (-sim, bits, lo + at, n)
                     if item not in best or found < best[item]:
@@ -202,10 +261,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, th
     schema = f"doc_id {dict(rows.dtypes)['doc_id']}, item_id {item_type}, start_word long, n_words long, differing_bits int, similarity double"
     out = None
     for items in _slices(benchmark, item_id, item_text):
-        sent = docs.sparkSession.sparkContext.broadcast((items, width, radius))
+        sent = docs.sparkSession.sparkContext.broadcast({"slice": (items, width, radius)})
 
         def found(batches, sent=sent):
-            index = Index(*sent.value)
+            index = _index(sent.value)
             for b in batches:
                 hits = [(d, index.ids[i], *rest) for d, t in zip(b["doc_id"], b["text"]) for i, *rest in contaminations(t, index, threshold)]
                 yield pd.DataFrame(hits, columns=["doc_id", "item_id", "start_word", "n_words", "differing_bits", "similarity"])
@@ -215,10 +274,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 5, th
     return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
+def _index(sent: dict) -> Index:
+    """The index of a broadcast slice, built by the worker's first task and kept beside it."""
+    if "index" not in sent:
+        sent["index"] = Index(*sent["slice"])
+    return sent["index"]
+
+
 def _clean(sent, threshold: float):
-    """UDF: true for texts without any item of the slice; the index is built once a task."""
+    """UDF: true for texts without any item of the slice."""
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(*sent.value)
+        index = _index(sent.value)
         for texts in batches:
             yield pd.Series([not contaminations(t, index, threshold) for t in texts], dtype=bool)
 
@@ -231,6 +297,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 5, thr
     columns as given, no shuffle. Null and empty texts stay."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row"))
     for items in _slices(benchmark, item_text, item_text):
-        sent = docs.sparkSession.sparkContext.broadcast((items, width, radius))
+        sent = docs.sparkSession.sparkContext.broadcast({"slice": (items, width, radius)})
         rows = rows.where(_clean(sent, threshold)(F.col("whole_row").getField(text)))
     return rows.select("whole_row.*")

@@ -63,6 +63,49 @@ def test_blocks_return_every_fingerprint_within_the_radius():
     assert got == {(int(w), at.items[k]) for w, k in zip(*near.nonzero())}
 
 
+def test_windows_left_out_hold_no_item():
+    """The least number of known shingles loses no window; posting lists give what all pairs give."""
+    r = random.Random(12)
+    few = [f"u{i}" for i in range(9)]
+    items = [(k, " ".join(r.choice(few) for _ in range(r.randint(5, 30)))) for k in range(60)]
+    index, seen = D.Index(items, 5, 64), 0
+    for _ in range(120):
+        words = [r.choice(few) for _ in range(r.randint(0, 40))]
+        part = r.choice(items)[1].split()
+        part[r.randrange(len(part))] = r.choice(few)
+        text = " ".join(words[:20] + part + words[20:])
+        for threshold in (0.3, 0.8):
+            want = {k: s for k, i in items if (s := slow_best(text, i)) >= threshold}
+            assert {i: x[-1] for i, *x in D.contaminations(text, index, threshold)} == want
+            seen += len(want)
+    assert seen > 100
+
+
+def test_share_of_pairs_looked_at():
+    """Of all pairs of a window and an item of its size, under 2 % are probed."""
+    docs, items = corpus(seed=21, n=40)
+    index = D.Index(items, 5, 23)
+    pairs = kept = 0
+    for _, text in docs:
+        words = text.lower().encode().split()
+        held = np.zeros(max(0, len(words) - 4) + 1, dtype=int)
+        held[index.held(words) + 1] = 1
+        held = held.cumsum()
+        for size, at in index.sizes.items():
+            if size < len(held):
+                pairs += (len(held) - size) * len(at.items)
+                kept += int((held[size:] - held[:-size] >= 16 / 18 * size).sum()) * len(at.items)
+    assert kept < pairs / 50
+
+
+def test_one_scan_for_all_items(spark, tmpdir_path):
+    spark.createDataFrame([(i, f"some words of text number {i} here") for i in range(20)], "doc_id long, text string").write.parquet(f"{tmpdir_path}/d")
+    items = spark.createDataFrame([(i, f"some words of text number {i} here") for i in range(15_001)], "item_id long, text string")
+    out = D.find_contamination(spark.read.parquet(f"{tmpdir_path}/d"), items)
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert sorted((r["doc_id"], r["item_id"]) for r in out.where("similarity = 1").collect()) == [(i, i) for i in range(20)]
+
+
 def test_window_fingerprints_match_single_windows():
     h = np.random.default_rng(2).integers(0, 2**63, 50).astype(np.uint64)
     for size in (1, 7, 50):
