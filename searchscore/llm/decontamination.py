@@ -93,8 +93,8 @@ class _Sized:
     """Items of one size and, for each block, a posting list from its value to them."""
     items: list[int] = field(default_factory=list)
     prints: np.ndarray | None = None
-    order: np.ndarray | None = None  # [block, place] -> item, by the block's value
-    starts: np.ndarray | None = None  # [block, value] -> first place
+    order: np.ndarray | None = None  # places -> item: block after block, by the block's value
+    starts: np.ndarray | None = None  # block * (values + 1) + value -> first place
 
 
 class Index:
@@ -127,8 +127,8 @@ class Index:
         for at in self.sizes.values():
             at.prints = np.array([prints[i] for i in at.items], dtype=np.uint64)
             values = at.prints.view(np.uint8).reshape(-1, 8).T
-            at.order = np.argsort(values, axis=1, kind="stable").astype(np.int32)
-            at.starts = np.array([np.searchsorted(np.sort(v), np.arange((1 << BLOCK_BITS) + 1)) for v in values])
+            at.order = np.argsort(values, axis=1, kind="stable").astype(np.int32).ravel()
+            at.starts = np.concatenate([b * len(at.items) + np.searchsorted(np.sort(v), np.arange((1 << BLOCK_BITS) + 1)) for b, v in enumerate(values)])
 
     def weights(self, item: int) -> Counter:
         """Occurrences of each shingle of an item."""
@@ -146,15 +146,14 @@ class Index:
     def probed(self, prints: np.ndarray, size: int) -> np.ndarray:
         """Sorted pairs window * items + item whose fingerprints are within the block radius in some block."""
         at = self.sizes[size]
-        pairs = [np.zeros(0, dtype=np.int64)]
-        values = prints.view(np.uint8).reshape(-1, 8)
-        for b in range(BLOCKS):
-            probes = (values[:, b, None] ^ self._reach).ravel()
-            first, n = at.starts[b, probes], at.starts[b, probes.astype(np.int64) + 1] - at.starts[b, probes]
-            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            window = np.repeat(np.arange(len(probes)) // len(self._reach), n)
-            pairs.append(window * len(at.items) + at.order[b, np.repeat(first, n) + inside])
-        return np.unique(np.concatenate(pairs))
+        values = prints.view(np.uint8).reshape(-1, BLOCKS, 1) ^ self._reach
+        probes = (values + np.arange(BLOCKS)[:, None] * ((1 << BLOCK_BITS) + 1)).ravel()
+        first = at.starts[probes]
+        n = at.starts[probes + 1] - first
+        full = np.flatnonzero(n)  # most lists are empty
+        first, n = first[full], n[full]
+        place = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        return np.unique(np.repeat(full // (BLOCKS * len(self._reach)), n) * len(at.items) + at.order[place])
 
     def candidates(self, prints: np.ndarray, size: int):
         """(window, item, differing bits) within the radius, in window order."""
