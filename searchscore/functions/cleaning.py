@@ -30,8 +30,7 @@ STOP_WORDS = (
 # Cleaning rules, applied in order to lower-case text.
 # (pattern, replacement); replacements use $1 for the first group. Units keep
 # their number.
-CLEANING_RULES = (
-    ("°", " degrees "),
+UNIT_RULES = (
     ("([0-9]) *(?:x|\\*|by) *([0-9])", "$1 xbi $2"),
     ("([0-9]+) *(?:inches|inch|in)\\b", "$1 in. "),
     ("([0-9]+) *(?:foot|feet|ft)\\b", "$1 ft. "),
@@ -42,12 +41,19 @@ CLEANING_RULES = (
     ("([0-9]+) *(?:ounces|ounce|oz)\\b", "$1 oz. "),
     ("([0-9]+) *(?:centimeters|cm)\\b", "$1 cm. "),
     ("([0-9]+) *(?:milimeters|millimeters|mm)\\b", "$1 mm. "),
-    ("\\bzero\\b", "0"), ("\\bone\\b", "1"), ("\\btwo\\b", "2"), ("\\bthree\\b", "3"),
-    ("\\bfour\\b", "4"), ("\\bfive\\b", "5"), ("\\bsix\\b", "6"), ("\\bseven\\b", "7"),
-    ("\\beight\\b", "8"), ("\\bnine\\b", "9"),
+)
+# No unit rule fits a text without a number before the first letters of a unit.
+UNIT_START = "[0-9] *(?:x|\\*|by|in|f[oet]|po|lb|sq|cu|ga|o[uz]|ce|cm|mi|mm)"
+NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
+CLEANING_RULES = (
+    ("°", " degrees "),
+    *UNIT_RULES,
+    *[(f"\\b{word}\\b", str(n)) for n, word in enumerate(NUMBER_WORDS)],
     ("[^a-z0-9. ]", " "),
     (" +", " "),
 )
+# The last two rules in one: every run of other characters but a lone space.
+OTHER_RUNS = "[^a-z0-9. ][^a-z0-9.]*| [^a-z0-9.]+"
 
 
 def remove_stop_words(tokens, words=STOP_WORDS) -> Column:
@@ -56,9 +62,27 @@ def remove_stop_words(tokens, words=STOP_WORDS) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(*words))  # a hash set from ten words on
 
 
+def _where_found(text: Column, found, replace) -> Column:
+    """``replace(text)`` where ``found(text)``; the text is worked out once."""
+    return F.transform(F.array(text), lambda t: F.when(found(t), replace(t)).otherwise(t))[0]
+
+
 def clean_text(c, rules=CLEANING_RULES) -> Column:
-    """Lower-case, then apply the cleaning rules in order, then trim."""
+    """Lower-case, then apply the cleaning rules in order, then trim.
+
+    The fixed rules run only on texts that they can fit: a byte search for a number
+    word, one search for all units."""
     out = F.lower(F.col(c) if isinstance(c, str) else c)
+    if rules is CLEANING_RULES:
+        out = F.replace(out, F.lit(rules[0][0]), F.lit(rules[0][1]))
+        out = _where_found(out, lambda t: t.rlike(UNIT_START), lambda t: _replaced(t, UNIT_RULES))
+        for n, word in enumerate(NUMBER_WORDS):
+            out = _where_found(out, lambda t, w=word: F.contains(t, F.lit(w)), lambda t, r=rules[1 + len(UNIT_RULES) + n]: _replaced(t, [r]))
+        return F.trim(F.regexp_replace(out, OTHER_RUNS, " "))
+    return F.trim(_replaced(out, rules))
+
+
+def _replaced(out: Column, rules) -> Column:
     for pattern, replacement in rules:
         out = F.regexp_replace(out, pattern, replacement)
-    return F.trim(out)
+    return out
