@@ -50,6 +50,8 @@ TEXT_SUPPORT, TEXT_PAGES = 0.8, 5
 TEMPLATE_SHARE = 0.5
 #: Hosts and tokens of template text up to which templates are broadcast; beyond it the join shuffles.
 BROADCAST_HOSTS = 200_000
+#: Pages whose results are held at once in a Python worker.
+SLICE_PAGES = 200
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?", re.S)
 ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|itemprop|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
@@ -300,6 +302,13 @@ def main_slot(tokens: list[tuple[int, int, int, int, int, int]]) -> int:
         at = max(inner, key=lambda p: (free[p], -p))
 
 
+def in_slices(*columns: pd.Series) -> Iterator[tuple[pd.Series, ...]]:
+    """A batch in pieces of ``SLICE_PAGES`` rows: results of a page are many small objects,
+    so a whole batch of them takes far more memory than its pages."""
+    for at in range(0, len(columns[0]), SLICE_PAGES):
+        yield tuple(c.iloc[at:at + SLICE_PAGES] for c in columns)
+
+
 TOKENS = "array<struct<path:bigint,parent:bigint,n:int,chars:bigint,links:bigint,kind:int>>"
 
 
@@ -307,7 +316,7 @@ def templates(pages: DataFrame) -> DataFrame:
     """(host, main, template): each host's main slot and tokens of template text, from pages (host, html)."""
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = _Reader()
-        for htmls in batches:
+        for (htmls,) in (piece for batch in batches for piece in in_slices(batch)):
             yield pd.Series([[dict(zip(("path", "parent", "n", "chars", "links", "kind"), t)) for t in reader.summary(h)] for h in htmls], dtype=object)
 
     seen = pages.select("host", F.xxhash64("html").alias("page"), F.explode(F.pandas_udf(read, TOKENS)("html")).alias("t"))
@@ -344,7 +353,7 @@ def template_texts(pages: DataFrame, containers: DataFrame) -> DataFrame:
     1 / TEXT_SUPPORT times the blocks of a page."""
     def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         reader = _Reader()
-        for htmls in batches:
+        for (htmls,) in (piece for batch in batches for piece in in_slices(batch)):
             both = [reader.texts(h) for h in htmls]
             mark = {"token": None, "path": 0}  # counts the host's pages
             yield pd.DataFrame({"page": [p for p, _ in both], "texts": [[mark] + [{"token": t, "path": c} for t, c in ts] for _, ts in both]})
@@ -381,7 +390,7 @@ def extract_main_text(pages: DataFrame, page_id: str = "page_id", url: str = "ur
 
     def read(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         reader = _Reader()
-        for htmls, mains, known in batches:
+        for htmls, mains, known in (piece for batch in batches for piece in in_slices(*batch)):
             yield pd.Series([reader.text(h, None if pd.isna(m) else int(m), frozenset(() if t is None else t))
                              for h, m, t in zip(htmls, mains.astype("Int64"), known)], dtype=object)
 

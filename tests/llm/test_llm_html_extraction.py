@@ -140,3 +140,17 @@ def test_vectors_fold_to_equal_keys_only_for_equal_vectors(spark):
     df = spark.createDataFrame([("t", 1, 1), ("t", 2, 3), ("u", 2, 3), ("u", 1, 1), ("v", 1, 3), ("v", 2, 1)], "t string, page long, n int")
     keys = {r["t"]: r["k"] for r in df.groupBy("t").agg(F.bit_xor(F.xxhash64(F.lit(1), "page", "n")).alias("k")).collect()}
     assert keys["t"] == keys["u"] != keys["v"]
+
+
+def test_results_are_held_for_a_slice_of_a_batch_only(spark):
+    """A worker kept the blocks of a whole Arrow batch as Python objects."""
+    import pandas as pd
+    from searchscore.llm import html_extraction as he
+
+    n = 2 * he.SLICE_PAGES + 7
+    pieces = [p for (p,) in he.in_slices(pd.Series(range(n)))]
+    assert max(map(len, pieces)) == he.SLICE_PAGES and [v for p in pieces for v in p] == list(range(n))
+    rows = [(i, f"http://h{i % 3}.org/{i}", f"<html><body><div><p>same line</p></div><article><p>text {i}</p></article></body></html>") for i in range(n)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {r.page_id: r.text for r in he.extract_main_text(pages).collect()}
+    assert got == {i: f"text {i}" for i in range(n)}
