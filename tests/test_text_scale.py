@@ -84,3 +84,22 @@ def test_guarded_cleaning_equals_the_rules_one_by_one(spark):
     assert df.where(~cl.clean_text("t").eqNullSafe(plain)).collect() == []
     guard = df.select(cl.clean_text("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert cl.UNIT_START in guard and "Contains" in guard or "contains" in guard
+
+
+def _odd_texts():
+    r = random.Random(11)
+    parts = ["a", "b", " ", "\x00", "é", "ab", "\n", "\t", "\x0b"]
+    rows = [("".join(r.choices(parts, weights=[3, 3, 4, 1, 1, 2, 1, 1, 1], k=n)) + end, "".join(r.choices(parts, k=r.choice([0, 1, 2, 5, 40]))))
+            for n in (0, 3, 255, 256, 300, 3000) for end in ("", " ", "  ", "\x00", " \n", "\x00 ") for _ in range(8)]
+    rows += [(t, q) for t, _ in rows[::4] for q in ("a  b", " ", "", "  ", None)]
+    return [*rows, (None, "a"), (None, None), (" " * 400, "a  b"), (" " * 400 + "a", " a  b"), ("ab " * 200, "ab ab  ab")]
+
+
+def test_jaccard_with_a_text_equals_the_arrays(spark):
+    df = spark.createDataFrame(_odd_texts(), "t string, q string").repartition(3)
+    assert df.where(~tx.row_jaccard_to_text("q", "t").eqNullSafe(tx.row_jaccard("q", "t"))).collect() == []
+
+
+def test_jaccard_cuts_no_description_per_pair(spark):
+    plan = rg.q_jaccard_term_description(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan and "split(" not in plan.replace("split_part(", "") and "_tokens_in_common" in plan
