@@ -95,6 +95,22 @@ def _odd_texts():
     return [*rows, (None, "a"), (None, None), (" " * 400, "a  b"), (" " * 400 + "a", " a  b"), ("ab " * 200, "ab ab  ab")]
 
 
+@pytest.mark.parametrize("aware", [True, False])
+def test_words_shared_with_long_texts_equal_the_byte_search(spark, aware):
+    df = spark.createDataFrame(_odd_texts(), "t string, q string").repartition(3)
+    got = tx.common_words_with_text("q", "t", aware, tx.words("q", aware), tx.spaced_words("t", aware, tx.LONG_TEXT))
+    assert df.where(~got.eqNullSafe(tx.common_words("q", "t", aware))).collect() == []
+
+
+def test_distance_and_words_of_long_texts_share_one_trip(spark):
+    """Long descriptions were searched per pair and query word in the JVM, on a second copy of the text."""
+    plan = rg.q_features_valid(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    trips = [line for line in plan.splitlines() if "ArrowEvalPython" in line and "common_words" in line]
+    assert trips and all("_distance_to_longer" in line for line in trips)
+    df = spark.createDataFrame([("x" * (tx.LONG_TEXT - 1),), ("x" * tx.LONG_TEXT,)], "t string")
+    assert [r[0] is None for r in df.select(tx.spaced_words("t", True, tx.LONG_TEXT)).collect()] == [False, True]
+
+
 def test_jaccard_with_a_text_equals_the_arrays(spark):
     df = spark.createDataFrame(_odd_texts(), "t string, q string").repartition(3)
     assert df.where(~tx.row_jaccard_to_text("q", "t").eqNullSafe(tx.row_jaccard("q", "t"))).collect() == []
