@@ -1,6 +1,7 @@
 """Long product texts: their work is per product or per text, and the values stay those of the plain forms."""
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,43 @@ def test_jaccard_with_a_text_equals_the_arrays(spark):
 def test_jaccard_cuts_no_description_per_pair(spark):
     plan = rg.q_jaccard_term_description(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "array_intersect" not in plan and "split(" not in plan.replace("split_part(", "") and "_tokens_in_common" in plan
+
+
+def test_a_text_is_cut_once_for_all_queries_it_meets():
+    """Each pair took the text out of Arrow and searched it once per query word."""
+    runs = [("x" * 300, ["a", None, "b"]), (None, ["a"]), ("short", ["a"]), ("y" * 300, [None]), ("y" * 299 + "z", ["c", "d"])]
+    texts, queries = pa.array([t for t, qs in runs for _ in qs]), pa.array([q for _, qs in runs for q in qs])
+    met = []
+
+    def measure(text, some):
+        met.append((text.decode(), [q.decode() for q in some]))
+        return [len(text) + ord(q) for q in some]
+
+    got = tx._pairs_of_texts(texts, queries, measure, tx.LONG_TEXT)
+    assert met == [("x" * 300, ["a", "b"]), ("y" * 299 + "z", ["c", "d"])]
+    assert got == [397, None, 398, None, None, None, 399, 400]
+    long = pa.array(["a b " * 100] * (2 * tx.PAIRS_AT_ONCE + 3))  # longer than what is held at once
+    assert tx._pairs_of_texts(long, pa.array(["b b c"] * len(long)), tx._shared_words) == [2] * len(long)
+
+
+@pytest.mark.parametrize("at_once", [1, 3, 1 << 20])
+def test_words_of_a_text_cut_in_pieces(monkeypatch, at_once):
+    monkeypatch.setattr(tx, "BYTES_AT_ONCE", at_once)
+    for text in (b"", b" ", b"a", b" a  b a ", b"ab a  ba   ", b"  a"):
+        words = text.rstrip(b" ").split(b" ") if text.strip(b" ") else []
+        for w in (b"a", b"b", b"ab", b"", b"c"):
+            assert tx._count_words(text, {w})[w] == words.count(w), (text, w)
+
+
+def test_distance_passes_over_the_word_once_an_extra():
+    """Every extra searched the text anew for all smaller ones."""
+    class Searched(str):
+        n = 0
+
+        def find(self, *args):
+            self.n += 1
+            return super().find(*args)
+
+    text, word = Searched("abcdefgh" * 50), "zabzcdzefzghz"
+    assert tx.distance_to_longer(text, word) == len(text) - len(word) + 5
+    assert text.n <= 6 * len(word)
